@@ -169,3 +169,69 @@ SELECT (SELECT max(event_id) + 1 FROM events) + row_number() OVER (ORDER BY even
        event_id AS orig_offset, """ + ENVELOPE_COLUMNS.format(lat="round(-longitude / 2, 6)") + """
 FROM positions WHERE event_id % 5 = 0""",
 }
+
+ORDERS_LAKE = """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
+       strftime(o_orderdate, '%Y-%m') AS order_month
+FROM orders"""
+
+WEATHER = """
+w AS (
+  SELECT event_id, upper(substr(event_type, 1, 4)) AS station_id,
+         CAST(date_trunc('second', ts) AS TIMESTAMP) AS observation_ts,
+         CAST((event_id % 500 - 200) / 10.0 AS DECIMAL(5,1)) AS temperature_c,
+         CAST(user_id % 60 AS SMALLINT) AS wind_speed_kts,
+         CAST((event_id * 7) % 360 AS SMALLINT) AS wind_direction,
+         CAST(floor(value * 20) AS INTEGER) AS visibility_m,
+         CAST((event_id % 1000) / 100.0 AS DECIMAL(6,2)) AS precipitation_mm,
+         CAST(950 + (event_id % 1000) / 10.0 AS DECIMAL(7,1)) AS pressure_hpa,
+         CASE WHEN value < 100 THEN 'VFR' WHEN value < 200 THEN 'MVFR'
+              WHEN value < 300 THEN 'IFR' ELSE 'LIFR' END AS conditions,
+         date_trunc('hour', ts) AS event_hour,
+         floor(event_id / 1000) AS chunk
+  FROM events),
+m AS (
+  SELECT event_hour, chunk, max(observation_ts) + INTERVAL 10 MINUTE AS landed, count(*) AS n
+  FROM w GROUP BY event_hour, chunk),
+wl AS (
+  SELECT w.*, strftime(m.landed, '%Y-%m-%d') AS landing_date, strftime(m.landed, '%H') AS landing_hour,
+         m.landed
+  FROM w JOIN m USING (event_hour, chunk))"""
+
+WEATHER_COLS = """station_id, observation_ts, temperature_c, wind_speed_kts, wind_direction,
+       visibility_m, precipitation_mm, pressure_hpa, conditions"""
+
+ORACLE.update({
+    "lake_current": ORDERS_LAKE,
+    "time_travel": ORDERS_LAKE + " WHERE year(o_orderdate) <= 1998",
+    "snapshot_history": """
+SELECT CAST(year(o_orderdate) AS VARCHAR) AS snapshot_id,
+       row_number() OVER (ORDER BY year(o_orderdate)) AS sequence_number,
+       'append' AS operation, count(*) AS added_rows
+FROM orders GROUP BY year(o_orderdate)""",
+    "partition_filter": with_(POSITIONS, WAREHOUSE) + """
+SELECT * FROM wh WHERE pos_date = DATE '2024-01-15'""",
+    "csv_scan": with_(WEATHER) + """
+SELECT strftime(landed, '%Y-%m-%d') AS landing_date, strftime(landed, '%H') AS landing_hour,
+       count(*) AS files,
+       CAST(sum(n + CASE WHEN hour(event_hour) % 2 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS rows
+FROM m GROUP BY 1, 2""",
+    "weather_load": with_(WEATHER) + f"SELECT {WEATHER_COLS} FROM w",
+    "hour_reload": with_(WEATHER) + f"SELECT {WEATHER_COLS}, landing_date, landing_hour FROM wl",
+    "hour_window_filter": with_(WEATHER) + """
+SELECT landing_date, landing_hour,
+       observation_ts >= date_trunc('hour', landed)
+         AND observation_ts < date_trunc('hour', landed) + INTERVAL 1 HOUR AS in_window,
+       count(*) AS rows
+FROM wl GROUP BY 1, 2, 3""",
+    "station_summary": with_(WEATHER) + """
+SELECT station_id, count(*) AS total_obs,
+       CAST(round(avg(temperature_c), 3) AS DOUBLE) AS avg_temp_c,
+       max(wind_speed_kts) AS max_wind_kts
+FROM w GROUP BY station_id ORDER BY station_id""",
+    "ref_seed": with_(REF) + "SELECT * FROM ref",
+    "ref_update": with_(REF) + """
+SELECT icao24, registration, aircraft_type,
+       CASE WHEN icao24 = '000007' THEN 'UPDATED OPERATOR' ELSE operator END AS operator, country
+FROM ref""",
+})

@@ -20,6 +20,11 @@ from tidewater.operators.lookup import ReferenceCache, lookup_join
 from tidewater.operators.offsets import assign_offsets
 from tidewater.plans import reports, views
 from tidewater.schemas import LAKE_POSITIONS, Target
+from tidewater.operators.lake import LedgerTable
+from tidewater.operators.warehouse import PartitionedTable
+from tidewater.schemas import WEATHER_CSV_FIELDS, WEATHER_OBS, struct_of
+from tidewater.session import scratch_path, scratch_root
+from tidewater.sources import files
 from tidewater.sources.topics import as_messages, topic_depth
 
 POSITIONS_TOPIC = "adsb-positions"
@@ -230,6 +235,180 @@ def q_dlq_replay(spark, sf_dir):
     return ingest.envelope_rows(parsed, keep=["offset", "orig_offset"])
 
 
+# --- tables written once per (scratch folder, input folder) -----------------
+# Queries over a written table build it on first use in the session's shared
+# scratch folder; later queries on the same input reuse it.
+_BUILT: dict[tuple, str] = {}
+
+
+def _built(spark: SparkSession, kind: str, sf_dir: str, build: Callable[[str], None]) -> str:
+    key = (kind, scratch_root(spark), sf_dir)
+    if key not in _BUILT:
+        path = scratch_path(spark, kind, unique=True)
+        build(path)
+        _BUILT[key] = path
+    return _BUILT[key]
+
+
+# --- lake (pipelines 4, 5) ---------------------------------------------------
+
+def orders_lake(spark: SparkSession, sf_dir: str) -> LedgerTable:
+    """Orders committed as one snapshot per order year, partitioned by month."""
+    def build(path):
+        LedgerTable(spark, path, ["order_month"]).append_snapshots(
+            views.order_snapshots(spark, sf_dir), "snapshot")
+    return LedgerTable(spark, _built(spark, "lake-orders", sf_dir, build), ["order_month"])
+
+
+def q_lake_current(spark, sf_dir):
+    return orders_lake(spark, sf_dir).read()
+
+
+TIME_TRAVEL_SNAPSHOT = "1998"
+
+
+def q_time_travel(spark, sf_dir):
+    """``FOR TIMESTAMP AS OF`` the commit time of one snapshot."""
+    lake = orders_lake(spark, sf_dir)
+    at = (lake.commits().where(F.col("snapshot_id") == TIME_TRAVEL_SNAPSHOT)
+          .select("committed_at").first())
+    return lake.read(as_of=at[0] if at else None)
+
+
+def q_snapshot_history(spark, sf_dir):
+    return orders_lake(spark, sf_dir).snapshots().select(
+        "snapshot_id", "sequence_number", "operation", "added_rows")
+
+
+# --- warehouse table (pipeline 2) --------------------------------------------
+
+def positions_table(spark: SparkSession, sf_dir: str) -> PartitionedTable:
+    rows = warehouse_rows(spark, sf_dir)
+    schema = rows.schema.add("load_id", "string")
+
+    def build(path):
+        PartitionedTable(spark, path, schema, ["pos_date", "load_id"]).write(
+            rows.withColumn("load_id", F.lit("load-0")))
+    return PartitionedTable(spark, _built(spark, "warehouse-positions", sf_dir, build), schema,
+                            ["pos_date", "load_id"])
+
+
+PARTITION_DAY = "2024-01-15"
+
+
+def q_partition_filter(spark, sf_dir):
+    """Equality on the day partition column: only that folder is read."""
+    t = positions_table(spark, sf_dir).read()
+    return t.where(F.col("pos_date") == F.lit(PARTITION_DAY).cast("date")).drop("load_id")
+
+
+# --- hour folders and the weather table (pipeline 3) ------------------------
+
+WEATHER_HEADER = ",".join(WEATHER_CSV_FIELDS)
+
+
+def weather_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One CSV document per (event hour, id chunk): header, rows in id order
+    (CRLF line ends, some values padded), a stray header line at the end in
+    even hours; the message lands 10 minutes after its last observation."""
+    w = views.weather_rows(spark, sf_dir)
+    pad = F.col("event_id") % 11 == 0
+    temp = F.col("temperature_c").cast("string")
+    line = F.concat_ws(
+        ",", "station_id", F.date_format("observation_ts", "yyyy-MM-dd HH:mm:ss"),
+        F.when(pad, F.concat(F.lit(" "), temp, F.lit(" "))).otherwise(temp),
+        *[F.col(c).cast("string") for c in WEATHER_CSV_FIELDS[3:]])
+    msgs = (w.groupBy("event_hour", "chunk")
+            .agg(F.sort_array(F.collect_list(F.struct("event_id", line.alias("line")))).alias("rows"),
+                 F.max("observation_ts").alias("last_obs")))
+    stray = F.when(F.hour("event_hour") % 2 == 0, F.lit("\r\n" + WEATHER_HEADER)).otherwise(F.lit(""))
+    body = F.concat(F.lit(WEATHER_HEADER + "\r\n"),
+                    F.array_join(F.transform("rows", lambda r: r["line"]), "\r\n"), stray, F.lit("\r\n"))
+    landed = F.col("last_obs") + F.expr(views.LANDING_DELAY)
+    return as_messages(msgs.select(body.alias("body"), landed.alias("landed"),
+                                   F.col("chunk").alias("chunk")),
+                       "body", "weather-csv", offset="chunk", timestamp="landed")
+
+
+def weather_files(spark: SparkSession, sf_dir: str) -> str:
+    def build(path):
+        files.write_hour_folders(weather_messages(spark, sf_dir), path)
+    return _built(spark, "weather-csv", sf_dir, build)
+
+
+def weather_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return files.read_csv_folder(spark, WEATHER_CSV_FIELDS, root=weather_files(spark, sf_dir))
+
+
+def weather_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cast with trim; rows whose cast fails (stray headers) are skipped."""
+    scan = weather_scan(spark, sf_dir)
+    typed = casting.apply_target(scan, WEATHER_OBS, keep=["landing_date", "landing_hour"], trim=True)
+    return casting.good_rows(typed, "reject")
+
+
+WEATHER_TABLE_SCHEMA = struct_of(WEATHER_OBS).add("landing_date", "string").add("landing_hour", "string")
+
+
+def weather_table(spark: SparkSession, sf_dir: str, reload_twice: bool = False) -> PartitionedTable:
+    def build(path):
+        t = PartitionedTable(spark, path, WEATHER_TABLE_SCHEMA, ["landing_date", "landing_hour"])
+        t.write(weather_typed(spark, sf_dir))
+        if reload_twice:
+            t.write(weather_typed(spark, sf_dir))   # same hours again: replaced, not doubled
+    kind = "weather-obs-reloaded" if reload_twice else "weather-obs"
+    return PartitionedTable(spark, _built(spark, kind, sf_dir, build), WEATHER_TABLE_SCHEMA,
+                            ["landing_date", "landing_hour"])
+
+
+def q_csv_scan(spark, sf_dir):
+    return (weather_scan(spark, sf_dir).groupBy("landing_date", "landing_hour")
+            .agg(F.countDistinct("path").alias("files"), F.count(F.lit(1)).alias("rows")))
+
+
+def q_weather_load(spark, sf_dir):
+    return weather_typed(spark, sf_dir).drop("landing_date", "landing_hour")
+
+
+def q_hour_reload(spark, sf_dir):
+    return weather_table(spark, sf_dir, reload_twice=True).read()
+
+
+def q_hour_window_filter(spark, sf_dir):
+    return reports.hour_window_counts(weather_table(spark, sf_dir).read())
+
+
+def q_station_summary(spark, sf_dir):
+    return reports.station_summary(weather_table(spark, sf_dir).read())
+
+
+# --- reference table (pipeline 5) --------------------------------------------
+
+UPDATED_OPERATOR = "UPDATED OPERATOR"
+
+
+def reference_store(spark: SparkSession, sf_dir: str) -> LedgerTable:
+    """Versioned reference table: seeded once, then updated by overwrite."""
+    def build(path):
+        LedgerTable(spark, path).overwrite(views.aircraft_ref(spark, sf_dir), "v1")
+    return LedgerTable(spark, _built(spark, "aircraft-ref", sf_dir, build))
+
+
+def q_ref_seed(spark, sf_dir):
+    return reference_store(spark, sf_dir).read(snapshot_id="v1")
+
+
+def q_ref_update(spark, sf_dir):
+    """``UPDATE aircraft_ref SET operator = … WHERE icao24 = …`` as a new version."""
+    store = reference_store(spark, sf_dir)
+    current = store.read(snapshot_id="v1")
+    updated = current.withColumn(
+        "operator", F.when(F.col("icao24") == EXAMPLE_KEY, F.lit(UPDATED_OPERATOR))
+        .otherwise(F.col("operator")))
+    store.overwrite(updated, "v2")
+    return store.read()
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "delimited_scan": q_delimited_scan,
     "delimited_rejects": q_delimited_rejects,
@@ -254,4 +433,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dlq_split": q_dlq_split,
     "topic_depth": q_topic_depth,
     "dlq_replay": q_dlq_replay,
+    "lake_current": q_lake_current,
+    "time_travel": q_time_travel,
+    "snapshot_history": q_snapshot_history,
+    "partition_filter": q_partition_filter,
+    "csv_scan": q_csv_scan,
+    "weather_load": q_weather_load,
+    "hour_reload": q_hour_reload,
+    "hour_window_filter": q_hour_window_filter,
+    "station_summary": q_station_summary,
+    "ref_seed": q_ref_seed,
+    "ref_update": q_ref_update,
 }

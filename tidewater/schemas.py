@@ -145,8 +145,21 @@ TOPIC_SCHEMA = T.StructType([
 REJECT_COLUMNS = ["offset", "error_stage", "error_column", "error_message"]
 
 
+_SIMPLE = {
+    "string": T.StringType(), "double": T.DoubleType(), "int": T.IntegerType(),
+    "bigint": T.LongType(), "smallint": T.ShortType(), "tinyint": T.ByteType(),
+    "boolean": T.BooleanType(), "date": T.DateType(), "timestamp": T.TimestampType(),
+    "timestamp_ntz": T.TimestampNTZType(), "binary": T.BinaryType(),
+}
+
+
 def spark_type(target: Target) -> T.DataType:
-    return T._parse_datatype_string(target.dtype)
+    """Spark type of a target's type name (no session needed)."""
+    name = target.dtype.strip().lower()
+    if name.startswith("decimal("):
+        p, s = name[len("decimal("):-1].split(",")
+        return T.DecimalType(int(p), int(s))
+    return _SIMPLE[name]
 
 
 def struct_of(targets: list[Target]) -> T.StructType:
