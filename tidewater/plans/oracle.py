@@ -235,3 +235,34 @@ SELECT icao24, registration, aircraft_type,
        CASE WHEN icao24 = '000007' THEN 'UPDATED OPERATOR' ELSE operator END AS operator, country
 FROM ref""",
 })
+
+PRODUCTS = """
+prod AS (
+  SELECT CASE WHEN p_partkey % 2 = 1 THEN 2 ELSE 1 END AS ver,
+         CAST(p_partkey AS VARCHAR) AS product_id, p_name AS name, p_retailprice AS price,
+         p_type AS category, epoch_ms(1704067200000 + p_partkey * 60000) AS ts,
+         CASE WHEN p_partkey % 2 = 1 THEN p_brand END AS description,
+         CASE WHEN p_partkey % 2 = 1 THEN 'size-' || CAST(p_size AS VARCHAR) END AS subcategory,
+         CASE WHEN p_partkey % 2 = 1 THEN CAST(p_size % 50 AS DOUBLE) END AS discount_pct
+  FROM part)"""
+
+AVRO_POSITION_COLS = """event_id AS "offset", icao24, callsign, latitude, longitude, altitude, velocity,
+       heading, vertical_rate, on_ground, squawk, epoch_ms(ts) AS ts"""
+
+ORACLE.update({
+    "avro_raw_roundtrip": with_(POSITIONS) + f"SELECT {AVRO_POSITION_COLS} FROM positions",
+    "avro_framed_roundtrip": with_(POSITIONS) + f"""
+SELECT {AVRO_POSITION_COLS}, CASE WHEN event_id % 2 = 1 THEN 2 ELSE 1 END AS schema_id
+FROM positions""",
+    "container_split": with_(PRODUCTS) + """
+SELECT ver AS container_id, count(*) AS records FROM prod GROUP BY ver ORDER BY ver""",
+    "schema_evolution": with_(PRODUCTS) + """
+SELECT ver, product_id, price, description, discount_pct FROM prod""",
+    "nested_filter": with_(PRODUCTS) + """
+SELECT product_id, name, discount_pct FROM prod WHERE discount_pct > 20.0""",
+    "unnest_struct": with_(PRODUCTS) + """
+SELECT ver AS container_id, product_id, name, price, category, ts, description, subcategory,
+       discount_pct
+FROM prod""",
+    "validity_counts": "SELECT 'OK' AS validity, count(*) AS cnt FROM part",
+})

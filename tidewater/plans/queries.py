@@ -24,7 +24,8 @@ from tidewater.operators.lake import LedgerTable
 from tidewater.operators.warehouse import PartitionedTable
 from tidewater.schemas import WEATHER_CSV_FIELDS, WEATHER_OBS, struct_of
 from tidewater.session import scratch_path, scratch_root
-from tidewater.sources import files
+from tidewater.schemas import AVRO_POSITION, AVRO_PRODUCT_V1, AVRO_PRODUCT_V2
+from tidewater.sources import avro, files
 from tidewater.sources.topics import as_messages, topic_depth
 
 POSITIONS_TOPIC = "adsb-positions"
@@ -409,6 +410,90 @@ def q_ref_update(spark, sf_dir):
     return store.read()
 
 
+# --- Avro (pipelines 1, 6) ---------------------------------------------------
+
+def avro_position_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positions as Avro records want them: boolean flag, ts as epoch ms."""
+    return views.positions(spark, sf_dir).select(
+        F.col("event_id").alias("offset"), "icao24", "callsign", "latitude", "longitude",
+        "altitude", "velocity", "heading", "vertical_rate", "on_ground", "squawk",
+        F.unix_millis(F.col("ts").cast("timestamp")).alias("ts"))
+
+
+def q_avro_raw_roundtrip(spark, sf_dir):
+    rows = avro_position_rows(spark, sf_dir)
+    msgs = avro.encode(rows, AVRO_POSITION, keep=["offset"])
+    out = avro.decode(msgs, "value", AVRO_POSITION, keep=["offset"])
+    return out.where(F.col(avro.ERROR).isNull()).drop(avro.ERROR)
+
+
+# A second writer version of the position record (one extra optional field),
+# registered beside the first: one topic carries both.
+AVRO_POSITION_V2 = {**AVRO_POSITION, "fields": AVRO_POSITION["fields"] + [
+    {"name": "source", "type": ["null", "string"], "default": None}]}
+REGISTRY_ROWS = [(1, "adsb-positions-value", AVRO_POSITION), (2, "adsb-positions-value", AVRO_POSITION_V2)]
+
+
+def schema_registry(spark: SparkSession) -> DataFrame:
+    import json as _json
+    return spark.createDataFrame([(i, s, _json.dumps(a)) for i, s, a in REGISTRY_ROWS],
+                                 "schema_id int, subject string, avsc string")
+
+
+def q_avro_framed_roundtrip(spark, sf_dir):
+    """Even offsets written with schema 1, odd with schema 2; decoded by the
+    id in each frame and resolved to the reader schema."""
+    rows = avro_position_rows(spark, sf_dir).withColumn(
+        "schema_id", F.when(F.col("offset") % 2 == 1, 2).otherwise(1))
+    v1 = avro.encode(rows.where(F.col("schema_id") == 1), AVRO_POSITION, keep=["offset", "schema_id"])
+    v2 = avro.encode(rows.where(F.col("schema_id") == 2).withColumn("source", F.lit("mlat")),
+                     AVRO_POSITION_V2, keep=["offset", "schema_id"])
+    framed = v1.unionByName(v2).select("offset", wire.frame("value", "schema_id").alias("value"))
+    registry = avro.registry_from(schema_registry(spark))
+    out = avro.decode_framed(framed, registry, AVRO_POSITION, keep=["offset"])
+    return out.where(F.col(avro.ERROR).isNull()).drop(avro.ERROR)
+
+
+def product_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staging table (stage_id, part, container): version-1 products in
+    stage 1 written with schema v1, version-2 products in stage 2 with v2."""
+    def build(path):
+        p = views.products(spark, sf_dir)
+        s1 = avro.to_containers(p.where(F.col("version") == 1), AVRO_PRODUCT_V1, "version")
+        s2 = avro.to_containers(p.where(F.col("version") == 2), AVRO_PRODUCT_V2, "version")
+        s1.unionByName(s2).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(_built(spark, "avro-stage", sf_dir, build))
+
+
+def product_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return avro.split_containers(product_stage(spark, sf_dir), AVRO_PRODUCT_V2)
+
+
+def q_container_split(spark, sf_dir):
+    return (product_rows(spark, sf_dir).groupBy("container_id")
+            .agg(F.count(F.lit(1)).alias("records")).orderBy("container_id"))
+
+
+def q_schema_evolution(spark, sf_dir):
+    return product_rows(spark, sf_dir).select(
+        F.col("container_id").alias("ver"), F.col("avro.product_id").alias("product_id"),
+        F.col("avro.price").alias("price"), F.col("avro.description").alias("description"),
+        F.col("avro.discount_pct").alias("discount_pct"))
+
+
+def q_nested_filter(spark, sf_dir):
+    return product_rows(spark, sf_dir).where(F.col("avro.discount_pct") > 20.0).select(
+        "avro.product_id", "avro.name", "avro.discount_pct")
+
+
+def q_unnest_struct(spark, sf_dir):
+    return product_rows(spark, sf_dir).select("container_id", "avro.*")
+
+
+def q_validity_counts(spark, sf_dir):
+    return product_rows(spark, sf_dir).groupBy("validity").agg(F.count(F.lit(1)).alias("cnt"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "delimited_scan": q_delimited_scan,
     "delimited_rejects": q_delimited_rejects,
@@ -444,4 +529,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "station_summary": q_station_summary,
     "ref_seed": q_ref_seed,
     "ref_update": q_ref_update,
+    "avro_raw_roundtrip": q_avro_raw_roundtrip,
+    "avro_framed_roundtrip": q_avro_framed_roundtrip,
+    "container_split": q_container_split,
+    "schema_evolution": q_schema_evolution,
+    "nested_filter": q_nested_filter,
+    "unnest_struct": q_unnest_struct,
+    "validity_counts": q_validity_counts,
 }

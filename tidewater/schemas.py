@@ -164,3 +164,44 @@ def spark_type(target: Target) -> T.DataType:
 
 def struct_of(targets: list[Target]) -> T.StructType:
     return T.StructType([T.StructField(t.name, spark_type(t), t.nullable) for t in targets])
+
+
+# --- fixed values: Avro record schemas (wire compatibility) ---------------
+# Position record; field-level logicalType on ts is ignored by Avro, so ts is
+# a plain long of epoch milliseconds.
+AVRO_POSITION = {
+    "type": "record", "name": "AircraftPosition",
+    "fields": [
+        {"name": "icao24", "type": "string"},
+        {"name": "callsign", "type": "string"},
+        {"name": "latitude", "type": "double"},
+        {"name": "longitude", "type": "double"},
+        {"name": "altitude", "type": "int"},
+        {"name": "velocity", "type": "double"},
+        {"name": "heading", "type": "double"},
+        {"name": "vertical_rate", "type": "int"},
+        {"name": "on_ground", "type": "boolean"},
+        {"name": "squawk", "type": "string"},
+        {"name": "ts", "type": "long", "logicalType": "timestamp-millis"},
+    ],
+}
+# Product v1 and v2 (v2 adds three optional fields with null defaults).
+AVRO_PRODUCT_V1 = {
+    "type": "record", "name": "Product",
+    "fields": [
+        {"name": "product_id", "type": "string"},
+        {"name": "name", "type": "string"},
+        {"name": "price", "type": "double"},
+        {"name": "category", "type": "string"},
+        {"name": "ts", "type": {"type": "long", "logicalType": "timestamp-millis"}},
+    ],
+}
+AVRO_PRODUCT_V2 = {
+    "type": "record", "name": "Product",
+    "fields": AVRO_PRODUCT_V1["fields"] + [
+        {"name": "description", "type": ["null", "string"], "default": None},
+        {"name": "subcategory", "type": ["null", "string"], "default": None},
+        {"name": "discount_pct", "type": ["null", "double"], "default": None},
+    ],
+}
+# --- end fixed values ---------------------------------------------------
