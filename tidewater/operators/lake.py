@@ -136,7 +136,9 @@ class LedgerTable:
         if committed:
             data = data.where(~F.col("snapshot_id").isin(sorted(committed)))
         self._save_schema(data.drop("snapshot_id"))
-        (data.write.mode("overwrite").partitionBy("snapshot_id", *self.partition_cols)
+        # few files per folder; AQE still splits a skewed folder
+        (data.hint("rebalance", "snapshot_id", *self.partition_cols)
+         .write.mode("overwrite").partitionBy("snapshot_id", *self.partition_cols)
          .parquet(self.data_path))
         counts = self._counts_of_uncommitted(committed, snapshot_ids)
         self._commit(sorted(counts.items()), operation)

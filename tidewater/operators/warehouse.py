@@ -55,8 +55,10 @@ class PartitionedTable:
     def write(self, df: DataFrame) -> None:
         """Replace exactly the partitions present in ``df`` (idempotent)."""
         cols = [f.name for f in self.schema.fields]
-        (df.select(*cols).write.mode("overwrite").partitionBy(*self.partition_cols)
-         .parquet(self.path))
+        # REBALANCE: AQE groups rows of a partition folder into few tasks (few
+        # files per folder) and still splits a skewed folder across tasks
+        (df.select(*cols).hint("rebalance", *self.partition_cols)
+         .write.mode("overwrite").partitionBy(*self.partition_cols).parquet(self.path))
 
     def read(self) -> DataFrame:
         if not path_exists(self.spark, self.path):

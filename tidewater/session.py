@@ -47,6 +47,8 @@ def local_session(cpus: int | str = "*", app: str = "tidewater") -> SparkSession
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", os.environ.get("TIDEWATER_DRIVER_MEMORY", "8g"))
         .config("spark.sql.files.maxPartitionBytes", str(64 * 1024 * 1024))
+        # small local inputs: aim AQE at several tasks rather than one
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(4 * 1024 * 1024))
     )
     for key, value in RUNTIME_CONF.items():
         builder = builder.config(key, value)

@@ -43,6 +43,7 @@ def write_hour_folders(messages: DataFrame, root: str, landing_ts: str = "timest
     out = messages.select(body, *landing_columns(landing_ts))
     writer_opts = {"maxRecordsPerFile": str(records_per_file), "lineSep": "\n"}
     if layout == HIVE:
+        # one file per message already fixes the file count: no rebalance
         (out.write.mode("append").options(**writer_opts)
          .partitionBy("landing_date", "landing_hour").text(root))
         return
