@@ -170,7 +170,8 @@ def encode_envelope(fields=ENVELOPE_FIELDS, ts_col: str | Column = "ts") -> Colu
 
 ENVELOPE_DDL = (
     "schema struct<type: string, fields: array<struct<field: string, type: string, "
-    "optional: boolean>>, optional: boolean, name: string>, payload map<string, string>"
+    "optional: boolean>>, optional: boolean, name: string>, payload map<string, string>, "
+    "_corrupt string"
 )
 
 
@@ -181,7 +182,8 @@ def decode_envelope(value: str | Column) -> Column:
     read field names from each message's own schema, and the typed cast happens
     against the sink's target afterwards.
     """
-    return F.from_json(_c(value).cast("string"), ENVELOPE_DDL)
+    return F.from_json(_c(value).cast("string"), ENVELOPE_DDL,
+                       {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
 
 
 def envelope_missing_required(env: Column) -> Column:

@@ -128,7 +128,7 @@ def envelope_usable(usable: bool = True) -> F.Column:
 def envelope_problem() -> F.Column:
     """Why a decoded envelope is unusable, or NULL when it is fine."""
     env = F.col("_env")
-    return (F.when(env.isNull(), F.lit("value is not a JSON object"))
+    return (F.when(env.isNull() | env["_corrupt"].isNotNull(), F.lit("value is not a JSON object"))
             .when(env["schema"].isNull() | env["payload"].isNull(),
                   F.lit("envelope needs schema and payload"))
             .when(F.size("_missing") > 0,

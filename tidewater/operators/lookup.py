@@ -2,9 +2,9 @@
 
 The reference caches looked-up rows per key for a fixed time.  Spark has no
 per-key lookup operator, so the whole reference table is the cache unit:
-``ReferenceCache`` re-reads it when its age reaches the TTL and keeps it
-persisted between micro-batches.  Each batch then joins against the current
-version; a change to the reference is visible to every row processed at least
+``ReferenceCache`` re-reads it when its age reaches the TTL and keeps it as
+a checkpointed snapshot between micro-batches.  Each batch then joins
+against the current version; a change to the reference is visible to every row processed at least
 one TTL after the change.
 
 Broadcasting is gated by the row count taken on refresh: at or below
@@ -19,18 +19,18 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.schemas import REF_ATTRIBUTES, UNKNOWN
+from tidewater.session import scratch_root
 
 DEFAULT_TTL_SECONDS = 30.0
 DEFAULT_MAX_ROWS = 10_000
 
 
 class ReferenceCache:
-    """Holds one persisted version of the reference table, refreshed by TTL.
+    """Holds one checkpointed version of the reference table, refreshed by TTL.
 
     ``loader`` must build a fresh DataFrame each call (file listings and JDBC
     reads are fixed when a DataFrame is built).  ``clock`` is injectable so
@@ -56,18 +56,20 @@ class ReferenceCache:
     def get(self) -> tuple[DataFrame, int]:
         now = self.clock()
         if self._df is None or now - self._loaded_at >= self.ttl:
-            fresh = self.loader().persist(StorageLevel.MEMORY_AND_DISK)
+            # a reliable checkpoint in the shared checkpoint folder: a fixed
+            # snapshot for the whole TTL (a persisted DataFrame would be
+            # recomputed from the changed source after an executor loss or
+            # a same-session write to its path)
+            source = self.loader()
+            scratch_root(source.sparkSession)      # checkpoint folder is set
+            fresh = source.checkpoint(eager=True)
             rows = fresh.count()
-            if self._df is not None:
-                self._df.unpersist()
             self._df, self._rows, self._loaded_at = fresh, rows, now
             self.refreshes += 1
         return self._df, self._rows
 
     def close(self) -> None:
-        if self._df is not None:
-            self._df.unpersist()
-            self._df = None
+        self._df = None
 
 
 def lookup_join(
