@@ -23,8 +23,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.functions.wire import strip_newline
-
 HIVE, DATED = "hive", "dated"
 
 
@@ -38,8 +36,12 @@ def landing_columns(ts: str | Column) -> list[Column]:
 def write_hour_folders(messages: DataFrame, root: str, landing_ts: str = "timestamp",
                        layout: str = HIVE, records_per_file: int = 1,
                        batch_name: str | None = None) -> None:
-    """Message bytes (one trailing newline stripped) into hour folders."""
-    body = strip_newline(F.col("value").cast("string")).alias("value")
+    """Message bytes into hour folders.
+
+    The text writer ends every record with ``\n``, so exactly one trailing
+    ``\n`` is removed first: a message ending in a newline is stored byte for
+    byte (a message without one gains a final ``\n``)."""
+    body = F.regexp_replace(F.col("value").cast("string"), r"\n\z", "").alias("value")
     out = messages.select(body, *landing_columns(landing_ts))
     writer_opts = {"maxRecordsPerFile": str(records_per_file), "lineSep": "\n"}
     if layout == HIVE:
@@ -119,8 +121,12 @@ def load_manifest_files(spark: SparkSession, manifest: str, sep: str = "|") -> D
     a missing file simply has no row.  Each file is one row; files above 2 GB
     cannot be a single binary value, so containers that large should be read
     split by block (``sources.avro.read_containers``)."""
+    from tidewater.operators.lake import path_exists
     m = read_manifest(spark, manifest, sep)
+    # the manifest is a file list (metadata), checked on the driver so a
+    # missing file drops its row instead of failing the whole read
     paths = [r[0] for r in m.select("path").distinct().collect()]
+    paths = [p for p in paths if path_exists(spark, p)]
     if not paths:
         return spark.createDataFrame([], "stage_id int, container binary")
     files = spark.read.format("binaryFile").load(paths).select("path", "content")

@@ -149,9 +149,9 @@ def envelope_batch(sink: Callable[[DataFrame, str], None], source_topic: str,
         parsed = ingest.parse_envelope(batch, keep=["key", "partition", "offset"])
         dead = deadletter.dead_letters(parsed, source_topic, connector)
         if dlq is None:
-            first = dead.select("source_offset").first()
+            first = dead.agg(F.min("source_offset")).first()[0]
             if first is not None:
-                raise ValueError(f"bad record at offset {first[0]} (no dead-letter topic)")
+                raise ValueError(f"bad record at offset {first} (no dead-letter topic)")
         else:
             dead = dead.withColumn("partition", F.lit(0))
             base = next_offsets(dlq.read()) if _exists(batch.sparkSession, dlq.path) else None
