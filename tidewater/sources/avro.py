@@ -298,3 +298,36 @@ def split_containers(staged: DataFrame, reader: dict, id_col: str = "stage_id",
                 names=[f.name for f in out_schema.fields])
 
     return staged.select(*cols).mapInArrow(run, out_schema)
+
+
+# --- SQL surface: container split as a table function -----------------------
+
+def register_container_split(spark: SparkSession, reader: dict,
+                             name: str = "avro_container_split") -> None:
+    """Register U1 for SQL: ``SELECT t.* FROM stage, LATERAL
+    avro_container_split(stage_id, container) t`` (one row per record, with
+    ``avro`` as a JSON text of the record in the reader schema and the
+    validity text).  The DataFrame path (``split_containers``) is the batched
+    one; this is the SQL-callable form."""
+    from pyspark.sql.functions import udtf
+
+    reader_json = json.dumps(reader)
+
+    @udtf(returnType="container_id int, avro_obj_id int, avro string, validity string")
+    class ContainerSplit:
+        def __init__(self):
+            self.rschema = json.loads(reader_json)
+            self.names = [f["name"] for f in self.rschema["fields"]]
+            self.defaults = _defaults(self.rschema)
+
+        def eval(self, container_id, blob):
+            n = 0
+            try:
+                _, records = codec.read_container(bytes(blob))
+                for rec in records:
+                    n += 1
+                    yield container_id, n, json.dumps(codec.resolve(rec, self.names, self.defaults)), "OK"
+            except Exception as e:  # noqa: BLE001
+                yield container_id, None, None, f"invalid container: {e}"
+
+    spark.udtf.register(name, ContainerSplit)

@@ -97,11 +97,14 @@ class FileTopic:
             df = df.where(F.col("offset") < ending_offset)
         return df.select(*TOPIC_SCHEMA.fieldNames())
 
-    def read_stream(self, max_files_per_trigger: int | None = None) -> DataFrame:
+    def read_stream(self, max_files_per_trigger: int | None = None,
+                    starting: str | dict[int, int] = "earliest") -> DataFrame:
         reader = self.spark.readStream.schema(TOPIC_SCHEMA)
         if max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-        return reader.parquet(self.path).select(*TOPIC_SCHEMA.fieldNames())
+        df = reader.parquet(self.path).select(*TOPIC_SCHEMA.fieldNames())
+        cond = start_filter(self, starting)
+        return df if cond is None else df.where(cond)
 
 
 def kafka_read(spark: SparkSession, servers: str, topic: str, bounded: bool,
@@ -124,3 +127,22 @@ def topic_depth(messages: DataFrame) -> DataFrame:
     ends = messages.groupBy("partition").agg((F.max("offset") + 1).alias("end_offset"))
     return ends.agg(F.coalesce(F.sum("end_offset"), F.lit(0)).cast("long").alias("depth"),
                     F.count("*").alias("partitions"))
+
+
+def start_filter(topic: FileTopic, starting: str | dict[int, int]) -> Column | None:
+    """Start-offset policy for a file-backed topic stream (S3).
+
+    ``earliest`` reads everything; ``latest`` only messages appended after
+    the stream starts (end offsets taken now, per partition); a dict gives an
+    explicit start offset per partition (replay).  Once a checkpoint exists
+    the stream resumes from it and this policy no longer matters.
+    """
+    if starting == "earliest":
+        return None
+    if starting == "latest":
+        ends = topic.read().groupBy("partition").agg((F.max("offset") + 1).alias("e")).collect()
+        starting = {int(r[0]): int(r[1]) for r in ends}
+    cond = F.lit(True)
+    for p, off in starting.items():
+        cond = F.when(F.col("partition") == p, F.col("offset") >= off).otherwise(cond)
+    return cond
