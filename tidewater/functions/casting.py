@@ -52,6 +52,32 @@ def apply_target(
     """
     keep = list(keep or [])
     source = source or {}
+    key = _memo_key(targets, source, trim, checks)
+    built = _BUILT.get(key) if key is not None else None
+    if built is None:
+        built = _build(targets, source, trim, checks)
+        if key is not None:
+            _BUILT[key] = built
+    srcs, mids, typed, errors = built
+    step1 = df.select(*keep, *srcs)
+    step2 = step1.select(*keep, *mids, *typed)
+    return step2.select(*keep, *[t.name for t in targets], errors.alias(ERRORS),
+                        F.spark_partition_id().alias(FENCE))
+
+
+# Column trees for a target are constant: build them once per process (each
+# F.* call is a round trip to the JVM, thousands per target).
+_BUILT: dict = {}
+
+
+def _memo_key(targets, source, trim, checks):
+    if any(not isinstance(v, (str, type(None))) for v in source.values()):
+        return None
+    return (tuple(targets), tuple(sorted(source.items(), key=lambda kv: kv[0])), trim,
+            id(checks) if checks is not None else None)
+
+
+def _build(targets, source, trim, checks):
     srcs, typed, errs = [], [], []
     for t in targets:
         raw = source.get(t.name, t.name)
@@ -79,13 +105,10 @@ def apply_target(
             errs.append(_err(t.name, "null in NOT NULL column", v.isNull()))
     for name, bad, message in checks or []:
         errs.append(_err(name, message, bad))
-    names = [t.name for t in targets]
-    step1 = df.select(*keep, *srcs)
-    step2 = step1.select(*keep, *[F.col(f"_src_{t.name}") for t in targets
-                                  if source.get(t.name, t.name) is not None], *typed)
+    mids = [F.col(f"_src_{t.name}") for t in targets if source.get(t.name, t.name) is not None]
     errors = (F.filter(F.array(*errs), lambda e: e.isNotNull()) if errs
               else F.array().cast("array<struct<column:string,message:string>>"))
-    return step2.select(*keep, *names, errors.alias(ERRORS), F.spark_partition_id().alias(FENCE))
+    return srcs, mids, typed, errors
 
 
 # Catalyst pushes a Filter below any deterministic Project by inlining the

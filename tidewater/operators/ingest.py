@@ -77,12 +77,18 @@ def to_lake(parsed: DataFrame, keep: list[str] = [], policy: str = "drop") -> Da
     return typed.drop(casting.ERRORS, casting.FENCE)
 
 
+_CHECKS: list = []
+
+
 def warehouse_checks() -> list[tuple[str, F.Column, str]]:
-    """pos_date must fall in the table's day-range partitioning."""
-    return [("pos_date",
-             (F.col("pos_date") < F.lit(WAREHOUSE_FIRST_DAY).cast("date"))
-             | (F.col("pos_date") > F.lit(WAREHOUSE_LAST_DAY).cast("date")),
-             "no partition for date")]
+    """pos_date must fall in the table's day-range partitioning (one
+    constant list, so typed expressions built from it are reused)."""
+    if not _CHECKS:
+        _CHECKS.append(("pos_date",
+                        (F.col("pos_date") < F.lit(WAREHOUSE_FIRST_DAY).cast("date"))
+                        | (F.col("pos_date") > F.lit(WAREHOUSE_LAST_DAY).cast("date")),
+                        "no partition for date"))
+    return _CHECKS
 
 
 def to_warehouse(parsed: DataFrame, keep: list[str] = ["offset"]) -> DataFrame:

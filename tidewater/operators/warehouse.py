@@ -52,13 +52,18 @@ class PartitionedTable:
         self.schema = schema
         self.partition_cols = list(partition_cols)
 
-    def write(self, df: DataFrame) -> None:
-        """Replace exactly the partitions present in ``df`` (idempotent)."""
+    def write(self, df: DataFrame, clustered: bool = False) -> None:
+        """Replace exactly the partitions present in ``df`` (idempotent).
+
+        Unless the input is already clustered by the partition columns (read
+        from folders of the same layout), REBALANCE groups each folder's rows
+        into few tasks — few files per folder instead of tasks × folders —
+        and AQE still splits a skewed folder across tasks."""
         cols = [f.name for f in self.schema.fields]
-        # REBALANCE: AQE groups rows of a partition folder into few tasks (few
-        # files per folder) and still splits a skewed folder across tasks
-        (df.select(*cols).hint("rebalance", *self.partition_cols)
-         .write.mode("overwrite").partitionBy(*self.partition_cols).parquet(self.path))
+        out = df.select(*cols)
+        if not clustered:
+            out = out.hint("rebalance", *self.partition_cols)
+        out.write.mode("overwrite").partitionBy(*self.partition_cols).parquet(self.path)
 
     def read(self) -> DataFrame:
         if not path_exists(self.spark, self.path):

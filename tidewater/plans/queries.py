@@ -26,7 +26,7 @@ from tidewater.schemas import WEATHER_CSV_FIELDS, WEATHER_OBS, struct_of
 from tidewater.session import scratch_path, scratch_root
 from tidewater.schemas import AVRO_POSITION, AVRO_PRODUCT_V1, AVRO_PRODUCT_V2
 from tidewater.sources import avro, files
-from tidewater.sources.topics import as_messages, topic_depth
+from tidewater.sources.topics import FileTopic, as_messages, topic_depth
 
 POSITIONS_TOPIC = "adsb-positions"
 ENVELOPE_TOPIC = "adsb-positions-envelope"
@@ -42,20 +42,22 @@ SAMPLE_SEED = 42
 def delimited_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pipe-delimited messages with the producer's faults injected:
     blank latitude on offsets 0, 5, 10, …; a truncated line on 3, 10, 17, …"""
-    p = views.positions(spark, sf_dir)
+    return as_messages(views.positions(spark, sf_dir), views.memo("faulty_line", _faulty_line),
+                       POSITIONS_TOPIC, offset="event_id", key="icao24", timestamp="ts")
+
+
+def _faulty_line():
     fields = wire.position_fields_text()
     fields[2] = F.when(views.is_injected(), F.lit("")).otherwise(fields[2])
-    line = F.when(views.is_truncated(), wire.join_line(fields[:-1])).otherwise(wire.join_line(fields))
-    return as_messages(p, line, POSITIONS_TOPIC, offset="event_id", key="icao24",
-                       timestamp="ts")
+    return F.when(views.is_truncated(), wire.join_line(fields[:-1])).otherwise(wire.join_line(fields))
 
 
 def envelope_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Schema-and-payload JSON messages, latitude NULL on injected offsets."""
     p = views.positions(spark, sf_dir).withColumn(
         "latitude", F.when(views.is_injected(), F.lit(None).cast("double")).otherwise(F.col("latitude")))
-    return as_messages(p, wire.encode_envelope(), ENVELOPE_TOPIC, offset="event_id",
-                       key="icao24", timestamp="ts")
+    return as_messages(p, views.memo("envelope", wire.encode_envelope), ENVELOPE_TOPIC,
+                       offset="event_id", key="icao24", timestamp="ts")
 
 
 def parsed_delimited(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -199,13 +201,17 @@ def q_bearing(spark, sf_dir):
 # --- dead letters -----------------------------------------------------------
 
 def dlq_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = ingest.parse_envelope(
-        envelope_topic(spark, sf_dir), keep=["key", "partition", "offset"])
-    dl = deadletter.dead_letters(parsed, ENVELOPE_TOPIC, CONNECTOR)
-    dl = dl.withColumn("partition", F.lit(0))
-    dl = assign_offsets(dl, ["source_partition", "source_offset"], "partition")
-    return as_messages(dl, "value", DLQ_TOPIC, offset="offset", key="key",
-                       partition="partition", headers=F.col("headers"))
+    """The dead-letter topic: unusable envelopes with context headers and
+    their own dense offsets, published once to a file-backed topic."""
+    def build(path):
+        parsed = ingest.parse_envelope(
+            envelope_topic(spark, sf_dir), keep=["key", "partition", "offset"])
+        dl = deadletter.dead_letters(parsed, ENVELOPE_TOPIC, CONNECTOR).withColumn("partition", F.lit(0))
+        dl = assign_offsets(dl, ["source_partition", "source_offset"], "partition")
+        FileTopic(spark, path, DLQ_TOPIC).publish(as_messages(
+            dl, "value", DLQ_TOPIC, offset="offset", key="key", partition="partition",
+            headers=F.col("headers")))
+    return FileTopic(spark, _built(spark, "dlq-topic", sf_dir, build), DLQ_TOPIC).read()
 
 
 def q_dlq_split(spark, sf_dir):
@@ -351,14 +357,11 @@ def weather_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
 WEATHER_TABLE_SCHEMA = struct_of(WEATHER_OBS).add("landing_date", "string").add("landing_hour", "string")
 
 
-def weather_table(spark: SparkSession, sf_dir: str, reload_twice: bool = False) -> PartitionedTable:
+def weather_table(spark: SparkSession, sf_dir: str) -> PartitionedTable:
     def build(path):
-        t = PartitionedTable(spark, path, WEATHER_TABLE_SCHEMA, ["landing_date", "landing_hour"])
-        t.write(weather_typed(spark, sf_dir))
-        if reload_twice:
-            t.write(weather_typed(spark, sf_dir))   # same hours again: replaced, not doubled
-    kind = "weather-obs-reloaded" if reload_twice else "weather-obs"
-    return PartitionedTable(spark, _built(spark, kind, sf_dir, build), WEATHER_TABLE_SCHEMA,
+        PartitionedTable(spark, path, WEATHER_TABLE_SCHEMA, ["landing_date", "landing_hour"]).write(
+            weather_typed(spark, sf_dir), clustered=True)
+    return PartitionedTable(spark, _built(spark, "weather-obs", sf_dir, build), WEATHER_TABLE_SCHEMA,
                             ["landing_date", "landing_hour"])
 
 
@@ -372,7 +375,10 @@ def q_weather_load(spark, sf_dir):
 
 
 def q_hour_reload(spark, sf_dir):
-    return weather_table(spark, sf_dir, reload_twice=True).read()
+    """Load the same landing hours again: they are replaced, not doubled."""
+    table = weather_table(spark, sf_dir)
+    table.write(weather_typed(spark, sf_dir), clustered=True)
+    return table.read()
 
 
 def q_hour_window_filter(spark, sf_dir):

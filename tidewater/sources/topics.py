@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from tidewater.schemas import TOPIC_SCHEMA
 
@@ -49,11 +50,12 @@ def as_messages(
         return F.col(c) if isinstance(c, str) else c
 
     def as_bytes(c):
-        if dict(df.select(c.alias("c")).dtypes)["c"] == "binary":
-            return c
-        return F.encode(c.cast("string"), "UTF-8")
-    v = as_bytes(col(value))
-    k = F.lit(None).cast("binary") if key is None else as_bytes(col(key))
+        # a named binary column is kept; anything else is text → UTF-8
+        if isinstance(c, str) and isinstance(df.schema[c].dataType, BinaryType):
+            return F.col(c)
+        return F.encode(col(c).cast("string"), "UTF-8")
+    v = as_bytes(value)
+    k = F.lit(None).cast("binary") if key is None else as_bytes(key)
     p = F.lit(partition) if isinstance(partition, int) else col(partition)
     ts = F.current_timestamp() if timestamp is None else col(timestamp).cast("timestamp")
     h = headers if headers is not None else F.lit(None).cast(TOPIC_SCHEMA["headers"].dataType)
