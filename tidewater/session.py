@@ -34,9 +34,46 @@ def configure(spark: SparkSession) -> SparkSession:
             spark.conf.set(key, value)
         except Exception:  # static conf on a shared session: keep theirs
             pass
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tidewater`` importable in Python workers (once per context).
+
+    Functions run by ``mapInArrow`` refer to this package's modules; workers
+    on other machines (or started from another directory) cannot import it
+    unless it is installed there.  The package is zipped and added with
+    ``addPyFile``, which Spark distributes to every executor."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    import io
+    import zipfile
+
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, names in os.walk(pkg):
+            if "__pycache__" in root:
+                continue
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(root, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    # the zip is a driver-side artifact: Spark copies it to its own file
+    # server and every executor fetches it from there
+    folder = tempfile.mkdtemp(prefix="tidewater-pkg-")
+    path = os.path.join(folder, "tidewater.zip")
+    with open(path, "wb") as f:
+        f.write(buf.getvalue())
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
+
+
 def local_session(cpus: int | str = "*", app: str = "tidewater") -> SparkSession:
     """A local session for tests and the bench (never used on a cluster)."""
     builder = (

@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from tidewater.functions import avro_codec as codec
 from tidewater.functions import wire
+from tidewater.session import ship_package
 
 ERROR = "_avro_error"
 
@@ -103,6 +104,7 @@ def _defaults(schema: dict) -> dict:
 def encode(df: DataFrame, schema: dict, keep: list[str] = [], out_col: str = "value") -> DataFrame:
     """Rows (columns named as the record fields, timestamps as epoch ms) →
     ``keep`` + Avro body bytes."""
+    ship_package(df.sparkSession)
     names = [f["name"] for f in schema["fields"]]
     schema_json = json.dumps(schema)
     out_schema = T.StructType([df.schema[k] for k in keep] + [T.StructField(out_col, T.BinaryType())])
@@ -133,6 +135,7 @@ def _decoded_schema(df: DataFrame, keep: list[str], reader: dict, extra: list[T.
 def decode(df: DataFrame, value: str, reader: dict, writer: dict | None = None,
            keep: list[str] = []) -> DataFrame:
     """Schemaless Avro bodies → ``keep`` + reader fields + ``_avro_error``."""
+    ship_package(df.sparkSession)
     rs, out_schema = _decoded_schema(df, keep, reader, [])
     reader_json, writer_json = json.dumps(reader), json.dumps(writer or reader)
 
@@ -172,6 +175,7 @@ def decode_framed(df: DataFrame, registry: dict[int, str], reader: dict,
     Magic byte and id are read by Spark expressions; the body is decoded with
     its writer schema from ``registry`` and resolved to ``reader`` by field
     name (fields the writer lacks take the reader default)."""
+    ship_package(df.sparkSession)
     framed = df.select(*keep, wire.frame_magic_ok(value).alias("_magic"),
                        wire.frame_schema_id(value).alias("schema_id"),
                        wire.frame_body(value).alias("_body"))
@@ -226,6 +230,7 @@ def to_containers(df: DataFrame, schema: dict, stage_col: str, codec_name: str =
     Output ``(stage_id, part, container)``: the staging table of the
     reference, with a logical file split into one container per task so no
     container grows with the data."""
+    ship_package(df.sparkSession)
     names = [f["name"] for f in schema["fields"]]
     schema_json = json.dumps(schema)
     out_schema = T.StructType([T.StructField("stage_id", T.IntegerType()),
@@ -259,6 +264,7 @@ def split_containers(staged: DataFrame, reader: dict, id_col: str = "stage_id",
     Output ``(container_id, container_part, avro_obj_id, avro, validity)``;
     ``avro`` is a struct in the reader schema (fields a v1 writer lacks are
     NULL), ``validity`` is ``OK`` or the error that stopped the container."""
+    ship_package(staged.sparkSession)
     rs = record_struct(reader)
     out_schema = T.StructType([
         T.StructField("container_id", T.IntegerType()),
@@ -309,6 +315,7 @@ def register_container_split(spark: SparkSession, reader: dict,
     ``avro`` as a JSON text of the record in the reader schema and the
     validity text).  The DataFrame path (``split_containers``) is the batched
     one; this is the SQL-callable form."""
+    ship_package(spark)
     from pyspark.sql.functions import udtf
 
     reader_json = json.dumps(reader)
