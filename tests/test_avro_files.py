@@ -112,3 +112,35 @@ def test_manifest_whole_file_read(spark, tmp_path):
     manifest.write_text(f"1|{v1}\n2|{tmp_path / 'missing.avro'}\n")
     staged = files.load_manifest_files(spark, str(manifest))
     assert [r["stage_id"] for r in staged.collect()] == [1]
+
+
+def test_container_files_read_by_block(spark, tmp_path):
+    recs = [{"product_id": str(i), "name": "n", "price": float(i), "category": "c", "ts": i} for i in range(250)]
+    staged = spark.createDataFrame(
+        [(1, 0, bytearray(codec.write_container(AVRO_PRODUCT_V1, recs, codec="deflate", block_records=40))),
+         (2, 0, bytearray(codec.write_container(AVRO_PRODUCT_V2, [
+             {"product_id": "x", "name": "m", "price": 1.0, "category": "c", "ts": 1,
+              "description": "d", "subcategory": "s", "discount_pct": 30.0}])))],
+        "stage_id int, part int, container binary")
+    manifest = avro.write_container_files(staged, str(tmp_path / "out")).collect()
+    assert len(manifest) == 2
+    files_df = spark.createDataFrame([(r["stage_id"], r["path"]) for r in manifest], "stage_id int, path string")
+    blocks = avro.container_blocks(files_df, id_col="stage_id")
+    assert blocks.where("container_id = 1").count() == 7          # 250 records, 40 per block
+    rows = avro.read_container_files(files_df, AVRO_PRODUCT_V2, id_col="stage_id", slices=4)
+    assert rows.where("validity = 'OK'").count() == 251
+    got = sorted(int(r["avro"]["product_id"]) for r in rows.where("container_id = 1").collect())
+    assert got == list(range(250))
+    assert rows.where("container_id = 2").first()["avro"]["discount_pct"] == 30.0
+
+
+def test_avro_blob_pipeline_reports_missing_file(spark, tmp_path):
+    from tidewater.streaming.pipelines import avro_blob_load
+    v1 = tmp_path / "product_v1.avro"
+    v1.write_bytes(codec.write_container(AVRO_PRODUCT_V1, [
+        {"product_id": str(i), "name": "n", "price": 2.0, "category": "c", "ts": i} for i in range(30)]))
+    manifest = tmp_path / "manifest.txt"
+    manifest.write_text(f"1|{v1}\n2|{tmp_path / 'missing.avro'}\n")
+    out = avro_blob_load(spark, str(manifest), AVRO_PRODUCT_V2, str(tmp_path / "avro_product"))
+    counts = {r["validity"][:7]: r["count"] for r in out.groupBy("validity").count().collect()}
+    assert counts["OK"] == 30 and counts["invalid"] == 1

@@ -338,3 +338,160 @@ def register_container_split(spark: SparkSession, reader: dict,
                 yield container_id, None, None, f"invalid container: {e}"
 
     spark.udtf.register(name, ContainerSplit)
+
+
+# --- container files read by block (large files, many tasks) ----------------
+
+def _open_input(path: str):
+    """Random-access file handle for a local, HDFS or object-store path."""
+    from pyarrow import fs as pafs
+    if path.startswith("file:"):
+        path = path[len("file:"):]
+        while path.startswith("//"):
+            path = path[1:]
+    if "://" in path:
+        filesystem, inner = pafs.FileSystem.from_uri(path)
+        return filesystem.open_input_file(inner)
+    return pafs.LocalFileSystem().open_input_file(path)
+
+
+def container_blocks(files_df: DataFrame, path_col: str = "path", id_col: str | None = None) -> DataFrame:
+    """One row per data block of each container file: the header is read and
+    block headers are walked by seeking past block data, so this pass reads a
+    few bytes per block, not the file."""
+    ship_package(files_df.sparkSession)
+    out_schema = T.StructType([
+        T.StructField("container_id", T.IntegerType()), T.StructField("path", T.StringType()),
+        T.StructField("block_no", T.IntegerType()), T.StructField("block_offset", T.LongType()),
+        T.StructField("block_records", T.LongType()), T.StructField("block_size", T.LongType()),
+        T.StructField("header_end", T.LongType()), T.StructField("error", T.StringType()),
+    ])
+
+    def run(batches):
+        for b in batches:
+            out = {f.name: [] for f in out_schema.fields}
+            ids = b.column("_id").to_pylist()
+            for cid, path in zip(ids, b.column("_path").to_pylist()):
+                try:
+                    with _open_input(path) as f:
+                        size = f.size()
+                        head = f.read_at(min(size, 1 << 20), 0)
+                        while True:
+                            try:
+                                _, _, sync, pos = codec.read_header(head)
+                                break
+                            except (IndexError, KeyError, codec.AvroError):
+                                if len(head) >= size:
+                                    raise
+                                head = f.read_at(min(size, len(head) * 4), 0)
+                        header_end, n = pos, 0
+                        while pos < size:
+                            probe = f.read_at(min(20, size - pos), pos)
+                            count, p1 = codec.read_long(probe, 0)
+                            nbytes, p2 = codec.read_long(probe, p1)
+                            start = pos + p2
+                            if f.read_at(codec.SYNC_SIZE, start + nbytes) != sync:
+                                raise codec.AvroError("corrupt sync marker")
+                            n += 1
+                            for k, v in (("container_id", cid), ("path", path), ("block_no", n),
+                                         ("block_offset", start), ("block_records", count),
+                                         ("block_size", nbytes), ("header_end", header_end),
+                                         ("error", None)):
+                                out[k].append(v)
+                            pos = start + nbytes + codec.SYNC_SIZE
+                except Exception as e:  # noqa: BLE001
+                    for k, v in (("container_id", cid), ("path", path), ("block_no", None),
+                                 ("block_offset", None), ("block_records", None), ("block_size", None),
+                                 ("header_end", None), ("error", f"invalid container: {e}")):
+                        out[k].append(v)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(out[f.name], _arrow_type(f.dataType)) for f in out_schema.fields],
+                names=[f.name for f in out_schema.fields])
+
+    ids = F.col(id_col).cast("int") if id_col else F.lit(None).cast("int")
+    return files_df.select(ids.alias("_id"), F.col(path_col).alias("_path")).mapInArrow(run, out_schema)
+
+
+def read_container_files(files_df: DataFrame, reader: dict, path_col: str = "path",
+                         id_col: str | None = None, slices: int | None = None) -> DataFrame:
+    """Records of Avro container files, decoded block by block in parallel.
+
+    Blocks are spread over ``slices`` tasks (default: shuffle partitions), so a
+    single large file is decoded by many tasks.  Output matches
+    ``split_containers`` (``container_part`` is the block number)."""
+    spark = files_df.sparkSession
+    blocks = container_blocks(files_df, path_col, id_col)
+    n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rs = record_struct(reader)
+    out_schema = T.StructType([
+        T.StructField("container_id", T.IntegerType()), T.StructField("container_part", T.IntegerType()),
+        T.StructField("avro_obj_id", T.IntegerType()), T.StructField("avro", rs),
+        T.StructField("validity", T.StringType()),
+    ])
+    reader_json = json.dumps(reader)
+
+    def run(batches):
+        rschema = json.loads(reader_json)
+        names = [f["name"] for f in rschema["fields"]]
+        defaults = _defaults(rschema)
+        at = _arrow_type(rs)
+        headers: dict = {}
+        for b in batches:
+            cols = {k: [] for k in ("id", "part", "obj", "rec", "valid")}
+
+            def emit(cid, part, obj, rec, valid):
+                cols["id"].append(cid); cols["part"].append(part); cols["obj"].append(obj)
+                cols["rec"].append(rec); cols["valid"].append(valid)
+            for row in b.to_pylist():
+                if row["error"] is not None:
+                    emit(row["container_id"], None, None, None, row["error"])
+                    continue
+                try:
+                    with _open_input(row["path"]) as f:
+                        if row["path"] not in headers:
+                            schema, cname, _, _ = codec.read_header(f.read_at(row["header_end"], 0))
+                            headers[row["path"]] = (codec.compile_reader(schema), cname)
+                        rd, cname = headers[row["path"]]
+                        data = f.read_at(row["block_size"], row["block_offset"])
+                    for i, rec in enumerate(codec.block_records(data, row["block_records"], cname, rd), 1):
+                        emit(row["container_id"], row["block_no"], i,
+                             _to_arrow_value(codec.resolve(rec, names, defaults), rs), "OK")
+                except Exception as e:  # noqa: BLE001
+                    emit(row["container_id"], row["block_no"], None, None, f"invalid block: {e}")
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(cols["id"], pa.int32()), pa.array(cols["part"], pa.int32()),
+                 pa.array(cols["obj"], pa.int32()), pa.array(cols["rec"], at),
+                 pa.array(cols["valid"], pa.string())],
+                names=[f.name for f in out_schema.fields])
+
+    return blocks.repartition(n).mapInArrow(run, out_schema)
+
+
+def write_container_files(staged: DataFrame, root: str) -> DataFrame:
+    """Write each staged container (``stage_id, part, container``) as an
+    ``.avro`` file under ``root`` from the task that holds it; returns the
+    manifest rows ``(stage_id, path)``.  Names are deterministic, so a retried
+    task overwrites its own file."""
+    ship_package(staged.sparkSession)
+    out_schema = T.StructType([T.StructField("stage_id", T.IntegerType()),
+                               T.StructField("path", T.StringType())])
+
+    def run(batches):
+        from pyarrow import fs as pafs
+        for b in batches:
+            ids, paths = [], []
+            for st, part, blob in zip(b.column("stage_id").to_pylist(), b.column("part").to_pylist(),
+                                      b.column("container").to_pylist()):
+                target = f"{root.rstrip('/')}/stage={st}/part-{part:05d}.avro"
+                if "://" in target and not target.startswith("file:"):
+                    filesystem, inner = pafs.FileSystem.from_uri(target)
+                else:
+                    filesystem, inner = pafs.LocalFileSystem(), target.replace("file:", "", 1)
+                filesystem.create_dir(inner.rsplit("/", 1)[0], recursive=True)
+                with filesystem.open_output_stream(inner) as out:
+                    out.write(blob)
+                ids.append(st); paths.append(target)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array(paths, pa.string())],
+                                             names=["stage_id", "path"])
+
+    return staged.mapInArrow(run, out_schema)

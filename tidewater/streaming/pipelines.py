@@ -227,8 +227,10 @@ def load_hours(spark: SparkSession, root: str, fields: list[str], targets, table
 # --- pipeline 1: manifest of Avro containers → nested table ------------------
 
 def avro_blob_load(spark: SparkSession, manifest: str, reader: dict, out_path: str) -> DataFrame:
-    """Manifest ``id|path`` → staged container bytes → one row per record."""
-    staged = files.load_manifest_files(spark, manifest)
-    rows = avro.split_containers(staged, reader, part_col=None)
+    """Manifest ``id|path`` → container files decoded block by block (a large
+    file is split over many tasks) → one row per record in ``out_path``.
+    A missing or corrupt file yields a row whose ``validity`` says why."""
+    listed = files.read_manifest(spark, manifest)
+    rows = avro.read_container_files(listed, reader, id_col="stage_id")
     rows.write.mode("overwrite").parquet(out_path)
     return spark.read.parquet(out_path)
