@@ -72,6 +72,12 @@ def test_pipeline8_dead_letters(spark, tmp_path):
     assert d[0]["stage"] == "VALUE_CONVERTER"
     assert topic_depth(dead).first()["depth"] == 20
     assert sum(m["bad"] for m in metrics) == 20
+    # a later batch continues the dead-letter offsets from the recorded end
+    more = positions_df(spark, 10, start=100).withColumn(
+        "latitude", F.when(F.col("offset") % 5 == 0, F.lit(None).cast("double")).otherwise(F.col("latitude")))
+    topic.publish(as_messages(more, wire.encode_envelope(), topic.name, offset="offset", key="icao24"))
+    P.run_envelope(topic, fn, str(tmp_path / "cp"), bounded=True).awaitTermination()
+    assert sorted(r["offset"] for r in dlq.read().collect()) == list(range(22))
     # fail-fast variant: no dead-letter topic, the batch fails
     strict = P.envelope_batch(P.table_sink(out), topic.name, dlq=None)
     try:

@@ -75,20 +75,46 @@ def key_partition(key: str | Column, partitions: int) -> Column:
 
 @dataclass
 class FileTopic:
-    """A topic kept as Parquet under ``root`` in the Kafka record layout."""
+    """A topic kept as Parquet under ``root`` in the Kafka record layout.
+
+    Next to the data, ``_ends`` records the end offset of every partition a
+    publish touched, captured during the write itself (``observe``), so
+    appenders learn where to continue without scanning the topic."""
 
     spark: SparkSession
     root: str
     name: str
+    partitions: int = 1
 
     @property
     def path(self) -> str:
         return f"{self.root.rstrip('/')}/{self.name}"
 
+    @property
+    def ends_path(self) -> str:
+        return f"{self.root.rstrip('/')}/{self.name}._ends"
+
     def publish(self, messages: DataFrame) -> None:
         """Append messages already carrying partition and offset numbers."""
-        (messages.select(*TOPIC_SCHEMA.fieldNames())
+        from pyspark.sql import Observation
+        obs = Observation(f"ends-{self.name}")
+        ends = [F.max(F.when(F.col("partition") == p, F.col("offset"))).alias(f"p{p}")
+                for p in range(self.partitions)]
+        (messages.select(*TOPIC_SCHEMA.fieldNames()).observe(obs, *ends)
          .write.mode("append").partitionBy("partition").parquet(self.path))
+        got = obs.get
+        rows = [(p, int(got[f"p{p}"]) + 1) for p in range(self.partitions) if got.get(f"p{p}") is not None]
+        if rows:
+            self.spark.createDataFrame(rows, "partition int, next_offset long").coalesce(1).write.mode(
+                "append").parquet(self.ends_path)
+
+    def next_offsets(self) -> DataFrame | None:
+        """(partition, next_offset) from the sidecar; None for a new topic."""
+        from tidewater.operators.lake import path_exists
+        if not path_exists(self.spark, self.ends_path):
+            return None
+        return (self.spark.read.schema("partition int, next_offset long").parquet(self.ends_path)
+                .groupBy("partition").agg(F.max("next_offset").alias("next_offset")))
 
     def read(self, starting_offset: int | None = None, ending_offset: int | None = None) -> DataFrame:
         """Bounded read; offsets are inclusive start, exclusive end."""

@@ -29,7 +29,7 @@ from tidewater.functions import wire
 from tidewater.operators import deadletter, ingest
 from tidewater.operators.lake import LedgerTable
 from tidewater.operators.lookup import ReferenceCache, lookup_join
-from tidewater.operators.offsets import assign_offsets, next_offsets
+from tidewater.operators.offsets import assign_offsets
 from tidewater.operators.warehouse import PartitionedTable, ingest_time, load_batch
 from tidewater.plans import reports
 from tidewater.schemas import WAREHOUSE_POSITIONS, struct_of
@@ -154,7 +154,7 @@ def envelope_batch(sink: Callable[[DataFrame, str], None], source_topic: str,
                 raise ValueError(f"bad record at offset {first} (no dead-letter topic)")
         else:
             dead = dead.withColumn("partition", F.lit(0))
-            base = next_offsets(dlq.read()) if _exists(batch.sparkSession, dlq.path) else None
+            base = dlq.next_offsets()
             numbered = assign_offsets(dead, ["source_partition", "source_offset"], "partition", base=base)
             dlq.publish(as_messages(numbered, "value", dlq.name, offset="offset", key="key",
                                     partition="partition", headers=F.col("headers")))
@@ -165,11 +165,6 @@ def envelope_batch(sink: Callable[[DataFrame, str], None], source_topic: str,
     return _each_batch(body, stream_id)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    from tidewater.operators.lake import path_exists
-    return path_exists(spark, path)
-
-
 def table_sink(table: PartitionedTable) -> Callable[[DataFrame, str], None]:
     """Idempotent table sink keyed by load id (stands in for the JDBC table)."""
     def write(rows: DataFrame, load_id: str) -> None:
