@@ -174,3 +174,16 @@ def start_filter(topic: FileTopic, starting: str | dict[int, int]) -> Column | N
     for p, off in starting.items():
         cond = F.when(F.col("partition") == p, F.col("offset") >= off).otherwise(cond)
     return cond
+
+
+def kafka_write(messages: DataFrame, servers: str, topic: str, stream: bool = False,
+                checkpoint: str | None = None):
+    """Spark's own Kafka sink (K4, ST8) for rows with ``key``/``value``
+    (and optional ``headers``); at-least-once, like every Kafka producer
+    without transactions."""
+    cols = [c for c in ("key", "value", "headers", "partition") if c in messages.columns]
+    out = messages.select(*cols)
+    if stream:
+        return (out.writeStream.format(KAFKA_FORMAT).option("kafka.bootstrap.servers", servers)
+                .option("topic", topic).option("checkpointLocation", checkpoint))
+    out.write.format(KAFKA_FORMAT).option("kafka.bootstrap.servers", servers).option("topic", topic).save()
