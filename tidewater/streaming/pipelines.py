@@ -73,13 +73,31 @@ def _each_batch(body: Callable[[DataFrame, str], None], stream_id: str) -> Batch
 
 def warehouse_batch(table: PartitionedTable, rejects: PartitionedTable, stream_id: str,
                     heartbeat: Callable[[str], None] | None = None) -> BatchFn:
+    """``heartbeat`` gets ``STATUS rows=<n> latest=<ts>`` after each batch.
+    The table is summarised once; each batch then adds its own row count and
+    latest timestamp, observed while it is written (no rescan per batch)."""
+    status: dict = {}
+
     def body(batch, load_id):
+        from pyspark.sql import Observation
         parsed = ingest.parse_delimited(batch, keep=SOURCE_KEYS)
         good, bad = ingest.warehouse_split(parsed, keep=SOURCE_KEYS)
         load_batch(rejects, bad, load_id)
-        load_batch(table, good.withColumn("ingest_ts", ingest_time()), load_id)
+        if heartbeat and not status:
+            first = table.read().agg(F.count(F.lit(1)).alias("n"), F.max("ts").alias("t")).first()
+            status.update(n=first["n"], t=first["t"])
+        obs = Observation(f"status-{load_id}")
+        rows = good.withColumn("ingest_ts", ingest_time())
+        if heartbeat:
+            rows = rows.observe(obs, F.count(F.lit(1)).alias("n"), F.max("ts").alias("t"))
+        load_batch(table, rows, load_id)
         if heartbeat:
-            heartbeat(reports.status_line(table.read()).first()[0])
+            got = obs.get
+            status["n"] += got["n"]
+            if got["t"] is not None and (status["t"] is None or got["t"] > status["t"]):
+                status["t"] = got["t"]
+            latest = "none" if status["t"] is None else status["t"].strftime("%Y-%m-%d %H:%M:%S.%f")[:-3]
+            heartbeat(f"STATUS rows={status['n']} latest={latest}")
     return _each_batch(body, stream_id)
 
 
