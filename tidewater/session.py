@@ -64,12 +64,18 @@ def ship_package(spark: SparkSession) -> None:
                 if n.endswith(".py"):
                     full = os.path.join(root, n)
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
-    # the zip is a driver-side artifact: Spark copies it to its own file
-    # server and every executor fetches it from there
-    folder = tempfile.mkdtemp(prefix="tidewater-pkg-")
-    path = os.path.join(folder, "tidewater.zip")
-    with open(path, "wb") as f:
-        f.write(buf.getvalue())
+    # written to the shared scratch folder through the Hadoop file system
+    # (local, HDFS or object store alike), then distributed by Spark
+    data = buf.getvalue()
+    import hashlib
+    path = f"{scratch_root(spark)}/tidewater/pkg/tidewater-{hashlib.sha1(data).hexdigest()[:12]}.zip"
+    jvm = sc._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(sc._jsc.hadoopConfiguration())
+    if not fs.exists(hpath):
+        out = fs.create(hpath, True)
+        out.write(bytearray(data))
+        out.close()
     sc.addPyFile(path)
     _SHIPPED.add(sc.applicationId)
 
