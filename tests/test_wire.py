@@ -112,3 +112,20 @@ def test_frame_layout(spark):
         wire.frame_magic_ok("v").alias("ok"), wire.frame_schema_id("v").alias("id"),
         wire.frame_body("v").alias("body")).first()
     assert back["ok"] and back["id"] == 258 and bytes(back["body"]) == b"body"
+
+
+def test_error_policies(spark):
+    import pytest
+    lines = [GOOD, GOOD.rsplit("|", 1)[0], GOOD.replace("51.470000", "abc")]
+    parsed = ingest.parse_delimited(text_messages(spark, lines))
+    dropped = ingest.to_lake(parsed, keep=["offset"], policy="drop").orderBy("offset").collect()
+    # drop: the malformed line is skipped, the bad field becomes NULL
+    assert [r["offset"] for r in dropped] == [0, 2] and dropped[1]["latitude"] is None
+    with pytest.raises(Exception, match="malformed line|bad record"):
+        ingest.to_lake(parsed, policy="fail").collect()
+    typed = ingest.to_lake(ingest.parse_delimited(text_messages(spark, [lines[2]])), keep=["offset"],
+                           policy="reject")
+    from tidewater.functions import casting
+    assert casting.reject_rows(typed, ["offset"]).first()["error_column"] == "latitude"
+    with pytest.raises(Exception, match="bad record: latitude"):
+        casting.good_rows(typed, "fail").collect()
