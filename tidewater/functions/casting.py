@@ -1,8 +1,8 @@
 """Cast text (or loosely typed) columns to a target with an error policy.
 
-``apply_target`` adds the typed columns and an ``_errors`` array in one
-projection: nothing leaves the JVM and the same expression serves the three
-policies of the reference loads:
+``apply_target`` adds the typed columns and an ``_errors`` array in three
+narrow projections (clean inputs, cast, collect errors): nothing leaves the
+JVM and the same expressions serve the three policies of the reference loads:
 
 * ``fail``   – any bad row raises (ANSI-style), the load stops;
 * ``drop``   – bad rows are skipped (ignore-parse-errors, header rows);

@@ -15,7 +15,6 @@ from tidewater.schemas import (
     DATE_TEXT_FORMAT,
     ENVELOPE_FIELDS,
     ENVELOPE_NAME,
-    POSITION_WIRE_FIELDS,
     TS_TEXT_FORMAT,
 )
 

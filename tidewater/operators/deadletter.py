@@ -18,6 +18,7 @@ from tidewater.schemas import (
     DLQ_EXCEPTION_CLASS,
     DLQ_EXCEPTION_MESSAGE,
     DLQ_HEADER_PREFIX,
+    DLQ_HEADERS,
     DLQ_STAGE,
     ENVELOPE_FIELDS,
 )
@@ -53,8 +54,8 @@ def dead_letters(
         "exception.message": message,
     }
     headers = F.array(*[
-        F.struct(F.lit(DLQ_HEADER_PREFIX + k).alias("key"), _bytes(v).alias("value"))
-        for k, v in values.items()
+        F.struct(F.lit(DLQ_HEADER_PREFIX + k).alias("key"), _bytes(values[k]).alias("value"))
+        for k in DLQ_HEADERS
     ])
     return bad.select(
         "key", "value", F.col("partition").alias("source_partition"),

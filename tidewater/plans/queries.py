@@ -19,7 +19,7 @@ from tidewater.operators import deadletter, ingest
 from tidewater.operators.lookup import ReferenceCache, lookup_join
 from tidewater.operators.offsets import assign_offsets
 from tidewater.plans import reports, views
-from tidewater.schemas import LAKE_POSITIONS, Target
+from tidewater.schemas import LAKE_POSITIONS
 from tidewater.operators.lake import LedgerTable
 from tidewater.operators.warehouse import PartitionedTable
 from tidewater.schemas import WEATHER_CSV_FIELDS, WEATHER_OBS, struct_of

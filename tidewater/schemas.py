@@ -63,9 +63,6 @@ DLQ_EXCEPTION_CLASS = "org.apache.kafka.connect.errors.DataException"
 DLQ_EXCEPTION_MESSAGE = "Converter error: null value for a required (non-optional) field"
 # --- end fixed values ---------------------------------------------------
 
-# All-text ingest schema of the delimited line.
-POSITION_TEXT = [Target(f, "string") for f in POSITION_WIRE_FIELDS]
-
 # Lake table (pipelines 4, 5): doubles, pos_date kept as text.
 LAKE_POSITIONS = [
     Target("icao24", "string"),
@@ -141,9 +138,6 @@ TOPIC_SCHEMA = T.StructType([
     ]))),
 ])
 
-# Reject rows carry the message coordinates and why it failed.
-REJECT_COLUMNS = ["offset", "error_stage", "error_column", "error_message"]
-
 
 _SIMPLE = {
     "string": T.StringType(), "double": T.DoubleType(), "int": T.IntegerType(),

@@ -86,19 +86,28 @@ def _to_arrow_value(v, dt: T.DataType):
     return v
 
 
-def _column(values: list, dt: T.DataType) -> pa.Array:
-    at = _arrow_type(dt)
-    if isinstance(dt, T.TimestampNTZType):
-        return pa.array(values, pa.int64()).cast(at)
-    if isinstance(dt, T.StructType):
-        return pa.array(values, at)
-    return pa.array(values, at)
-
-
 def _defaults(schema: dict) -> dict:
     return {f["name"]: f.get("default") for f in schema["fields"]}
 
 
+def _columns(recs: list, names: list[str], defaults: dict, rs: T.StructType) -> list[pa.Array]:
+    """Decoded records (``None`` for a failed one) → one Arrow array per
+    reader field; writer fields the reader lacks are dropped, reader fields
+    the writer lacks take their default."""
+    import pyarrow.compute as pc
+    out = []
+    for n in names:
+        dt, d = rs[n].dataType, defaults.get(n)
+        vals = [None if r is None else r.get(n, d) for r in recs]
+        if isinstance(dt, T.TimestampNTZType):
+            out.append(pc.multiply(pa.array(vals, pa.int64()), 1000).cast(pa.timestamp("us")))
+        elif isinstance(dt, T.StructType):
+            out.append(pa.array([_to_arrow_value(v, dt) for v in vals], _arrow_type(dt)))
+        else:
+            out.append(pa.array(vals, _arrow_type(dt)))
+    return out
+
+
 # --- encode -----------------------------------------------------------------
 
 def encode(df: DataFrame, schema: dict, keep: list[str] = [], out_col: str = "value") -> DataFrame:
@@ -145,18 +154,15 @@ def decode(df: DataFrame, value: str, reader: dict, writer: dict | None = None,
         names = [f["name"] for f in rschema["fields"]]
         defaults = _defaults(rschema)
         for b in batches:
-            cols = {n: [] for n in names}
-            errs = []
+            recs, errs = [], []
             for body in b.column(value).to_pylist():
                 try:
-                    rec = codec.resolve(codec.decode_one(rd, body), names, defaults)
+                    recs.append(codec.decode_one(rd, body))
                     errs.append(None)
                 except Exception as e:  # noqa: BLE001 - any decode failure is a reject
-                    rec = dict.fromkeys(names)
+                    recs.append(None)
                     errs.append(f"avro decode failed: {e}")
-                for n in names:
-                    cols[n].append(_to_arrow_value(rec[n], rs[n].dataType))
-            arrays = [b.column(k) for k in keep] + [_column(cols[n], rs[n].dataType) for n in names]
+            arrays = [b.column(k) for k in keep] + _columns(recs, names, defaults, rs)
             arrays.append(pa.array(errs, pa.string()))
             yield pa.RecordBatch.from_arrays(arrays, names=[f.name for f in out_schema.fields])
 
@@ -190,11 +196,10 @@ def decode_framed(df: DataFrame, registry: dict[int, str], reader: dict,
         names = [f["name"] for f in rschema["fields"]]
         defaults = _defaults(rschema)
         for b in batches:
-            cols = {n: [] for n in names}
-            errs = []
+            recs, errs = [], []
             for ok, sid, body in zip(b.column("_magic").to_pylist(), b.column("schema_id").to_pylist(),
                                      b.column("_body").to_pylist()):
-                rec, err = dict.fromkeys(names), None
+                rec, err = None, None
                 if not ok:
                     err = "wrong magic byte"
                 elif sid not in reg:
@@ -203,14 +208,13 @@ def decode_framed(df: DataFrame, registry: dict[int, str], reader: dict,
                     try:
                         if sid not in readers:
                             readers[sid] = codec.compile_reader(codec.parse_schema(reg[sid]))
-                        rec = codec.resolve(codec.decode_one(readers[sid], body), names, defaults)
+                        rec = codec.decode_one(readers[sid], body)
                     except Exception as e:  # noqa: BLE001
                         err = f"avro decode failed: {e}"
+                recs.append(rec)
                 errs.append(err)
-                for n in names:
-                    cols[n].append(_to_arrow_value(rec[n], rs[n].dataType))
             arrays = [b.column(k) for k in keep] + [b.column("schema_id")]
-            arrays += [_column(cols[n], rs[n].dataType) for n in names]
+            arrays += _columns(recs, names, defaults, rs)
             arrays.append(pa.array(errs, pa.string()))
             yield pa.RecordBatch.from_arrays(arrays, names=[f.name for f in out_schema.fields])
 

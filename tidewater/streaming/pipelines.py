@@ -31,7 +31,6 @@ from tidewater.operators.lake import LedgerTable
 from tidewater.operators.lookup import ReferenceCache, lookup_join
 from tidewater.operators.offsets import assign_offsets
 from tidewater.operators.warehouse import PartitionedTable, ingest_time, load_batch
-from tidewater.plans import reports
 from tidewater.schemas import WAREHOUSE_POSITIONS, struct_of
 from tidewater.sources import avro, files
 from tidewater.sources.topics import FileTopic, as_messages
