@@ -110,8 +110,9 @@ def test_manifest_whole_file_read(spark, tmp_path):
         {"product_id": "a", "name": "n", "price": 2.0, "category": "c", "ts": 1}]))
     manifest = tmp_path / "manifest.txt"
     manifest.write_text(f"1|{v1}\n2|{tmp_path / 'missing.avro'}\n")
-    staged = files.load_manifest_files(spark, str(manifest))
-    assert [r["stage_id"] for r in staged.collect()] == [1]
+    staged = {r["stage_id"]: r for r in files.load_manifest_files(spark, str(manifest)).collect()}
+    assert staged[1]["error"] is None and bytes(staged[1]["container"])[:4] == b"Obj\x01"
+    assert staged[2]["container"] is None and "missing.avro" in staged[2]["error"]
 
 
 def test_container_files_read_by_block(spark, tmp_path):

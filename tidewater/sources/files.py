@@ -115,22 +115,37 @@ def read_manifest(spark: SparkSession, manifest: str, sep: str = "|") -> DataFra
 
 
 def load_manifest_files(spark: SparkSession, manifest: str, sep: str = "|") -> DataFrame:
-    """(stage_id, container bytes) for every file named in a manifest.
-
-    The manifest is joined to a ``binaryFile`` read on the normalised path, so
-    a missing file simply has no row.  Each file is one row; files above 2 GB
-    cannot be a single binary value, so containers that large should be read
-    split by block (``sources.avro.read_containers``)."""
-    from tidewater.operators.lake import path_exists
-    m = read_manifest(spark, manifest, sep)
-    # the manifest is a file list (metadata), checked on the driver so a
-    # missing file drops its row instead of failing the whole read
-    paths = [r[0] for r in m.select("path").distinct().collect()]
-    paths = [p for p in paths if path_exists(spark, p)]
-    if not paths:
-        return spark.createDataFrame([], "stage_id int, container binary")
-    files = spark.read.format("binaryFile").load(paths).select("path", "content")
-    norm = F.regexp_replace(F.col("path"), "^file:", "")
-    m2 = m.select("stage_id", F.regexp_replace("path", "^file:", "").alias("_p"))
-    return (files.withColumn("_p", norm).join(m2, "_p", "inner")
-            .select("stage_id", F.col("content").alias("container")))
+    """(stage_id, container bytes) for every file named in a manifest — the
+    staging table with one binary value per file.
+
+    Manifest rows are spread over tasks and each task reads its files through
+    ``pyarrow.fs`` (local, HDFS or object store), so no file list passes
+    through the driver.  A file that cannot be read gives a NULL container
+    and the reason in ``error``.  Each file is one value (< 2 GB); for large
+    container files use ``sources.avro.read_container_files``, which splits
+    them by block."""
+    import pyarrow as pa
+    from tidewater.session import ship_package
+    ship_package(spark)
+    out_schema = T.StructType([T.StructField("stage_id", T.IntegerType()),
+                               T.StructField("container", T.BinaryType()),
+                               T.StructField("error", T.StringType())])
+
+    def run(batches):
+        from tidewater.sources.avro import _open_input
+        for b in batches:
+            ids, blobs, errs = [], [], []
+            for sid, path in zip(b.column("stage_id").to_pylist(), b.column("path").to_pylist()):
+                try:
+                    with _open_input(path) as f:
+                        blobs.append(f.read())
+                    errs.append(None)
+                except Exception as e:  # noqa: BLE001
+                    blobs.append(None)
+                    errs.append(f"cannot read {path}: {e}")
+                ids.append(sid)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int32()), pa.array(blobs, pa.binary()), pa.array(errs, pa.string())],
+                names=["stage_id", "container", "error"])
+
+    return read_manifest(spark, manifest, sep).mapInArrow(run, out_schema)
