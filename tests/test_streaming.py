@@ -87,6 +87,19 @@ def test_pipeline8_dead_letters(spark, tmp_path):
         assert "offset 0" in str(e)
 
 
+def test_pipeline4_bounded_in_several_batches(spark, tmp_path):
+    topic = FileTopic(spark, str(tmp_path), "adsb")
+    for start in (0, 10, 20):                       # three publishes = three files
+        _publish_lines(spark, topic, 10, start=start)
+    lake = LedgerTable(spark, str(tmp_path / "lake"), ["pos_date"])
+    import glob
+    n_files = len(glob.glob(f"{topic.path}/partition=*/*.parquet"))
+    P.run_lake(topic, lake, str(tmp_path / "cp"), "p4", bounded=True,
+               max_files_per_trigger=max(1, n_files // 2)).awaitTermination()
+    assert lake.read().count() == 30
+    assert lake.snapshots().count() >= 2            # one commit per micro-batch
+
+
 def test_pipeline4_replayed_batch_is_not_duplicated(spark, tmp_path):
     topic = FileTopic(spark, str(tmp_path), "adsb")
     _publish_lines(spark, topic, 30)

@@ -102,8 +102,12 @@ def warehouse_batch(table: PartitionedTable, rejects: PartitionedTable, stream_i
 
 def run_warehouse(topic: FileTopic, table: PartitionedTable, rejects: PartitionedTable,
                   checkpoint: str, stream_id: str, bounded: bool = True,
-                  every: str = control.FLUSH_5S, **kw) -> StreamingQuery:
-    w = topic.read_stream().writeStream.foreachBatch(warehouse_batch(table, rejects, stream_id, **kw))
+                  every: str = control.FLUSH_5S, max_files_per_trigger: int | None = None,
+                  **kw) -> StreamingQuery:
+    """``max_files_per_trigger`` bounds each micro-batch (admission control):
+    a backlog drains in several batches instead of one."""
+    w = topic.read_stream(max_files_per_trigger).writeStream.foreachBatch(
+        warehouse_batch(table, rejects, stream_id, **kw))
     return control.start(w, checkpoint, bounded, every)
 
 
@@ -121,8 +125,10 @@ def lake_batch(lake: LedgerTable, stream_id: str, policy: str = "drop",
 
 
 def run_lake(topic: FileTopic, lake: LedgerTable, checkpoint: str, stream_id: str,
-             bounded: bool = True, every: str = control.CHECKPOINT_30S, **kw) -> StreamingQuery:
-    w = topic.read_stream().writeStream.foreachBatch(lake_batch(lake, stream_id, **kw))
+             bounded: bool = True, every: str = control.CHECKPOINT_30S,
+             max_files_per_trigger: int | None = None, **kw) -> StreamingQuery:
+    w = topic.read_stream(max_files_per_trigger).writeStream.foreachBatch(
+        lake_batch(lake, stream_id, **kw))
     return control.start(w, checkpoint, bounded, every)
 
 
@@ -203,8 +209,9 @@ def jdbc_sink(url: str, table: str, properties: dict | None = None) -> Callable[
 
 
 def run_envelope(topic: FileTopic, batch_fn: BatchFn, checkpoint: str, bounded: bool = True,
-                 every: str = control.FLUSH_5S) -> StreamingQuery:
-    w = topic.read_stream().writeStream.foreachBatch(batch_fn)
+                 every: str = control.FLUSH_5S,
+                 max_files_per_trigger: int | None = None) -> StreamingQuery:
+    w = topic.read_stream(max_files_per_trigger).writeStream.foreachBatch(batch_fn)
     return control.start(w, checkpoint, bounded, every)
 
 
