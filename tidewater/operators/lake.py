@@ -77,11 +77,14 @@ class LedgerTable:
             "overwrite").text(self.schema_path)
 
     def schema(self) -> T.StructType | None:
+        if getattr(self, "_schema", None) is not None:
+            return self._schema
         if not path_exists(self.spark, self.schema_path):
             return None
         doc = json.loads(self.spark.read.text(self.schema_path).first()[0])
         self.partition_cols = doc["partitions"]
-        return T.StructType.fromJson(doc["schema"])
+        self._schema = T.StructType.fromJson(doc["schema"])
+        return self._schema
 
     def commits(self) -> DataFrame:
         """One row per committed snapshot (a replayed commit row is ignored)."""
@@ -97,12 +100,19 @@ class LedgerTable:
             c = c.where(F.col("committed_at") <= F.lit(as_of).cast("timestamp_ntz"))
         return [r[0] for r in c.select("snapshot_id").collect()]
 
-    def _last_commit_time(self) -> dt.datetime | None:
-        row = self.commits().agg(F.max("committed_at")).first()
-        return row[0] if row else None
+    def _ledger(self) -> dict[str, dt.datetime]:
+        """{snapshot_id: first commit time}: one small read per append."""
+        if not path_exists(self.spark, self.ledger_path):
+            return {}
+        out: dict[str, dt.datetime] = {}
+        for sid, at in self.spark.read.schema(LEDGER).parquet(self.ledger_path).select(
+                "snapshot_id", "committed_at").collect():
+            if sid not in out or at < out[sid]:
+                out[sid] = at
+        return out
 
-    def _commit(self, rows: list[tuple[str, int]], operation: str) -> list[tuple]:
-        last = self._last_commit_time()
+    def _commit(self, rows: list[tuple[str, int]], operation: str,
+                last: dt.datetime | None) -> list[tuple]:
         out = []
         for sid, n in rows:
             at = self.clock()
@@ -129,7 +139,8 @@ class LedgerTable:
         each then becomes visible with its own ledger row, so time travel can
         stop between any two of them.
         """
-        committed = set(self._committed())
+        ledger = self._ledger()
+        committed = set(ledger)
         data = df.withColumn("snapshot_id", F.col(snapshot_col).cast("string"))
         if snapshot_col != "snapshot_id":
             data = data.drop(snapshot_col)
@@ -141,7 +152,7 @@ class LedgerTable:
          .write.mode("overwrite").partitionBy("snapshot_id", *self.partition_cols)
          .parquet(self.data_path))
         counts = self._counts_of_uncommitted(committed, snapshot_ids)
-        self._commit(sorted(counts.items()), operation)
+        self._commit(sorted(counts.items()), operation, max(ledger.values(), default=None))
         return counts
 
     def _counts_of_uncommitted(self, committed: set[str],
