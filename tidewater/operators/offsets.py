@@ -12,8 +12,8 @@ task.  Instead:
    and turn the counts into running totals;
 4. offset = base + rows in earlier slices + position inside the slice.
 
-The order columns must be unique within a topic partition, which makes the
-slicing deterministic if a task is recomputed after an executor loss.
+The slices are frozen with a reliable checkpoint before they are counted,
+so the counts and the rows agree even if tasks are re-run.
 """
 
 from __future__ import annotations
@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewater.session import scratch_root
+
 # slices × topic partitions above this are joined by shuffle, not broadcast
 MAX_BROADCAST_SLICES = 1_000_000
 
@@ -41,10 +43,16 @@ def assign_offsets(
     """
     spark = df.sparkSession
     n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # The sliced, id-stamped rows are used twice (counts per slice, then the
+    # rows themselves): a reliable checkpoint makes both read the same slices.
+    # Recomputing would re-sample the range bounds and re-fetch shuffle blocks
+    # in another order, so ids and counts could disagree.
+    scratch_root(spark)
     ranged = (df.repartitionByRange(n, partition_col, *order_cols)
               .sortWithinPartitions(partition_col, *order_cols)
               .withColumn("_slice", F.spark_partition_id())
-              .withColumn("_rid", F.monotonically_increasing_id()))
+              .withColumn("_rid", F.monotonically_increasing_id())
+              .checkpoint(eager=True))
     earlier = Window.partitionBy(partition_col).orderBy("_slice").rowsBetween(
         Window.unboundedPreceding, -1)
     stats = (ranged.groupBy(partition_col, "_slice")

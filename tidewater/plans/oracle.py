@@ -13,7 +13,7 @@ positions AS (
          lpad(CAST(user_id AS VARCHAR), 6, '0') AS icao24,
          'EV' || CAST(user_id AS VARCHAR) AS callsign,
          round(value / 10, 6) AS latitude,
-         round(-value / 5, 6) AS longitude,
+         round(-value / 5, 6) + 0.0 AS longitude,   -- Spark's round gives 0.0, not -0.0
          CAST(floor(value * 80) AS INTEGER) AS altitude,
          value AS velocity,
          CAST(event_id % 360 AS DOUBLE) AS heading,
