@@ -25,3 +25,15 @@ def test_offsets_continue_after_base(spark):
     base = spark.createDataFrame([(0, 100)], "partition int, next_offset long")
     out = assign_offsets(df, ["seq"], "partition", base=base)
     assert sorted(r["offset"] for r in out.collect()) == list(range(100, 110))
+
+
+def test_offsets_dense_after_an_unordered_shuffle(spark):
+    # rows arrive through a round-robin shuffle from several map tasks, whose
+    # blocks can be fetched in any order: counts and ids must still agree
+    df = (spark.range(0, 60000, numPartitions=6).repartition(8)
+          .select(F.lit(0).alias("partition"), F.col("id").alias("seq")))
+    out = assign_offsets(df, ["seq"], "partition", slices=5)
+    r = out.agg(F.min("offset").alias("lo"), F.max("offset").alias("hi"),
+                F.countDistinct("offset").alias("d"),
+                F.sum((F.col("offset") != F.col("seq")).cast("int")).alias("moved")).first()
+    assert (r["lo"], r["hi"], r["d"], r["moved"]) == (0, 59999, 60000, 0)
