@@ -206,6 +206,24 @@ class LedgerTable:
         cols = [f.name for f in schema.fields] + (["snapshot_id"] if with_snapshot else [])
         return out.select(*cols)
 
+    def compact_ledger(self) -> int:
+        """Rewrite the ledger (one small file per commit) as a single file.
+
+        The de-duplicated rows are appended as one file first, then the old
+        files are deleted; a reader in between sees every commit twice, which
+        ``commits()`` already collapses.  Returns the number of commits."""
+        if not path_exists(self.spark, self.ledger_path):
+            return 0
+        jvm = self.spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(self.ledger_path)
+        fs = hpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        old = [st.getPath() for st in fs.listStatus(hpath) if st.getPath().getName().endswith(".parquet")]
+        rows = [tuple(r) for r in self.commits().select(*LEDGER.fieldNames()).collect()]
+        self.spark.createDataFrame(rows, LEDGER).coalesce(1).write.mode("append").parquet(self.ledger_path)
+        for p in old:
+            fs.delete(p, False)
+        return len(rows)
+
     def overwrite(self, df: DataFrame, snapshot_id: str) -> int:
         """Commit ``df`` as the whole new content (older snapshots stay for
         time travel)."""
