@@ -49,14 +49,17 @@ def write_hour_folders(messages: DataFrame, root: str, landing_ts: str = "timest
         (out.write.mode("append").options(**writer_opts)
          .partitionBy("landing_date", "landing_hour").text(root))
         return
-    # dated layout: one write per landing hour present in this batch
+    # dated layout: one write per landing hour present in this batch (one or
+    # two); with a batch name each batch owns its sub-folder, which a retried
+    # batch overwrites instead of adding its files twice
     hours = [(r[0], r[1]) for r in out.select("landing_date", "landing_hour").distinct().collect()]
     for day, hour in sorted(hours):
         target = f"{root.rstrip('/')}/{day}/{hour}"
+        mode = "append"
         if batch_name:
-            target = f"{target}/{batch_name}"
+            target, mode = f"{target}/{batch_name}", "overwrite"
         (out.where((F.col("landing_date") == day) & (F.col("landing_hour") == hour))
-         .select("value").write.mode("append").options(**writer_opts).text(target))
+         .select("value").write.mode(mode).options(**writer_opts).text(target))
 
 
 def hour_paths(root: str, start: dt.datetime, end: dt.datetime) -> list[str]:
