@@ -9,7 +9,7 @@ lies in that set's last A - l shingles, so c shared prefix shingles allow at
 most c + max(A - l, A' - l') common ones.  Each document picks its l by
 estimated cost (prefix postings plus verifications, the latter by the counts
 of its prefix shingles divided by l), and a pair is verified only when its
-shared prefix shingles reach both bounds.
+prefixes leave room for that many shared shingles.
 
 Documents with equal sets are one representative from the start.  Components
 do not need every pair of a large group: first every set is checked against
@@ -19,7 +19,10 @@ checked, which completes the join.  No link between components can be missed,
 and no group is expanded into its pairs.
 
 Postings that only one set has are dropped by a range sort over (shingle, set),
-which splits a frequent shingle over many tasks.  Large steps are written to
+which splits a frequent shingle over many tasks.  A set's unshared prefix
+shingles are in no other set, which bounds what it can share with any partner:
+postings meet only if both sets' bounds allow a link and, shared postings taken
+from the smallest on, enough of them are left for the shared number needed.  Large steps are written to
 the shared checkpoint folder.
 
 Hashes have 64 bits.  Null text has no words; without words a set is empty and
@@ -36,6 +39,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import WORD, chunks, column, mix, ngram_hashes, prepare, stored, tokens, utf8
 from .components import components
@@ -105,16 +109,24 @@ def _needed(n: Column) -> Column:
     return F.floor((3 * n + 3) / 4)
 
 
-def _allowed(c: Column, n1: Column, l1: Column, n2: Column, l2: Column) -> Column:
-    """Can two sets with c shared prefix shingles reach the threshold?"""
-    beyond = F.greatest(_needed(n1) - l1, _needed(n2) - l2)
-    return (c >= F.least(l1, l2)) & (7 * (c + beyond) >= 3 * (n1 + n2)) & _lengths(n1, n2)
+def _least_shared() -> Column:
+    """The least number of prefix shingles that two linking sets share."""
+    need = F.ceil(3 * (F.col("n") + F.col("n2")) / 7)
+    beyond = F.greatest(_needed(F.col("n")) - F.col("l"), _needed(F.col("n2")) - F.col("l2"))
+    return F.greatest(F.least("l", "l2"), need - beyond)
 
 
 def _lengths(n1: Column, n2: Column) -> Column:
     return (4 * n1 >= 3 * n2) & (4 * n2 >= 3 * n1)
 
 
+def _feasible() -> Column:
+    """Can the sets of two postings link at all?  ``most`` is what a set can
+    have in common with any other: all but its unshared prefix shingles."""
+    union = 3 * (F.col("n") + F.col("n2"))
+    return _lengths(F.col("n"), F.col("n2")) & (7 * F.col("most") >= union) & (7 * F.col("most2") >= union)
+
+
 def _shared_only(batches):
     """Of rows sorted by (shingle, set): each once, without shingles of a single
     set.  The partition's first and last rows stay, as others may follow there."""
@@ -183,25 +195,33 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sent = stored(rows.filter("doc_id is not null").select("text").mapInArrow(postings, schema), "jaccard-postings")
     shared = stored(sent.repartitionByRange("shingle", "s").sortWithinPartitions("shingle", "s").mapInArrow(_shared_only, schema), "jaccard-shared")
 
-    # star: every set against the one that is most central in its postings
-    central = shared.groupBy("s").agg(F.count("*").alias("central"))
-    posted = shared.join(central, "s")
-    leaders = posted.groupBy("shingle").agg(F.max(F.struct("central", "s", "n", "l")).alias("top"))
-    star = (shared.join(leaders, "shingle").filter("s <> top.s")
-            .groupBy("s", "n", "l", F.col("top.s").alias("s2"), F.col("top.n").alias("n2"), F.col("top.l").alias("l2")).agg(F.count("*").alias("c"))
-            .filter(_allowed(F.col("c"), F.col("n"), F.col("l"), F.col("n2"), F.col("l2")))
+    # star: every set against the one that is most central in its postings,
+    # the one with the largest part of its prefix shared
+    central = shared.groupBy("s", "n", "l").agg(F.count("*").alias("central"))
+    central = stored(central.select("s", (_needed(F.col("n")) - F.col("l") + F.col("central")).alias("most"),
+                                    (F.col("central") / (F.col("n") - _needed(F.col("n")) + F.col("l"))).alias("part")), "jaccard-central")
+    posted = stored(shared.join(central, "s"), "jaccard-posted")
+    leaders = posted.groupBy("shingle").agg(F.max(F.struct("part", "n", "s", "l", "most")).alias("top"))
+    star = (posted.join(leaders, "shingle").filter("s <> top.s").select("s", "n", "l", "most", *(F.col(f"top.{c}").alias(f"{c}2") for c in ("s", "n", "l", "most")))
+            .filter(_feasible()).groupBy("s", "s2").agg(F.count("*").alias("c"))
             .groupBy("s").agg(F.max(F.struct("c", "s2")).alias("best")))
     links = _verify(rows, members, stored(star.select(F.col("s").alias("a"), F.col("best.s2").alias("b")), "jaccard-star"))
     first = components(links, "jaccard-first")
 
     # the rest: pairs of different components
-    dealt = shared.join(first, shared["s"] == first["id"], "left").select("shingle", "s", "n", "l", F.coalesce("component", "s").alias("k"))
+    dealt = posted.join(first, posted["s"] == first["id"], "left").select("shingle", "s", "n", "l", "most", F.coalesce("component", "s").alias("k"))
     mixed = dealt.groupBy("shingle").agg(F.min("k").alias("k1"), F.max("k").alias("k2")).filter("k1 <> k2").select("shingle")
     dealt = stored(dealt.join(mixed, "shingle", "left_semi"), "jaccard-mixed")
-    other = dealt.select("shingle", *(F.col(c).alias(f"{c}2") for c in ("s", "n", "l", "k")))
-    pairs = (dealt.join(other, "shingle").filter(F.col("k") < F.col("k2")).filter(_lengths(F.col("n"), F.col("n2")))
-             .groupBy("s", "n", "l", "s2", "n2", "l2").agg(F.count("*").alias("c"))
-             .filter(_allowed(F.col("c"), F.col("n"), F.col("l"), F.col("n2"), F.col("l2"))))
+    # what a set can share is now in its mixed postings; in the order of their
+    # sizes the first common one must leave room for all that a link needs
+    size = dealt.groupBy("shingle").agg(F.count("*").alias("size"))
+    whole = Window.partitionBy("s")
+    dealt = (dealt.join(size, "shingle")
+             .withColumn("room", F.row_number().over(whole.orderBy(F.col("size").desc(), F.col("shingle").desc())))
+             .withColumn("most", _needed(F.col("n")) - F.col("l") + F.count("*").over(whole)).drop("size"))
+    dealt = stored(dealt, "jaccard-ranked")
+    other = dealt.select("shingle", *(F.col(c).alias(f"{c}2") for c in ("s", "n", "l", "most", "k", "room")))
+    pairs = dealt.join(other, "shingle").filter((F.col("k") < F.col("k2")) & _feasible() & (F.least("room", "room2") >= _least_shared())).select("s", "s2").distinct()
     more = _verify(rows, members, stored(pairs.select(F.col("s").alias("a"), F.col("s2").alias("b")), "jaccard-rest"))
     groups = components(first.select(F.col("id").alias("a"), F.col("component").alias("b")).union(more), "jaccard-groups")
 

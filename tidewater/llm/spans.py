@@ -5,6 +5,7 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import column, prepare
 
@@ -28,8 +29,9 @@ def find_spans(docs: DataFrame, find, id_col: str, text_col: str, keep_row: bool
     rows = docs.select(column(id_col).cast("long").alias("doc_id"), column(text_col).cast("string").alias("text"),
                        *([F.struct("*").alias("row")] if keep_row else []))
     schema = f"doc_id long, spans {SPANS}"
+    schema = T.StructType.fromDDL(schema)
     if keep_row:
-        schema += f", row {rows.schema['row'].dataType.simpleString()}"
+        schema = schema.add("row", rows.schema["row"].dataType)
     return rows.mapInArrow(run, schema)
 
 
