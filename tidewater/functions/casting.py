@@ -94,7 +94,8 @@ def _build(targets, source, trim, checks):
         s = F.col(s_name)
         value = _parse(s, t) if t.dtype != "string" else s.cast("string")
         if t.default is not None:
-            value = F.coalesce(value, F.lit(t.default).cast(t.dtype))
+            # only for an absent or empty input: an uncastable one is an error
+            value = F.when(s.isNull(), F.lit(t.default).cast(t.dtype)).otherwise(value)
         typed.append(value.alias(t.name))
         v = F.col(t.name)
         if t.dtype != "string":

@@ -37,25 +37,24 @@ def ts_text(c: str | Column) -> Column:
     return F.date_format(_c(c), TS_TEXT_FORMAT)
 
 
-def epoch_ms_text(ms: str | Column) -> Column:
-    """Epoch milliseconds as ``yyyy-MM-dd HH:mm:ss.SSS`` using integer maths.
+def _from_epoch(ms: Column) -> Column:
+    """Epoch milliseconds as TIMESTAMP_NTZ in UTC, whatever the session zone."""
+    return F.timestamp_add("MILLISECOND", ms.cast("long"), F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"))
 
-    ``div`` truncates toward zero, so whole seconds are taken after removing
-    the non-negative remainder: correct before 1970 as well.
-    """
+
+def epoch_ms_text(ms: str | Column) -> Column:
+    """Epoch milliseconds as ``yyyy-MM-dd HH:mm:ss.SSS`` in UTC, before 1970 too."""
     ms = _c(ms)
     millis = F.pmod(ms, F.lit(1000))
-    seconds = (ms - millis).cast("long") / 1000
     return F.concat(
-        F.from_unixtime(seconds.cast("long"), "yyyy-MM-dd HH:mm:ss"),
+        F.substring(_from_epoch(ms - millis).cast("string"), 1, 19),
         F.lit("."),
         F.lpad(millis.cast("string"), 3, "0"),
     )
 
 
 def epoch_ms_date_text(ms: str | Column) -> Column:
-    ms = _c(ms)
-    return F.date_format(F.timestamp_millis(ms), DATE_TEXT_FORMAT)
+    return _from_epoch(_c(ms)).cast("date").cast("string")
 
 
 def position_fields_text(ts_col: str | Column = "ts") -> list[Column]:

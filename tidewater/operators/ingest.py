@@ -32,7 +32,8 @@ def parse_delimited(messages: DataFrame, keep: list[str] = ["offset"]) -> DataFr
     parts = F.col("_parts")
     return messages.select(*keep, wire.split_fields("value").alias("_parts")).select(
         *keep,
-        F.size(parts).alias(NFIELDS),
+        # a NULL message has no fields: it is a reject, not a lost row
+        F.coalesce(F.size(parts), F.lit(0)).alias(NFIELDS),
         *[F.get(parts, i).alias(n) for i, n in enumerate(POSITION_WIRE_FIELDS)],
         F.spark_partition_id().alias(PARSE_FENCE),
     )
@@ -120,10 +121,21 @@ def parse_envelope(messages: DataFrame, keep: list[str] = ["offset"]) -> DataFra
     return messages.select(*keep_all, env.alias("_env")).select(
         *keep_all, "_env",
         wire.envelope_missing_required(F.col("_env")).alias("_missing"),
+        _wrong_types(F.col("_env")).alias("_wrong"),
         F.spark_partition_id().alias(PARSE_FENCE),
     )
 
 
+def _wrong_types(env: F.Column) -> F.Column:
+    """Names of payload fields whose value does not cast to their type."""
+    bad = []
+    for t in ENVELOPE_TARGET:
+        if t.dtype != "string":
+            v = F.try_element_at(env["payload"], F.lit(t.name)).cast("string")
+            bad.append(F.when((v != F.lit("")) & v.try_cast(t.dtype).isNull(), F.lit(t.name)))
+    return F.filter(F.array(*bad), lambda x: x.isNotNull())
+
+
 def envelope_usable(usable: bool = True) -> F.Column:
     """Filter for (un)usable envelopes; references the fence so the JSON
     parse is not inlined into the condition."""
@@ -138,7 +150,9 @@ def envelope_problem() -> F.Column:
             .when(env["schema"].isNull() | env["payload"].isNull(),
                   F.lit("envelope needs schema and payload"))
             .when(F.size("_missing") > 0,
-                  F.concat(F.lit("null value for required field "), F.array_join("_missing", ","))))
+                  F.concat(F.lit("null value for required field "), F.array_join("_missing", ",")))
+            .when(F.size("_wrong") > 0,
+                  F.concat(F.lit("wrong type for field "), F.array_join("_wrong", ","))))
 
 
 def envelope_rows(parsed: DataFrame, keep: list[str] = ["offset"],

@@ -149,7 +149,7 @@ class LedgerTable:
         self._save_schema(data.drop("snapshot_id"))
         # few files per folder; AQE still splits a skewed folder
         (data.hint("rebalance", "snapshot_id", *self.partition_cols)
-         .write.mode("overwrite").partitionBy("snapshot_id", *self.partition_cols)
+         .write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("snapshot_id", *self.partition_cols)
          .parquet(self.data_path))
         counts = self._counts_of_uncommitted(committed, snapshot_ids)
         self._commit(sorted(counts.items()), operation, max(ledger.values(), default=None))

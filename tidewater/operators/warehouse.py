@@ -63,7 +63,7 @@ class PartitionedTable:
         out = df.select(*cols)
         if not clustered:
             out = out.hint("rebalance", *self.partition_cols)
-        out.write.mode("overwrite").partitionBy(*self.partition_cols).parquet(self.path)
+        out.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy(*self.partition_cols).parquet(self.path)
 
     def read(self) -> DataFrame:
         if not path_exists(self.spark, self.path):

@@ -146,9 +146,16 @@ FROM wh GROUP BY icao24 ORDER BY icao24""",
     "status_line": with_(POSITIONS, WAREHOUSE) + """
 SELECT 'STATUS rows=' || CAST(count(*) AS VARCHAR) || ' latest='
        || coalesce(strftime(max(ts), '%Y-%m-%d %H:%M:%S.%g'), 'none') AS status
+FROM wh""",
+    "status_line_keys": with_(POSITIONS, WAREHOUSE) + """
+SELECT 'STATUS rows=' || CAST(count(*) AS VARCHAR) || ' keys=' || CAST(count(DISTINCT icao24) AS VARCHAR) || ' latest='
+       || coalesce(strftime(max(ts), '%Y-%m-%d %H:%M:%S.%g'), 'none') AS status
 FROM wh""",
     "top_n": with_(POSITIONS, WAREHOUSE) + """
 SELECT * FROM wh ORDER BY velocity DESC, "offset" LIMIT 10""",
+    "sample_n": with_(POSITIONS, LAKE) + """
+SELECT * FROM lake
+ORDER BY md5(icao24 || '|' || strftime(ts, '%Y-%m-%d %H:%M:%S.%g') || '|42'), "offset" LIMIT 10""",
     "recent_rows": with_(POSITIONS, WAREHOUSE) + """
 SELECT * FROM wh WHERE pos_date = (SELECT max(pos_date) FROM wh) ORDER BY ts DESC""",
     "recent_by_key": with_(POSITIONS, LAKE) + """

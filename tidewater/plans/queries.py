@@ -172,6 +172,10 @@ def q_status_line(spark, sf_dir):
     return reports.status_line(warehouse_rows(spark, sf_dir))
 
 
+def q_status_line_keys(spark, sf_dir):
+    return reports.status_line_keys(warehouse_rows(spark, sf_dir))
+
+
 def q_top_n(spark, sf_dir):
     return reports.top_n(warehouse_rows(spark, sf_dir), 10, [F.desc("velocity"), F.asc("offset")])
 
@@ -516,6 +520,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "per_key_avg_int": q_per_key_avg_int,
     "ingest_lag": q_ingest_lag,
     "status_line": q_status_line,
+    "status_line_keys": q_status_line_keys,
     "top_n": q_top_n,
     "sample_n": q_sample_n,
     "recent_rows": q_recent_rows,

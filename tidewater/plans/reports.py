@@ -78,13 +78,26 @@ def status_line(t: DataFrame, ts: str = "ts") -> DataFrame:
     ).alias("status"))
 
 
+def status_line_keys(t: DataFrame, key: str = "icao24", ts: str = "ts") -> DataFrame:
+    """The status line with the number of distinct keys."""
+    agg = t.agg(F.count(F.lit(1)).alias("n"), F.countDistinct(key).alias("keys"), F.max(ts).alias("latest"))
+    return agg.select(F.concat(
+        F.lit("STATUS rows="), F.col("n").cast("string"), F.lit(" keys="), F.col("keys").cast("string"), F.lit(" latest="),
+        F.coalesce(F.date_format("latest", "yyyy-MM-dd HH:mm:ss.SSS"), F.lit("none")),
+    ).alias("status"))
+
+
 def top_n(t: DataFrame, n: int, order: list[Column]) -> DataFrame:
     return t.orderBy(*order).limit(n)
 
 
 def sample_n(t: DataFrame, n: int, seed: int, order: list[str]) -> DataFrame:
-    """N random rows (seeded), then shown in key order."""
-    return t.orderBy(F.rand(seed)).limit(n).orderBy(*order)
+    """N random rows, then shown in key order.  Random means the smallest
+    digests of key, time and seed, so a seed picks the same rows however the
+    table is partitioned; rows with equal keys and times go by their values."""
+    mark = F.md5(F.concat_ws("|", F.col(order[0]), F.date_format(order[1], "yyyy-MM-dd HH:mm:ss.SSS"), F.lit(str(seed))))
+    rest = [c for c in t.columns if c not in order]
+    return t.orderBy(mark, *order, *rest).limit(n).orderBy(*order)
 
 
 def recent_rows(t: DataFrame, day_col: str = "pos_date", ts: str = "ts") -> DataFrame:

@@ -121,6 +121,8 @@ def scratch_root(spark: SparkSession) -> str:
             root = None
     if not root:
         root = _LOCAL_ROOTS.get(sc.applicationId)
+    if not root and not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     if not root:
         root = tempfile.mkdtemp(prefix="tidewater-", dir="/tmp")
         _LOCAL_ROOTS[sc.applicationId] = root

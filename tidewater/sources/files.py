@@ -29,8 +29,9 @@ HIVE, DATED = "hive", "dated"
 def landing_columns(ts: str | Column) -> list[Column]:
     """(landing_date 'yyyy-MM-dd', landing_hour 'HH') of a timestamp."""
     t = F.col(ts) if isinstance(ts, str) else ts
-    return [F.date_format(t, "yyyy-MM-dd").alias("landing_date"),
-            F.date_format(t, "HH").alias("landing_hour")]
+    told = t.cast("string")  # a zone-free time as text does not follow the session zone
+    return [F.substring(told, 1, 10).alias("landing_date"),
+            F.substring(told, 12, 2).alias("landing_hour")]
 
 
 def write_hour_folders(messages: DataFrame, root: str, landing_ts: str = "timestamp",

@@ -37,18 +37,26 @@ def drain_and_stop(q: StreamingQuery) -> None:
 
 
 def stop_when_idle(q: StreamingQuery, idle_seconds: float, poll_seconds: float = 1.0,
-                   max_seconds: float = 3600, clock: Callable[[], float] = time.monotonic,
+                   max_seconds: float = float("inf"), clock: Callable[[], float] = time.monotonic,
                    sleep: Callable[[float], None] = time.sleep) -> bool:
-    """Stop once no input arrived for ``idle_seconds`` (ST5); True if idle-stopped."""
+    """Stop once no input arrived for ``idle_seconds`` (ST5); True if idle-stopped.
+
+    An idle report and the next data batch share a batch id, so reports are
+    told apart by their times as well; a batch that is still running is not
+    idle time."""
     start_t = clock()
     last_data = clock()
     seen = None
     while q.isActive and clock() - start_t < max_seconds:
         progress = q.lastProgress
-        if progress and progress.get("batchId") != seen:
-            seen = progress.get("batchId")
-            if progress.get("numInputRows", 0) > 0:
+        mark = progress and (progress.get("batchId"), progress.get("timestamp"), progress.get("numInputRows", 0))
+        if mark and mark != seen:
+            seen = mark
+            if mark[2] > 0:
                 last_data = clock()
+        status = getattr(q, "status", None) or {}
+        if status.get("isTriggerActive") and status.get("isDataAvailable"):
+            last_data = clock()
         if clock() - last_data >= idle_seconds:
             q.stop()
             return True
