@@ -63,6 +63,7 @@ LAYOUTS = [
     f"<body><div data-y=0><a>Home</a> | <a>Shop</a> | <a>Help</a></div><div data-y=1><h1>Title</h1><p>{LONG}</p><p>{LONG}</p><table><tr><td>12</td><td>{LONG}</td></tr></table></div><div data-y=0><a>Terms</a> <a>Privacy</a></div></body>",
     f"<body><article data-y=1><header><h1>Title</h1></header><p>{LONG}</p><p>Yes.</p><ol><li>One point</li><li>{LONG}</li></ol><div class=share data-y=0><a>Post this</a></div><aside data-y=0><p>{LONG}</p></aside></article><form data-y=0><p>Subscribe to our letter</p><input></form><div class=advert data-y=0>Buy things now</div></body>",
     f"<body><div role=banner data-y=0><p>The daily site</p></div><div role=main data-y=1><p>{LONG}</p><div><p>{LONG}</p><pre>code text</pre></div></div><div class='widget newsletter' data-y=0><p>{LONG}</p></div><div role=contentinfo data-y=0><p>Imprint</p></div></body>",
+    f"<body><article data-y=1><p>{LONG}</p><aside data-y=0><h4>See also</h4><p>{LONG}</p></aside><p>{LONG}</p><nav data-y=0><p>{LONG}</p></nav><p>{LONG}</p><form data-y=0><p>{LONG}</p></form></article><aside data-y=0><p>{LONG}</p></aside><footer data-y=0><p>{LONG}</p></footer></body>",
     f"<body><p data-y=1>{LONG}</p><p data-y=1>{LONG}</p><h2 data-y=1>Part</h2><p data-y=1>Short text.</p><div class=alert data-y=0>{LONG}</div><ul class=menu data-y=0><li><a>One</a><li><a>Two</a></ul></body>",
 ]
 # --- end fixed values -----------------------------------------------------
@@ -173,7 +174,8 @@ def gathered(page: Page) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return sums[:, 0], sums[:, 1], sums[:, 2]
 
 
-N_FEATURES = 12
+N_FEATURES = 13
+RIDGE = 5e-4
 
 
 def evidence(page: Page, plain: bool = False) -> np.ndarray:
@@ -183,7 +185,7 @@ def evidence(page: Page, plain: bool = False) -> np.ndarray:
     for k, n in enumerate(page.nodes):
         leaf, tag = n.tag in LEAVES, "div" if plain else n.tag
         density = min(1.0, links[k] / chars[k]) if chars[k] else 0.0
-        out[k] = (1, tag in BAD_TAGS, tag in GOOD_TAGS, bool(n.cues & BAD_WORDS), bool(n.cues & GOOD_WORDS) and not n.cues & BAD_WORDS,
+        out[k] = (1, tag in BAD_TAGS and tag != "header", tag == "header", tag in GOOD_TAGS, bool(n.cues & BAD_WORDS), bool(n.cues & GOOD_WORDS) and not n.cues & BAD_WORDS,
                   leaf, n.tag == "p", n.tag.startswith("h") and n.tag[1:].isdigit(), density, leaf and math.log1p(chars[k]) / 5,
                   leaf and commas[k] >= 2, chars[k] == 0)
     return out
@@ -265,8 +267,8 @@ def train(pages: list[str] = ()) -> Model:
     w = np.zeros(N_FEATURES)
     for _ in range(60):  # Newton steps with a ridge
         p = 1 / (1 + np.exp(-x @ w))
-        grad = x.T @ (c * (p - y)) + 1e-3 * w
-        hess = (x * (c * p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(N_FEATURES)
+        grad = x.T @ (c * (p - y)) + RIDGE * w
+        hess = (x * (c * p * (1 - p))[:, None]).T @ x + RIDGE * np.eye(N_FEATURES)
         step = np.linalg.solve(hess, grad)
         w -= step
         if np.abs(step).max() < 1e-8:
@@ -279,8 +281,10 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     spark = prepare(pages.sparkSession)
     rows = pages.select(column(id_col).cast("long").alias("page_id"), column(url_col).cast("string").alias("url"),
                         column(html_col).cast("string").alias("html"))
-    sample = (rows.filter("html is not null and length(html) < 200000").orderBy(F.xxhash64("page_id", "url"), "html").limit(SAMPLE)
-              .select("html").toPandas().html.tolist())
+    # keys first: whole pages would be sent to the driver from every task
+    keyed = rows.filter("html is not null and length(html) < 200000").select(F.xxhash64("page_id", "url").alias("h"), "html")
+    chosen = keyed.select("h").distinct().orderBy("h").limit(SAMPLE)
+    sample = keyed.join(F.broadcast(chosen), "h").groupBy("h").agg(F.max("html").alias("html")).toPandas().sort_values("h").html.tolist()
     shared = spark.sparkContext.broadcast(train(sample))
 
     def run(batches):
