@@ -134,6 +134,8 @@ def test_container_files_read_by_block(spark, tmp_path):
     assert rows.where("validity = 'OK'").count() == 251
     got = sorted(int(r["avro"]["product_id"]) for r in rows.where("container_id = 1").collect())
     assert got == list(range(250))
+    # one number per record of the file, across its blocks
+    assert sorted(r["avro_obj_id"] for r in rows.where("container_id = 1").collect()) == list(range(1, 251))
     assert rows.where("container_id = 2").first()["avro"]["discount_pct"] == 30.0
 
 

@@ -48,6 +48,20 @@ def test_pipeline2_bounded_then_restart(spark, tmp_path):
     assert len(per_key) == 10
 
 
+def test_latest_start_survives_a_restart(spark, tmp_path):
+    topic = FileTopic(spark, str(tmp_path), "adsb")
+    table = P.positions_table(spark, str(tmp_path / "wh"))
+    rejects = P.rejects_table(spark, str(tmp_path / "rej"))
+
+    def run():
+        P.run_warehouse(topic, table, rejects, str(tmp_path / "cp"), "late", starting="latest").awaitTermination()
+    _publish_lines(spark, topic, 10)
+    run()                                           # nothing after the start yet
+    _publish_lines(spark, topic, 5, start=10)       # published while stopped
+    run()
+    assert sorted(r["offset"] for r in table.read().collect()) == list(range(10, 15))
+
+
 def test_pipeline8_dead_letters(spark, tmp_path):
     topic = FileTopic(spark, str(tmp_path), "adsb-dlq-demo")
     dlq = FileTopic(spark, str(tmp_path), "adsb-dlq-demo.dlq")
@@ -157,6 +171,14 @@ def test_pipeline6_avro_chain_to_warehouse(spark, tmp_path):
     q2.awaitTermination()
     assert table.read().count() == 19
     assert [r["error_message"] for r in rej.read().collect()] == ["wrong magic byte"]
+    # without a reject table the bad frame fails the batch and nothing is published
+    strict = FileTopic(spark, str(tmp_path), "adsb-strict")
+    try:
+        P.avro_to_lines_batch(strict, {1: json.dumps(AVRO_POSITION)}, AVRO_POSITION)(src.read(), 0)
+        raise AssertionError("expected failure")
+    except Exception as e:
+        assert "bad frame at offset 7" in str(e)
+    assert strict.next_offsets() is None
     first = lines.read().where("offset = 0").first()
     assert bytes(first["value"]).decode().endswith("|2026-06-22|2026-06-22 12:00:00.000\n")
 

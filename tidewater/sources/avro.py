@@ -12,6 +12,7 @@ so bad records can be routed to rejects rather than failing the job.
 
 from __future__ import annotations
 
+import hashlib
 import json
 
 import pyarrow as pa
@@ -252,7 +253,7 @@ def to_containers(df: DataFrame, schema: dict, stage_col: str, codec_name: str =
         part = TaskContext.get().partitionId()
         for st in sorted(groups):
             blob = codec.write_container(sch, groups[st], codec=codec_name,
-                                         sync=bytes([st % 256] * 8 + [part % 256] * 8),
+                                         sync=hashlib.md5(f"{st}/{part}".encode()).digest(),
                                          block_records=block_records)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([st], pa.int32()), pa.array([part], pa.int32()), pa.array([blob], pa.binary())],
@@ -367,7 +368,8 @@ def container_blocks(files_df: DataFrame, path_col: str = "path", id_col: str |
     out_schema = T.StructType([
         T.StructField("container_id", T.IntegerType()), T.StructField("path", T.StringType()),
         T.StructField("block_no", T.IntegerType()), T.StructField("block_offset", T.LongType()),
-        T.StructField("block_records", T.LongType()), T.StructField("block_size", T.LongType()),
+        T.StructField("block_records", T.LongType()), T.StructField("records_before", T.LongType()),
+        T.StructField("block_size", T.LongType()),
         T.StructField("header_end", T.LongType()), T.StructField("error", T.StringType()),
     ])
 
@@ -388,7 +390,7 @@ def container_blocks(files_df: DataFrame, path_col: str = "path", id_col: str |
                                 if len(head) >= size:
                                     raise
                                 head = f.read_at(min(size, len(head) * 4), 0)
-                        header_end, n = pos, 0
+                        header_end, n, before = pos, 0, 0
                         while pos < size:
                             probe = f.read_at(min(20, size - pos), pos)
                             count, p1 = codec.read_long(probe, 0)
@@ -399,13 +401,15 @@ def container_blocks(files_df: DataFrame, path_col: str = "path", id_col: str |
                             n += 1
                             for k, v in (("container_id", cid), ("path", path), ("block_no", n),
                                          ("block_offset", start), ("block_records", count),
-                                         ("block_size", nbytes), ("header_end", header_end),
+                                         ("records_before", before), ("block_size", nbytes), ("header_end", header_end),
                                          ("error", None)):
                                 out[k].append(v)
+                            before += count
                             pos = start + nbytes + codec.SYNC_SIZE
                 except Exception as e:  # noqa: BLE001
                     for k, v in (("container_id", cid), ("path", path), ("block_no", None),
-                                 ("block_offset", None), ("block_records", None), ("block_size", None),
+                                 ("block_offset", None), ("block_records", None), ("records_before", None),
+                                 ("block_size", None),
                                  ("header_end", None), ("error", f"invalid container: {e}")):
                         out[k].append(v)
             yield pa.RecordBatch.from_arrays(
@@ -421,15 +425,16 @@ def read_container_files(files_df: DataFrame, reader: dict, path_col: str = "pat
     """Records of Avro container files, decoded block by block in parallel.
 
     Blocks are spread over ``slices`` tasks (default: shuffle partitions), so a
-    single large file is decoded by many tasks.  Output matches
-    ``split_containers`` (``container_part`` is the block number)."""
+    single large file is decoded by many tasks.  Output as of
+    ``split_containers``; ``container_part`` is the block number, ``avro_obj_id``
+    (long) counts the records of the file from 1."""
     spark = files_df.sparkSession
     blocks = container_blocks(files_df, path_col, id_col)
     n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rs = record_struct(reader)
     out_schema = T.StructType([
         T.StructField("container_id", T.IntegerType()), T.StructField("container_part", T.IntegerType()),
-        T.StructField("avro_obj_id", T.IntegerType()), T.StructField("avro", rs),
+        T.StructField("avro_obj_id", T.LongType()), T.StructField("avro", rs),
         T.StructField("validity", T.StringType()),
     ])
     reader_json = json.dumps(reader)
@@ -457,14 +462,14 @@ def read_container_files(files_df: DataFrame, reader: dict, path_col: str = "pat
                             headers[row["path"]] = (codec.compile_reader(schema), cname)
                         rd, cname = headers[row["path"]]
                         data = f.read_at(row["block_size"], row["block_offset"])
-                    for i, rec in enumerate(codec.block_records(data, row["block_records"], cname, rd), 1):
+                    for i, rec in enumerate(codec.block_records(data, row["block_records"], cname, rd), row["records_before"] + 1):
                         emit(row["container_id"], row["block_no"], i,
                              _to_arrow_value(codec.resolve(rec, names, defaults), rs), "OK")
                 except Exception as e:  # noqa: BLE001
                     emit(row["container_id"], row["block_no"], None, None, f"invalid block: {e}")
             yield pa.RecordBatch.from_arrays(
                 [pa.array(cols["id"], pa.int32()), pa.array(cols["part"], pa.int32()),
-                 pa.array(cols["obj"], pa.int32()), pa.array(cols["rec"], at),
+                 pa.array(cols["obj"], pa.int64()), pa.array(cols["rec"], at),
                  pa.array(cols["valid"], pa.string())],
                 names=[f.name for f in out_schema.fields])
 

@@ -126,12 +126,15 @@ class FileTopic:
         return df.select(*TOPIC_SCHEMA.fieldNames())
 
     def read_stream(self, max_files_per_trigger: int | None = None,
-                    starting: str | dict[int, int] = "earliest") -> DataFrame:
+                    starting: str | dict[int, int] = "earliest",
+                    checkpoint: str | None = None) -> DataFrame:
+        """``checkpoint`` (the stream's own) keeps the offsets that ``latest``
+        stood for at the first start, so that a restart means the same ones."""
         reader = self.spark.readStream.schema(TOPIC_SCHEMA)
         if max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
         df = reader.parquet(self.path).select(*TOPIC_SCHEMA.fieldNames())
-        cond = start_filter(self, starting)
+        cond = start_filter(self, starting, checkpoint)
         return df if cond is None else df.where(cond)
 
 
@@ -157,25 +160,41 @@ def topic_depth(messages: DataFrame) -> DataFrame:
                     F.count("*").alias("partitions"))
 
 
-def start_filter(topic: FileTopic, starting: str | dict[int, int]) -> Column | None:
+def start_filter(topic: FileTopic, starting: str | dict[int, int], checkpoint: str | None = None) -> Column | None:
     """Start-offset policy for a file-backed topic stream (S3).
 
     ``earliest`` reads everything; ``latest`` only messages appended after
-    the stream starts (end offsets taken now, per partition); a dict gives an
-    explicit start offset per partition (replay).  Once a checkpoint exists
-    the stream resumes from it and this policy no longer matters.
+    the stream's first start (``latest_offsets``); a dict gives an explicit
+    start offset per partition (replay).  The file source resumes from its
+    checkpoint; the filter here holds again after a restart, so it must not
+    move.
     """
     if starting == "earliest":
         return None
     if starting == "latest":
-        ends = topic.read().groupBy("partition").agg((F.max("offset") + 1).alias("e")).collect()
-        starting = {int(r[0]): int(r[1]) for r in ends}
+        starting = latest_offsets(topic, checkpoint)
     cond = F.lit(True)
     for p, off in starting.items():
         cond = F.when(F.col("partition") == p, F.col("offset") >= off).otherwise(cond)
     return cond
 
 
+def latest_offsets(topic: FileTopic, checkpoint: str | None) -> dict[int, int]:
+    """End offset of every partition when the stream first started: kept in
+    its checkpoint folder and read from there on a restart.  One row per topic
+    partition."""
+    from tidewater.operators.lake import path_exists
+    schema = "partition int, next_offset long"
+    kept = checkpoint and f"{checkpoint.rstrip('/')}/start-offsets"
+    if kept and path_exists(topic.spark, f"{kept}/_SUCCESS"):
+        return {r[0]: r[1] for r in topic.spark.read.schema(schema).parquet(kept).collect()}
+    ends = topic.next_offsets()
+    found = {} if ends is None else {r[0]: r[1] for r in ends.collect()}
+    if kept:
+        topic.spark.createDataFrame(list(found.items()), schema).coalesce(1).write.mode("overwrite").parquet(kept)
+    return found
+
+
 def kafka_write(messages: DataFrame, servers: str, topic: str, stream: bool = False,
                 checkpoint: str | None = None):
     """Spark's own Kafka sink (K4, ST8) for rows with ``key``/``value``

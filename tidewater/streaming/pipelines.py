@@ -103,10 +103,10 @@ def warehouse_batch(table: PartitionedTable, rejects: PartitionedTable, stream_i
 def run_warehouse(topic: FileTopic, table: PartitionedTable, rejects: PartitionedTable,
                   checkpoint: str, stream_id: str, bounded: bool = True,
                   every: str = control.FLUSH_5S, max_files_per_trigger: int | None = None,
-                  **kw) -> StreamingQuery:
+                  starting: str | dict[int, int] = "earliest", **kw) -> StreamingQuery:
     """``max_files_per_trigger`` bounds each micro-batch (admission control):
     a backlog drains in several batches instead of one."""
-    w = topic.read_stream(max_files_per_trigger).writeStream.foreachBatch(
+    w = topic.read_stream(max_files_per_trigger, starting, checkpoint).writeStream.foreachBatch(
         warehouse_batch(table, rejects, stream_id, **kw))
     return control.start(w, checkpoint, bounded, every)
 
@@ -126,8 +126,9 @@ def lake_batch(lake: LedgerTable, stream_id: str, policy: str = "drop",
 
 def run_lake(topic: FileTopic, lake: LedgerTable, checkpoint: str, stream_id: str,
              bounded: bool = True, every: str = control.CHECKPOINT_30S,
-             max_files_per_trigger: int | None = None, **kw) -> StreamingQuery:
-    w = topic.read_stream(max_files_per_trigger).writeStream.foreachBatch(
+             max_files_per_trigger: int | None = None,
+             starting: str | dict[int, int] = "earliest", **kw) -> StreamingQuery:
+    w = topic.read_stream(max_files_per_trigger, starting, checkpoint).writeStream.foreachBatch(
         lake_batch(lake, stream_id, **kw))
     return control.start(w, checkpoint, bounded, every)
 
@@ -145,7 +146,9 @@ def avro_position_line() -> F.Column:
 
 def avro_to_lines_batch(out: FileTopic, registry: dict[int, str], reader: dict,
                         rejects: PartitionedTable | None = None, stream_id: str = "p6") -> BatchFn:
-    """1:1 re-encoding keeps the source (partition, offset) of each message."""
+    """1:1 re-encoding keeps the source (partition, offset) of each message.
+    Frames that do not decode go to ``rejects``; without it the batch fails
+    before anything of it is published."""
     def body(batch, load_id):
         dec = avro.decode_framed(batch, registry, reader, keep=["key", "partition", "offset"])
         if rejects is not None:
@@ -154,8 +157,10 @@ def avro_to_lines_batch(out: FileTopic, registry: dict[int, str], reader: dict,
                 F.lit(None).cast("string").alias("error_column"),
                 F.col(avro.ERROR).alias("error_message"))
             load_batch(rejects, bad, load_id)
-        good = dec.where(F.col(avro.ERROR).isNull())
-        out.publish(as_messages(good, avro_position_line(), out.name, offset="offset",
+            dec = dec.where(F.col(avro.ERROR).isNull())
+        line = F.when(F.col(avro.ERROR).isNull(), avro_position_line()).otherwise(F.raise_error(F.concat(
+            F.lit("bad frame at offset "), F.col("offset").cast("string"), F.lit(" (no reject table): "), F.col(avro.ERROR))))
+        out.publish(as_messages(dec, line, out.name, offset="offset",
                                 key="key", partition="partition"))
     return _each_batch(body, stream_id)
 
@@ -210,8 +215,9 @@ def jdbc_sink(url: str, table: str, properties: dict | None = None) -> Callable[
 
 def run_envelope(topic: FileTopic, batch_fn: BatchFn, checkpoint: str, bounded: bool = True,
                  every: str = control.FLUSH_5S,
-                 max_files_per_trigger: int | None = None) -> StreamingQuery:
-    w = topic.read_stream(max_files_per_trigger).writeStream.foreachBatch(batch_fn)
+                 max_files_per_trigger: int | None = None,
+                 starting: str | dict[int, int] = "earliest") -> StreamingQuery:
+    w = topic.read_stream(max_files_per_trigger, starting, checkpoint).writeStream.foreachBatch(batch_fn)
     return control.start(w, checkpoint, bounded, every)
 
 
