@@ -371,3 +371,16 @@ def test_components(spark):
             root[y] = x
     got = {r.id: r.component for r in components(spark.createDataFrame(edges, "a long, b long"), "test").collect()}
     assert got == {k: top(k) for k in list(root)}
+
+
+def test_components_extended_by_late_links(spark):
+    from tidewater.llm.components import components, extended
+    pairs = [(1, 2), (2, 3), (5, 6), (8, 9), (9, 10), (20, 21)]
+    late = [(3, 6), (6, 3), (30, 9), (40, 41), (7, 7), (21, 20)]
+    frame = lambda rows: spark.createDataFrame(rows, "a long, b long")
+    first = components(frame(pairs), "t")
+    got = {tuple(r) for r in extended(first, frame(late), "t").collect()}
+    want = {1: [1, 2, 3, 5, 6], 8: [8, 9, 10, 30], 20: [20, 21], 40: [40, 41]}
+    assert got == {(k, c) for c, ks in want.items() for k in ks}
+    assert {tuple(r) for r in extended(first, frame([]), "t").collect()} == {tuple(r) for r in first.collect()}
+    assert extended(components(frame([]), "t"), frame([]), "t").count() == 0

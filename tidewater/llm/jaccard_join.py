@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import WORD, chunks, column, mix, ngram_hashes, prepare, stored, tokens, utf8
-from .components import components
+from .components import components, extended
 
 WORDS = 5
 ORDER_ROWS = 1 << 17  # shingles whose counts set the order (bounds the broadcast)
@@ -223,7 +223,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     other = dealt.select("shingle", *(F.col(c).alias(f"{c}2") for c in ("s", "n", "l", "most", "k", "room")))
     pairs = dealt.join(other, "shingle").filter((F.col("k") < F.col("k2")) & _feasible() & (F.least("room", "room2") >= _least_shared())).select("s", "s2").distinct()
     more = _verify(rows, members, stored(pairs.select(F.col("s").alias("a"), F.col("s2").alias("b")), "jaccard-rest"))
-    groups = components(first.select(F.col("id").alias("a"), F.col("component").alias("b")).union(more), "jaccard-groups")
+    groups = extended(first, more, "jaccard-groups")
 
     full = (members.join(groups, members["s"] == groups["id"], "left")
             .select("doc_id", "n", F.when(F.col("n") > 0, F.coalesce("component", "s")).alias("k")))
