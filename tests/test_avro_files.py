@@ -79,7 +79,7 @@ def test_one_file_per_message_and_header_per_file(spark, tmp_path):
     root = str(tmp_path / "csv")
     docs = ["station_id,v\r\nEGLL,1\r\nEHAM,2\r\n", "station_id,v\r\nKJFK,3"]
     files.write_hour_folders(text_messages(spark, docs), root)
-    written = sorted(glob.glob(os.path.join(root, "landing_date=*", "landing_hour=*", "part-*")))
+    written = sorted(glob.glob(os.path.join(root, "landing_date=*", "landing_hour=*", "batch=*", "part-*")))
     assert len(written) == 2
     contents = sorted(open(p, "rb").read() for p in written)
     assert contents == sorted([docs[0].encode(), docs[1].encode() + b"\n"])

@@ -102,17 +102,3 @@ def test_overwrite_starts_a_new_version(spark, tmp_path):
     t.overwrite(spark.createDataFrame([("a", "new")], "k string, op string"), "v2")
     assert [r["op"] for r in t.read().collect()] == ["new"]
     assert [r["op"] for r in t.read(snapshot_id="v1").collect()] == ["old"]
-
-
-def test_ledger_compaction_keeps_history(spark, tmp_path):
-    import glob
-    lake = LedgerTable(spark, str(tmp_path / "lake"), ["pos_date"], clock=_clock(dt.datetime(2026, 1, 1)))
-    for i in range(4):
-        lake.append(spark.createDataFrame([(f"k{i}", i, "2026-06-22")], "k string, v int, pos_date string"),
-                    f"s{i}")
-    before = [(r["snapshot_id"], r["sequence_number"]) for r in lake.snapshots().collect()]
-    assert len(glob.glob(f"{lake.ledger_path}/*.parquet")) == 4
-    assert lake.compact_ledger() == 4
-    assert len(glob.glob(f"{lake.ledger_path}/*.parquet")) == 1
-    assert [(r["snapshot_id"], r["sequence_number"]) for r in lake.snapshots().collect()] == before
-    assert lake.read().count() == 4

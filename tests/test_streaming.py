@@ -1,6 +1,7 @@
 """The pipelines as streams (ST1–ST17) over file-backed topics."""
 
 import json
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
@@ -107,7 +108,7 @@ def test_pipeline4_bounded_in_several_batches(spark, tmp_path):
         _publish_lines(spark, topic, 10, start=start)
     lake = LedgerTable(spark, str(tmp_path / "lake"), ["pos_date"])
     import glob
-    n_files = len(glob.glob(f"{topic.path}/partition=*/*.parquet"))
+    n_files = len(glob.glob(f"{topic.path}/partition=*/batch=*/*.parquet"))
     P.run_lake(topic, lake, str(tmp_path / "cp"), "p4", bounded=True,
                max_files_per_trigger=max(1, n_files // 2)).awaitTermination()
     assert lake.read().count() == 30
@@ -214,3 +215,77 @@ def test_idle_stop_and_keyed_publish(spark, tmp_path):
     keyed = assign_offsets(p, ["offset"], "partition", topic_partitions=3, offset_col="poff")
     per_key = keyed.groupBy("icao24").agg(F.countDistinct("partition").alias("n")).collect()
     assert all(r["n"] == 1 for r in per_key)
+
+
+def test_repeated_batches_add_nothing(spark, tmp_path):
+    """A batch that ran to its end and is repeated leaves one copy everywhere."""
+    from conftest import text_messages
+
+    # pipeline 8: the dead letters and their offsets stay the same
+    topic, dlq = FileTopic(spark, str(tmp_path), "env"), FileTopic(spark, str(tmp_path), "env.dlq")
+    p = positions_df(spark, 20).withColumn(
+        "latitude", F.when(F.col("offset") % 5 == 0, F.lit(None).cast("double")).otherwise(F.col("latitude")))
+    topic.publish(as_messages(p, wire.encode_envelope(), topic.name, offset="offset", key="icao24"))
+    out = PartitionedTable(spark, str(tmp_path / "jdbc"),
+                           struct_of(P.ingest.ENVELOPE_TARGET).add("partition", "integer").add("offset", "long")
+                           .add("load_id", "string"), ["load_id"])
+    metrics = []
+    fn = P.envelope_batch(P.table_sink(out), topic.name, dlq=dlq, on_metrics=metrics.append)
+    fn(topic.read(0, 10), 0)
+    for _ in range(2):
+        fn(topic.read(10, 20), 1)
+        assert sorted(r["offset"] for r in dlq.read().collect()) == [0, 1, 2, 3]
+        assert out.read().count() == 16
+    assert [(m["good"], m["bad"]) for m in metrics] == [(8, 2)] * 3
+
+    # pipeline 6: the re-encoded lines
+    src, lines = FileTopic(spark, str(tmp_path), "avro"), FileTopic(spark, str(tmp_path), "lines")
+    rows = positions_df(spark, 6).select(
+        "offset", "icao24", "callsign", "latitude", "longitude", "altitude", "velocity", "heading",
+        "vertical_rate", "on_ground", "squawk", F.col("ts_ms").alias("ts"))
+    framed = avro.encode(rows, AVRO_POSITION, keep=["offset"]).withColumn("value", avro.frame_column("value", F.lit(1)))
+    src.publish(as_messages(framed, "value", src.name, offset="offset"))
+    again = P.avro_to_lines_batch(lines, {1: json.dumps(AVRO_POSITION)}, AVRO_POSITION)
+    for _ in range(2):
+        again(src.read(), 0)
+    assert sorted(r["offset"] for r in lines.read().collect()) == list(range(6))
+
+    # pipeline 3: the files of the hour folders
+    doc = "h\r\nrow\r\n"
+    for layout in ("hive", "dated"):
+        root = str(tmp_path / layout)
+        folders = P.hour_folders_batch(root, layout=layout)
+        folders(text_messages(spark, [doc, doc]), 0)
+        folders(text_messages(spark, [doc, doc]), 0)
+        folders(text_messages(spark, [doc]), 1)
+        assert sum(1 for f in Path(root).rglob("part-*") if f.stat().st_size) == 3
+
+
+def test_reload_of_an_hour_without_good_rows_empties_it(spark, tmp_path):
+    from conftest import text_messages
+    header = ",".join(WEATHER_CSV_FIELDS)
+    doc = header + "\r\nEGLL,2026-06-22 11:50:00,12.5,10,270,9999,0.00,1013.2,VFR\r\n"
+    table = PartitionedTable(spark, str(tmp_path / "obs"),
+                             struct_of(WEATHER_OBS).add("landing_date", "string").add("landing_hour", "string"),
+                             ["landing_date", "landing_hour"])
+    root, hours = str(tmp_path / "raw"), [("2026-06-22", "12"), ("2026-06-22", "13")]
+    P.hour_folders_batch(root)(text_messages(spark, [doc]), 0)
+    P.load_hours(spark, root, WEATHER_CSV_FIELDS, WEATHER_OBS, table, hours)
+    assert table.read().count() == 1
+    # the hour's file is replaced by one without a usable row
+    P.hour_folders_batch(root)(text_messages(spark, [doc.replace("11:50", "never")]), 0)
+    P.load_hours(spark, root, WEATHER_CSV_FIELDS, WEATHER_OBS, table, hours)
+    assert table.read().count() == 0
+
+
+def test_lake_commits_only_its_own_write(spark, tmp_path):
+    lake = LedgerTable(spark, str(tmp_path / "lake"))
+    rows = spark.createDataFrame([(1, "s1"), (2, "s1"), (3, "s2")], "x int, s string")
+    # what a failed write leaves: a folder without a commit
+    rows.where("s = 's2'").selectExpr("x", "'s9' AS snapshot_id").write.partitionBy("snapshot_id").parquet(lake.data_path)
+    assert lake.append_snapshots(rows, "s") == {"s1": 2, "s2": 1}
+    assert lake.append_snapshots(rows, "s") == {}
+    assert sorted(r["x"] for r in lake.read().collect()) == [1, 2, 3]
+    assert [(r["snapshot_id"], r["sequence_number"]) for r in lake.snapshots().orderBy("sequence_number").collect()] == [("s1", 1), ("s2", 2)]
+    lake.overwrite(rows.where("false").select("x"), "s3")
+    assert lake.read().count() == 0 and lake.read(snapshot_id="s2").count() == 3

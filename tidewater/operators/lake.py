@@ -23,7 +23,7 @@ import datetime as dt
 import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,6 +32,7 @@ LEDGER = T.StructType([
     T.StructField("committed_at", T.TimestampNTZType(), False),
     T.StructField("operation", T.StringType(), False),
     T.StructField("added_rows", T.LongType(), False),
+    T.StructField("sequence_number", T.LongType(), False),
 ])
 
 
@@ -94,82 +95,66 @@ class LedgerTable:
         first = Window.partitionBy("snapshot_id").orderBy("committed_at")
         return (raw.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n"))
 
-    def _committed(self, as_of: dt.datetime | None = None) -> list[str]:
-        c = self.commits()
-        if as_of is not None:
-            c = c.where(F.col("committed_at") <= F.lit(as_of).cast("timestamp_ntz"))
-        return [r[0] for r in c.select("snapshot_id").collect()]
-
-    def _ledger(self) -> dict[str, dt.datetime]:
-        """{snapshot_id: first commit time}: one small read per append."""
+    def _last(self, snapshot_id: str) -> tuple[bool, dt.datetime | None, int]:
+        """Is the id committed; the last commit's time and sequence number."""
         if not path_exists(self.spark, self.ledger_path):
-            return {}
-        out: dict[str, dt.datetime] = {}
-        for sid, at in self.spark.read.schema(LEDGER).parquet(self.ledger_path).select(
-                "snapshot_id", "committed_at").collect():
-            if sid not in out or at < out[sid]:
-                out[sid] = at
-        return out
+            return False, None, 0
+        raw = self.spark.read.schema(LEDGER).parquet(self.ledger_path)
+        told = raw.agg(F.max((F.col("snapshot_id") == snapshot_id).cast("int")), F.max("committed_at"), F.max("sequence_number")).first()
+        return bool(told[0]), told[1], told[2] or 0
 
     def _commit(self, rows: list[tuple[str, int]], operation: str,
-                last: dt.datetime | None) -> list[tuple]:
+                last: dt.datetime | None, number: int) -> None:
         out = []
-        for sid, n in rows:
+        for k, (sid, n) in enumerate(rows):
             at = self.clock()
             if last is not None and at <= last:
                 at = last + dt.timedelta(milliseconds=1)
             last = at
-            out.append((sid, at, operation, int(n)))
+            out.append((sid, at, operation, int(n), number + 1 + k))
         if out:
             self.spark.createDataFrame(out, LEDGER).coalesce(1).write.mode(
                 "append").parquet(self.ledger_path)
-        return out
 
     # --- writes -------------------------------------------------------------
-    def append(self, df: DataFrame, snapshot_id: str, operation: str = "append") -> int:
-        """Commit ``df`` as one snapshot; a committed id is not written again."""
-        return self.append_snapshots(df.withColumn("_snapshot", F.lit(snapshot_id)),
-                                     "_snapshot", operation, [snapshot_id]).get(snapshot_id, 0)
+    def _write(self, data: DataFrame) -> None:
+        self._save_schema(data.drop("snapshot_id"))
+        # few files per folder; AQE still splits a skewed folder
+        (data.hint("rebalance", "snapshot_id", *self.partition_cols)
+         .write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("snapshot_id", *self.partition_cols)
+         .parquet(self.data_path))
 
-    def append_snapshots(self, df: DataFrame, snapshot_col: str, operation: str = "append",
-                         snapshot_ids: list[str] | None = None) -> dict[str, int]:
+    def append(self, df: DataFrame, snapshot_id: str, operation: str = "append") -> int:
+        """Commit ``df`` as one snapshot; a committed id is not written again.
+        Rows are counted while they are written; an empty overwrite is a
+        commit too, an empty append is none."""
+        done, last, number = self._last(snapshot_id)
+        if done:
+            return 0
+        obs = Observation(f"rows-{snapshot_id}")
+        self._write(df.withColumn("snapshot_id", F.lit(snapshot_id)).observe(obs, F.count(F.lit(1)).alias("n")))
+        n = obs.get["n"]
+        if n or operation == "overwrite":
+            self._commit([(snapshot_id, n)], operation, last, number)
+        return n
+
+    def append_snapshots(self, df: DataFrame, snapshot_col: str, operation: str = "append") -> dict[str, int]:
         """Write several snapshots in one job, then commit them in id order.
 
-        The data of every snapshot is written first (one scan of ``df``);
-        each then becomes visible with its own ledger row, so time travel can
-        stop between any two of them.
+        The data of every snapshot is written first; each then becomes visible
+        with its own ledger row, so time travel can stop between any two of
+        them.  Only ids of ``df`` are committed (counted over that one column),
+        whatever folders an earlier failed write has left.
         """
-        ledger = self._ledger()
-        committed = set(ledger)
         data = df.withColumn("snapshot_id", F.col(snapshot_col).cast("string"))
         if snapshot_col != "snapshot_id":
             data = data.drop(snapshot_col)
-        if committed:
-            data = data.where(~F.col("snapshot_id").isin(sorted(committed)))
-        self._save_schema(data.drop("snapshot_id"))
-        # few files per folder; AQE still splits a skewed folder
-        (data.hint("rebalance", "snapshot_id", *self.partition_cols)
-         .write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("snapshot_id", *self.partition_cols)
-         .parquet(self.data_path))
-        counts = self._counts_of_uncommitted(committed, snapshot_ids)
-        self._commit(sorted(counts.items()), operation, max(ledger.values(), default=None))
+        data = data.join(self.commits().select("snapshot_id"), "snapshot_id", "left_anti")
+        counts = {r[0]: r[1] for r in data.groupBy("snapshot_id").count().collect()}
+        self._write(data.select(*[c for c in data.columns if c != "snapshot_id"], "snapshot_id"))
+        self._commit(sorted(counts.items()), operation, *self._last("")[1:])
         return counts
 
-    def _counts_of_uncommitted(self, committed: set[str],
-                               only: list[str] | None) -> dict[str, int]:
-        """Row counts per written, not yet committed snapshot (from footers).
-
-        ``only`` restricts to the ids this write produced, so the folder of an
-        earlier failed write is not committed by accident."""
-        stored = self._scan()
-        if stored is None:
-            return {}
-        if committed:
-            stored = stored.where(~F.col("snapshot_id").isin(sorted(committed)))
-        if only is not None:
-            stored = stored.where(F.col("snapshot_id").isin(list(only)))
-        return {r[0]: r[1] for r in stored.groupBy("snapshot_id").count().collect()}
-
     # --- reads --------------------------------------------------------------
     def _scan(self) -> DataFrame | None:
         schema = self.schema()
@@ -206,24 +191,6 @@ class LedgerTable:
         cols = [f.name for f in schema.fields] + (["snapshot_id"] if with_snapshot else [])
         return out.select(*cols)
 
-    def compact_ledger(self) -> int:
-        """Rewrite the ledger (one small file per commit) as a single file.
-
-        The de-duplicated rows are appended as one file first, then the old
-        files are deleted; a reader in between sees every commit twice, which
-        ``commits()`` already collapses.  Returns the number of commits."""
-        if not path_exists(self.spark, self.ledger_path):
-            return 0
-        jvm = self.spark.sparkContext._jvm
-        hpath = jvm.org.apache.hadoop.fs.Path(self.ledger_path)
-        fs = hpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        old = [st.getPath() for st in fs.listStatus(hpath) if st.getPath().getName().endswith(".parquet")]
-        rows = [tuple(r) for r in self.commits().select(*LEDGER.fieldNames()).collect()]
-        self.spark.createDataFrame(rows, LEDGER).coalesce(1).write.mode("append").parquet(self.ledger_path)
-        for p in old:
-            fs.delete(p, False)
-        return len(rows)
-
     def overwrite(self, df: DataFrame, snapshot_id: str) -> int:
         """Commit ``df`` as the whole new content (older snapshots stay for
         time travel)."""
@@ -231,8 +198,7 @@ class LedgerTable:
 
     def snapshots(self) -> DataFrame:
         """Snapshot history in commit order with a 1-based sequence number."""
-        order = Window.orderBy("committed_at", "snapshot_id")
-        return self.commits().withColumn("sequence_number", F.row_number().over(order).cast("long"))
+        return self.commits()
 
 
 class CatalogTable:

@@ -11,7 +11,10 @@ defaults) are enforced by ``functions.casting`` before rows get here.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,8 +55,10 @@ class PartitionedTable:
         self.schema = schema
         self.partition_cols = list(partition_cols)
 
-    def write(self, df: DataFrame, clustered: bool = False) -> None:
-        """Replace exactly the partitions present in ``df`` (idempotent).
+    def write(self, df: DataFrame, clustered: bool = False, replace: list[dict] | None = None) -> None:
+        """Replace exactly the partitions present in ``df`` (idempotent), and
+        empty those of ``replace`` (a value for every partition column) that
+        have no row in ``df``; their rows are counted while ``df`` is written.
 
         Unless the input is already clustered by the partition columns (read
         from folders of the same layout), REBALANCE groups each folder's rows
@@ -61,9 +66,16 @@ class PartitionedTable:
         and AQE still splits a skewed folder across tasks."""
         cols = [f.name for f in self.schema.fields]
         out = df.select(*cols)
+        replace, obs = replace or [], Observation("replaced")
+        if replace:
+            out = out.observe(obs, *(F.count(F.when(reduce(and_, (F.col(c) == v for c, v in part.items())), 1)).alias(f"n{i}")
+                                     for i, part in enumerate(replace)))
         if not clustered:
             out = out.hint("rebalance", *self.partition_cols)
         out.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy(*self.partition_cols).parquet(self.path)
+        for i, part in enumerate(replace):
+            if not obs.get[f"n{i}"]:
+                delete_path(self.spark, "/".join([self.path, *(f"{c}={part[c]}" for c in self.partition_cols)]))
 
     def read(self) -> DataFrame:
         if not path_exists(self.spark, self.path):

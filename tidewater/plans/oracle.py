@@ -177,6 +177,19 @@ SELECT (SELECT max(event_id) + 1 FROM events) + row_number() OVER (ORDER BY even
 FROM positions WHERE event_id % 5 = 0""",
 }
 
+ORACLE["record_balance"] = """
+WITH e AS (
+  SELECT CASE event_id % 11 WHEN 0 THEN 'null message' WHEN 1 THEN 'blank latitude'
+                            WHEN 2 THEN 'short record' WHEN 3 THEN 'wrong type' ELSE 'none' END AS fault
+  FROM events),
+r AS (SELECT unnest(['delimited', 'envelope']) AS route)
+SELECT route, fault, count(*) AS records,
+       count(CASE WHEN fault = 'none' THEN 1 END) AS good,
+       count(CASE WHEN fault <> 'none' AND route = 'delimited' THEN 1 END) AS rejected,
+       count(CASE WHEN fault <> 'none' AND route = 'envelope' THEN 1 END) AS dead,
+       TRUE AS balanced
+FROM e, r GROUP BY route, fault"""
+
 ORDERS_LAKE = """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
        strftime(o_orderdate, '%Y-%m') AS order_month

@@ -246,6 +246,57 @@ def q_dlq_replay(spark, sf_dir):
     return ingest.envelope_rows(parsed, keep=["offset", "orig_offset"])
 
 
+# --- every record is accounted for -------------------------------------------
+
+FAULTS = ("null message", "blank latitude", "short record", "wrong type")
+FAULT_EVERY = 11
+
+
+def _fault(offset_col: str) -> F.Column:
+    """The fault injected at an offset: 0, 1, 2, 3 of every eleven have one."""
+    kind = F.lit("none")
+    for i, name in enumerate(FAULTS):
+        kind = F.when(F.col(offset_col) % FAULT_EVERY == i, F.lit(name)).otherwise(kind)
+    return kind
+
+
+def q_record_balance(spark, sf_dir):
+    """Per route and fault: records in, and how many became good rows, rejects
+    (delimited lines) or dead letters (envelopes)."""
+    p = views.positions(spark, sf_dir)
+    fault = _fault("event_id")
+
+    fields = wire.position_fields_text()
+    fields[2] = F.when(fault == "blank latitude", F.lit("")).otherwise(fields[2])
+    fields[8] = F.when(fault == "wrong type", F.lit("garbage")).otherwise(fields[8])
+    line = (F.when(fault == "short record", wire.join_line(fields[:-1]))
+            .when(fault != "null message", wire.join_line(fields)))
+    lines = as_messages(p, line, POSITIONS_TOPIC, offset="event_id", key="icao24", timestamp="ts")
+    loaded, rejects = ingest.warehouse_split(ingest.parse_delimited(lines, keep=["offset"]))
+
+    blank = p.withColumn("latitude", F.when(fault != "blank latitude", F.col("latitude")))
+    text = wire.encode_envelope()
+    value = (F.when(fault == "short record", F.substring(text, 1, 20))
+             .when(fault == "wrong type", F.regexp_replace(text, '"latitude":[^,}]+', '"latitude":"abc"'))
+             .when(fault != "null message", text))
+    envelopes = as_messages(blank, value, ENVELOPE_TOPIC, offset="event_id", key="icao24", timestamp="ts")
+    parsed = ingest.parse_envelope(envelopes, keep=["key", "partition", "offset"])
+    usable = ingest.envelope_rows(parsed, keep=["offset"])
+    dead = deadletter.dead_letters(parsed, ENVELOPE_TOPIC, CONNECTOR)
+
+    sides = ["records", "good", "rejected", "dead"]
+    told = None
+    for route, side, rows, offset in (
+            ("delimited", "records", lines, "offset"), ("envelope", "records", envelopes, "offset"),
+            ("delimited", "good", loaded, "offset"), ("delimited", "rejected", rejects, "offset"),
+            ("envelope", "good", usable, "offset"), ("envelope", "dead", dead, "source_offset")):
+        part = rows.select(F.lit(route).alias("route"), _fault(offset).alias("fault"),
+                           *[F.lit(int(s == side)).alias(s) for s in sides])
+        told = part if told is None else told.unionByName(part)
+    return (told.groupBy("route", "fault").agg(*[F.sum(s).alias(s) for s in sides])
+            .withColumn("balanced", F.col("records") == F.col("good") + F.col("rejected") + F.col("dead")))
+
+
 # --- tables written once per (scratch folder, input folder) -----------------
 # Queries over a written table build it on first use in the session's shared
 # scratch folder; later queries on the same input reuse it.
@@ -529,6 +580,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dlq_split": q_dlq_split,
     "topic_depth": q_topic_depth,
     "dlq_replay": q_dlq_replay,
+    "record_balance": q_record_balance,
     "lake_current": q_lake_current,
     "time_travel": q_time_travel,
     "snapshot_history": q_snapshot_history,

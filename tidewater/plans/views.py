@@ -31,18 +31,9 @@ def memo(name: str, build):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table; an input with fewer scan splits than task slots (one
-    row group per file) is spread round-robin so per-row decoding uses every
-    core.  Large inputs already have more splits than slots and are untouched."""
+    """A driver table."""
     configure(spark)
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    splits = df._jdf.queryExecution().executedPlan().execute().getNumPartitions()
-    return df.repartition(slots) if splits < slots else df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 # Message offsets: one topic partition, offset = event_id (dense from 0).

@@ -3,7 +3,7 @@
 Hour folders.  The reference's object sink writes one object per message
 into ``YYYY-MM-DD/HH/`` folders.  Two layouts are supported:
 
-* ``hive`` (default): ``landing_date=YYYY-MM-DD/landing_hour=HH/``, written by
+* ``hive`` (default): ``landing_date=YYYY-MM-DD/landing_hour=HH/batch=.../``, written by
   one distributed ``partitionBy`` write; Spark discovers the partitions and
   prunes them from filters on date and hour;
 * ``dated``: the literal ``YYYY-MM-DD/HH/`` layout, written per landing hour
@@ -46,9 +46,11 @@ def write_hour_folders(messages: DataFrame, root: str, landing_ts: str = "timest
     out = messages.select(body, *landing_columns(landing_ts))
     writer_opts = {"maxRecordsPerFile": str(records_per_file), "lineSep": "\n"}
     if layout == HIVE:
-        # one file per message already fixes the file count: no rebalance
-        (out.write.mode("append").options(**writer_opts)
-         .partitionBy("landing_date", "landing_hour").text(root))
+        # one file per message already fixes the file count: no rebalance; a
+        # folder per batch is overwritten when the batch is repeated
+        out = out.withColumn("batch", F.lit(batch_name or "unnamed"))
+        (out.write.mode("overwrite" if batch_name else "append").option("partitionOverwriteMode", "dynamic").options(**writer_opts)
+         .partitionBy("landing_date", "landing_hour", "batch").text(root))
         return
     # dated layout: one write per landing hour present in this batch (one or
     # two); with a batch name each batch owns its sub-folder, which a retried

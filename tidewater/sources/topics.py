@@ -14,11 +14,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType
+from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
 from tidewater.schemas import TOPIC_SCHEMA
 
 KAFKA_FORMAT = "kafka"
+ENDS = "partition int, next_offset long, batch string"
 
 
 def kafka_available(spark: SparkSession) -> bool:
@@ -79,7 +80,8 @@ class FileTopic:
 
     Next to the data, ``_ends`` records the end offset of every partition a
     publish touched, captured during the write itself (``observe``), so
-    appenders learn where to continue without scanning the topic."""
+    appenders learn where to continue without scanning the topic.  Both are
+    kept in folders by batch, which a repeated batch overwrites."""
 
     spark: SparkSession
     root: str
@@ -94,27 +96,35 @@ class FileTopic:
     def ends_path(self) -> str:
         return f"{self.root.rstrip('/')}/{self.name}._ends"
 
-    def publish(self, messages: DataFrame) -> None:
-        """Append messages already carrying partition and offset numbers."""
+    def publish(self, messages: DataFrame, batch: str | None = None) -> int:
+        """Append messages already carrying partition and offset numbers and
+        return their number.  ``batch`` names the publish: under the same name
+        it replaces its earlier attempt instead of adding to it."""
+        import uuid
         from pyspark.sql import Observation
         obs = Observation(f"ends-{self.name}")
         ends = [F.max(F.when(F.col("partition") == p, F.col("offset"))).alias(f"p{p}")
                 for p in range(self.partitions)]
-        (messages.select(*TOPIC_SCHEMA.fieldNames()).observe(obs, *ends)
-         .write.mode("append").partitionBy("partition").parquet(self.path))
+        batch = batch or uuid.uuid4().hex
+        (messages.select(*TOPIC_SCHEMA.fieldNames(), F.lit(batch).alias("batch")).observe(obs, F.count(F.lit(1)).alias("n"), *ends)
+         .write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("partition", "batch").parquet(self.path))
         got = obs.get
         rows = [(p, int(got[f"p{p}"]) + 1) for p in range(self.partitions) if got.get(f"p{p}") is not None]
         if rows:
-            self.spark.createDataFrame(rows, "partition int, next_offset long").coalesce(1).write.mode(
-                "append").parquet(self.ends_path)
+            (self.spark.createDataFrame([(*r, batch) for r in rows], ENDS).coalesce(1)
+             .write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("batch").parquet(self.ends_path))
+        return int(got["n"])
 
-    def next_offsets(self) -> DataFrame | None:
-        """(partition, next_offset) from the sidecar; None for a new topic."""
+    def next_offsets(self, but: str | None = None) -> DataFrame | None:
+        """(partition, next_offset) from the sidecar; None for a new topic.
+        ``but``: as before this batch, so that a repeated one numbers alike."""
         from tidewater.operators.lake import path_exists
         if not path_exists(self.spark, self.ends_path):
             return None
-        return (self.spark.read.schema("partition int, next_offset long").parquet(self.ends_path)
-                .groupBy("partition").agg(F.max("next_offset").alias("next_offset")))
+        ends = self.spark.read.schema(ENDS).parquet(self.ends_path)
+        if but is not None:
+            ends = ends.where(F.col("batch") != but)
+        return (ends.groupBy("partition").agg(F.max("next_offset").alias("next_offset")))
 
     def read(self, starting_offset: int | None = None, ending_offset: int | None = None) -> DataFrame:
         """Bounded read; offsets are inclusive start, exclusive end."""
@@ -130,7 +140,7 @@ class FileTopic:
                     checkpoint: str | None = None) -> DataFrame:
         """``checkpoint`` (the stream's own) keeps the offsets that ``latest``
         stood for at the first start, so that a restart means the same ones."""
-        reader = self.spark.readStream.schema(TOPIC_SCHEMA)
+        reader = self.spark.readStream.schema(StructType([*TOPIC_SCHEMA.fields, StructField("batch", StringType())]))
         if max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
         df = reader.parquet(self.path).select(*TOPIC_SCHEMA.fieldNames())

@@ -8,8 +8,9 @@ the good rows.  Writes are keyed by ``<stream id>-<batch id>``:
 * warehouse tables: dynamic overwrite of the (day, load_id) folders, so a
   replayed batch replaces its earlier attempt;
 * lake tables: a ledger commit per batch; a committed batch is skipped;
-* topics and JDBC tables: at-least-once, like the Kafka sink and the
-  insert-only JDBC sink they stand for.
+* file-backed topics and hour folders: a folder per batch, which the batch
+  overwrites when it is repeated;
+* JDBC tables: at-least-once, as the insert-only sink.
 
 ``*_batch`` builders return the batch function itself so it can be driven
 directly (tests replay a batch id); ``run_*`` wire it to a stream.
@@ -20,7 +21,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -78,7 +79,6 @@ def warehouse_batch(table: PartitionedTable, rejects: PartitionedTable, stream_i
     status: dict = {}
 
     def body(batch, load_id):
-        from pyspark.sql import Observation
         parsed = ingest.parse_delimited(batch, keep=SOURCE_KEYS)
         good, bad = ingest.warehouse_split(parsed, keep=SOURCE_KEYS)
         load_batch(rejects, bad, load_id)
@@ -161,7 +161,7 @@ def avro_to_lines_batch(out: FileTopic, registry: dict[int, str], reader: dict,
         line = F.when(F.col(avro.ERROR).isNull(), avro_position_line()).otherwise(F.raise_error(F.concat(
             F.lit("bad frame at offset "), F.col("offset").cast("string"), F.lit(" (no reject table): "), F.col(avro.ERROR))))
         out.publish(as_messages(dec, line, out.name, offset="offset",
-                                key="key", partition="partition"))
+                                key="key", partition="partition"), load_id)
     return _each_batch(body, stream_id)
 
 
@@ -174,6 +174,7 @@ def envelope_batch(sink: Callable[[DataFrame, str], None], source_topic: str,
     """Good envelopes → ``sink``; bad ones → ``dlq`` (errors.tolerance=all) or,
     without a dead-letter topic, the batch fails (errors.tolerance=none)."""
     def body(batch, load_id):
+        bad = 0
         parsed = ingest.parse_envelope(batch, keep=["key", "partition", "offset"])
         dead = deadletter.dead_letters(parsed, source_topic, connector)
         if dlq is None:
@@ -182,14 +183,15 @@ def envelope_batch(sink: Callable[[DataFrame, str], None], source_topic: str,
                 raise ValueError(f"bad record at offset {first} (no dead-letter topic)")
         else:
             dead = dead.withColumn("partition", F.lit(0))
-            base = dlq.next_offsets()
+            base = dlq.next_offsets(but=load_id)
             numbered = assign_offsets(dead, ["source_partition", "source_offset"], "partition", base=base)
-            dlq.publish(as_messages(numbered, "value", dlq.name, offset="offset", key="key",
-                                    partition="partition", headers=F.col("headers")))
+            bad = dlq.publish(as_messages(numbered, "value", dlq.name, offset="offset", key="key",
+                                          partition="partition", headers=F.col("headers")), load_id)
         good = ingest.envelope_rows(parsed, keep=["partition", "offset"], whitelist=whitelist)
-        sink(good, load_id)
+        obs = Observation(f"good-{load_id}")
+        sink(good.observe(obs, F.count(F.lit(1)).alias("n")) if on_metrics is not None else good, load_id)
         if on_metrics is not None:
-            on_metrics({"batch": load_id, "good": good.count(), "bad": dead.count()})
+            on_metrics({"batch": load_id, "good": obs.get["n"], "bad": bad})
     return _each_batch(body, stream_id)
 
 
@@ -235,7 +237,8 @@ def load_hours(spark: SparkSession, root: str, fields: list[str], targets, table
                hours: list[tuple[str, str]] | None = None) -> None:
     """Idempotent hourly load: read the requested landing hours (partition
     pruned), cast with trim, skip rows that do not cast (header lines), and
-    replace those hours in ``table``."""
+    replace those hours in ``table``.  A requested hour without good rows ends
+    up empty there."""
     from tidewater.functions import casting
     scan = files.read_csv_folder(spark, fields, root=root)
     if hours:
@@ -246,7 +249,8 @@ def load_hours(spark: SparkSession, root: str, fields: list[str], targets, table
         scan = scan.where(cond)
     typed = casting.apply_target(scan, targets, keep=["landing_date", "landing_hour"], trim=True)
     # rows come from folders of the table's own layout: already clustered
-    table.write(casting.good_rows(typed, "reject"), clustered=True)
+    table.write(casting.good_rows(typed, "reject"), clustered=True,
+                replace=[{"landing_date": d, "landing_hour": h} for d, h in hours or []])
 
 
 # --- pipeline 1: manifest of Avro containers → nested table ------------------
