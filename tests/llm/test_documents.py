@@ -384,3 +384,30 @@ def test_components_extended_by_late_links(spark):
     assert got == {(k, c) for c, ks in want.items() for k in ks}
     assert {tuple(r) for r in extended(first, frame([]), "t").collect()} == {tuple(r) for r in first.collect()}
     assert extended(components(frame([]), "t"), frame([]), "t").count() == 0
+
+
+def test_line_dedup_finds_similar_lines(spark):
+    """Against edit similarity of all pairs, on short and long lines with
+    changed words and characters."""
+    rng = np.random.default_rng(12)
+    letters = np.array(list("abcdefghijklmnoprstu"))
+    rows, made = [], []
+    for k in range(300):
+        n = (6, 8, 12, 20, 50, 100)[k % 6]
+        words = ["".join(rng.choice(letters, int(rng.integers(2, 9)))) for _ in range(n)]
+        other, line = list(words), " ".join(words)
+        while " ".join(other) == line:
+            if k % 2:
+                other[rng.integers(n)] = "".join(rng.choice(letters, 4))
+            else:
+                at = int(rng.integers(n))
+                other[at] = "z" + other[at][1:]
+        if len(line) // 30 and k % 4 == 2:
+            other[0] = "q" + other[0][1:]
+        made += [line, " ".join(other)]
+        rows += [(k, line), (1000 + k, made[-1])]
+    near = [k for k in range(300) if edit(made[2 * k], made[2 * k + 1]) <= 0.1 * max(map(len, made[2 * k:2 * k + 2])) + 1e-9]
+    got = {r.doc_id: r.n_removed for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(near) > 200
+    assert sum(got[1000 + k] for k in near) >= 0.97 * len(near)
+    assert sum(got.values()) == sum(got[1000 + k] for k in near)
