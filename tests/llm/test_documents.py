@@ -411,3 +411,10 @@ def test_line_dedup_finds_similar_lines(spark):
     assert len(near) > 200
     assert sum(got[1000 + k] for k in near) >= 0.97 * len(near)
     assert sum(got.values()) == sum(got[1000 + k] for k in near)
+
+
+def test_line_dedup_short_and_unspaced_lines(spark):
+    han = "机器学习模型需要大量高质量的训练数据才能取得良好的效果"
+    rows = [(1, "Contents\n" + han + "\n..."), (2, "contents!\n" + han.replace("大", "小") + "\n..."), (3, "Chapter 10\n" + han), (4, "Chapter 11")]
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: rows[0][1], 2: "...", 3: "Chapter 10", 4: "Chapter 11"}
