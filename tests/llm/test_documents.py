@@ -418,3 +418,9 @@ def test_line_dedup_short_and_unspaced_lines(spark):
     rows = [(1, "Contents\n" + han + "\n..."), (2, "contents!\n" + han.replace("大", "小") + "\n..."), (3, "Chapter 10\n" + han), (4, "Chapter 11")]
     got = {r.doc_id: r.text for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {1: rows[0][1], 2: "...", 3: "Chapter 10", 4: "Chapter 11"}
+
+
+def test_line_dedup_tells_rows_of_one_id_apart(spark):
+    rows = [(3, "first line here"), (7, "first line here\nX"), (7, "Y\nsecond line here"), (9, "one two three\n--\nfour"), (9, "one two three\n--\nfour"), (9, "one two three\n--\nfour")]
+    got = sorted((r.doc_id, r.text, r.n_removed) for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == [(3, "first line here", 0), (7, "X", 1), (7, "Y\nsecond line here", 0), (9, "--", 2), (9, "--", 2), (9, "one two three\n--\nfour", 0)]
