@@ -164,3 +164,19 @@ def test_pipeline(spark):
     for name, stage in corpus_pipeline.STAGES:
         for some in (odd, odd.limit(0)):
             assert stage(spark, some, SF).count() >= 0
+
+
+def test_page_text_without_end_tags():
+    """End tags of hidden elements that are left out hide no blocks."""
+    model = page_text.train()
+    told = "It goes on for a while, with commas and full stops, as in a report. "
+    want = "\n".join(f"{k} {told.strip()}" for k in (1, 2))
+    body = f"<article><p>1 {told}</p><p>2 {told}</p></article>"
+    for page in (f"<html><head><title>x</title><body>{body}</body></html>", f"<head><meta charset=utf-8><title>x</title>{body}",
+                 f"<html><head><title>x</title></head><body><select><option>a<option>b{body}</body></html>",
+                 *(f"<body><{tag}>label{body}</body>" for tag in ("button", "select", "svg", "noscript", "object")),
+                 f"<body><article><p>1 {told}</p><button>go<p>2 {told}</p></article><p><button>b</button></p></body>"):
+        assert model.text(page) == want, page
+    assert [t for _, t in page_text.Page(f"<head><title>x</title>{told}").blocks] == [told.strip()]
+    hidden = f"<body>{body}<noscript><p>3 {told}</p></noscript><button><div>4 {told}</div></button></body>"
+    assert model.text(hidden) == want

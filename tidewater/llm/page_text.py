@@ -43,6 +43,8 @@ CONTAINERS = {"html", "body", "div", "section", "article", "main", "nav", "heade
 LEAVES = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd", "td", "th", "caption", "blockquote", "pre", "figcaption",
           "address", "summary", "legend", "option"}
 CLOSES_P = CONTAINERS | LEAVES | {"hr"}
+HEAD = {"base", "link", "meta", "noscript", "script", "style", "template", "title"}  # what may stand in a head
+ENDS_LOST = (CONTAINERS | LEAVES) - {"option"}
 SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 BAD_TAGS = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "fieldset", "search"}
 GOOD_TAGS = {"article", "main"}
@@ -81,21 +83,33 @@ class Node:
 
 class Page(HTMLParser):
     """Block elements (``nodes``, parents first) and text blocks
-    ``(node, text)`` in page order."""
+    ``(node, text)`` in page order.
+
+    A hidden element without an end tag of its own (a head may leave it out)
+    hides what follows only up to the next block element.  That there is none
+    is known at the end, so such a page is read a second time."""
 
     def __init__(self, html: str):
+        self.read(html, set())
+        if self.lost:
+            self.read(html, set(self.lost))
+
+    def read(self, html: str, known: set[int]):
         super().__init__(convert_charrefs=True)
+        self.known, self.lost = known, set()  # hidden elements without an end tag, by number
+        self.n_hidden = 0
         self.nodes = [Node("#page", -1, set(), None)]
         self.blocks: list[tuple[int, str]] = []
-        self.stack: list[tuple[str, int]] = []  # open elements; node of block elements, else -1
+        self.stack: list[tuple[str, int, int]] = []  # open elements; node of block elements, number of hidden ones, else -1
         self.hidden = self.links = 0
         self.text: list[str] = []
         self.feed(html)
         self.close()
         self.flush()
+        self.lost |= {k for _, _, k in self.stack if k >= 0}
 
     def block(self) -> int:
-        return next((n for _, n in reversed(self.stack) if n >= 0), 0)
+        return next((n for _, n, _ in reversed(self.stack) if n >= 0), 0)
 
     def flush(self):
         if self.text:
@@ -107,26 +121,40 @@ class Page(HTMLParser):
                 self.nodes[at].commas += sum(map(text.count, ",.;:!?"))
                 self.blocks.append((at, text))
 
-    def pop(self):
-        tag, node = self.stack[-1]
+    def pop(self, ended=False):
+        tag, node, number = self.stack[-1]
+        if number >= 0 and not ended:
+            self.lost.add(number)
         if node >= 0:
             self.flush()
         self.stack.pop()
         self.hidden -= tag in HIDDEN
         self.links -= tag == "a"
 
-    def close_open(self, tags, stop):
+    def close_lost(self, tag):
+        """Close what ``tag`` ends of the hidden elements without an end tag."""
+        if not self.known:
+            return
+        if self.stack and self.stack[-1][0] == "head" and self.stack[-1][2] in self.known and tag not in HEAD:
+            self.pop()
+        if tag in ENDS_LOST:
+            at = next((k for k, x in enumerate(self.stack) if x[2] in self.known), len(self.stack))
+            while len(self.stack) > at:
+                self.pop()
+
+    def close_open(self, tags, stop, ended=False):
         """Close the innermost open element of ``tags``, unless ``stop`` comes first."""
         for k in range(len(self.stack) - 1, -1, -1):
             tag = self.stack[k][0]
             if tag in tags:
                 while len(self.stack) > k:
-                    self.pop()
+                    self.pop(ended and len(self.stack) == k + 1)
                 return
             if tag in stop:
                 return
 
     def handle_starttag(self, tag, attrs):
+        self.close_lost(tag)
         if tag == "br":
             self.flush()
         if tag in CLOSES_P:
@@ -146,7 +174,8 @@ class Page(HTMLParser):
             parent = self.block()
             self.nodes.append(Node(tag, parent, cues, int(label) if label in ("0", "1") else self.nodes[parent].label))
             node = len(self.nodes) - 1
-        self.stack.append((tag, node))
+        self.stack.append((tag, node, self.n_hidden if tag in HIDDEN else -1))
+        self.n_hidden += tag in HIDDEN
         self.hidden += tag in HIDDEN
         self.links += tag == "a"
 
@@ -156,10 +185,12 @@ class Page(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
-        if any(t == tag for t, _ in self.stack):
-            self.close_open({tag}, set())
+        if any(t == tag for t, _, _ in self.stack):
+            self.close_open({tag}, set(), ended=True)
 
     def handle_data(self, data):
+        if data.strip():
+            self.close_lost("")
         if not self.hidden:
             self.text.append(data)
             if self.links:
