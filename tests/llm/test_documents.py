@@ -424,3 +424,14 @@ def test_line_dedup_tells_rows_of_one_id_apart(spark):
     rows = [(3, "first line here"), (7, "first line here\nX"), (7, "Y\nsecond line here"), (9, "one two three\n--\nfour"), (9, "one two three\n--\nfour"), (9, "one two three\n--\nfour")]
     got = sorted((r.doc_id, r.text, r.n_removed) for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect())
     assert got == [(3, "first line here", 0), (7, "X", 1), (7, "Y\nsecond line here", 0), (9, "--", 2), (9, "--", 2), (9, "one two three\n--\nfour", 0)]
+
+
+def test_secrets_inside_their_endpoint():
+    def kinds(t):
+        return [(k, t[s:e]) for k, s, e, _ in secret_scan.find(t)]
+
+    assert kinds("see https://db.example.org/v1?token=abcdefgh now") == [("endpoint", "https://db.example.org/v1?token=abcdefgh"), ("assign", "token=abcdefgh")]
+    url = "jdbc:postgresql://h:5432/db?user=app&password=hunter22"
+    assert sorted(k for k, _ in kinds(url)) == ["assign", "endpoint", "ident"]
+    assert kinds("see https://db.example.org/v1?page=abcdefgh now") == []
+    assert kinds("client_id=Zk3xQ9vT7bLm2NpR8sWd") == []  # a value is not its own company

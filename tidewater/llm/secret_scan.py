@@ -5,9 +5,11 @@ parts are reported only in company: an identifier next to a secret, an
 endpoint next to a secret, a random-looking value next to an identifier or an
 endpoint.  Next to means: the intervals of the two parts, widened by ``REACH``
 code points on either side, overlap inside one scope (a block of lines without
-a blank line between).  The interval join is a sweep over sorted parts: those
-of one class do not overlap, so the nearest one on either side decides, and a
-document with n parts takes n log n steps whatever it holds.
+a blank line between).  A secret inside an endpoint or an identifier, or across
+its border, is next to it too; a value inside an identifier is the identifier's
+own.  The interval join is a sweep over sorted parts: an overlap or the nearest
+one on either side decides, and a document with n parts takes n log n steps
+whatever it holds.
 
 Null and empty texts have no spans.  Rows are independent of each other:
 repeated rows give the same result each, an empty table an empty one; columns
@@ -20,6 +22,7 @@ import math
 import re
 from bisect import bisect_left, bisect_right
 from collections import Counter
+from itertools import accumulate
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -66,12 +69,13 @@ def base_spans(text: str, lower: str) -> list[tuple[str, int, int]]:
 
 
 class Parts:
-    """Non-overlapping intervals of one class, for nearest-neighbour checks."""
+    """Intervals of one class, for overlap and nearest-neighbour checks."""
 
     def __init__(self, found: list[tuple[int, int]]):
         self.found = sorted(found)
         self.starts = [s for s, _ in self.found]
         self.ends = sorted(e for _, e in self.found)
+        self.furthest = list(accumulate((e for _, e in self.found), max))
 
     def near(self, start: int, end: int, blanks: list[int]) -> bool:
         """Is a part other than this one within reach, in the same scope?"""
@@ -82,6 +86,12 @@ class Parts:
         return k >= 0 and start - self.ends[k] <= 2 * REACH and not _blank(blanks, self.ends[k], start)
 
 
+    def overlap(self, start: int, end: int) -> bool:
+        """Does a part share a code point with this span?"""
+        k = bisect_left(self.starts, end)
+        return k > 0 and self.furthest[k - 1] > start
+
+
 def _blank(blanks: list[int], start: int, end: int) -> bool:
     k = bisect_left(blanks, start)
     return k < len(blanks) and blanks[k] < end
@@ -106,10 +116,11 @@ def find(text: str) -> list[tuple[str, int, int, float]]:
                 values.append(m.span())
         if values or len(base) > len(access):
             blanks = [m.start() for m in BLANK_LINE.finditer(text)]
-            secrets = Parts([(s, e) for k, s, e in base if k != "access"] + values)
+            told = Parts([(s, e) for k, s, e in base if k != "access"])
+            secrets = Parts(told.found + values)
             holders, places = Parts(idents + access), Parts(endpoints)
-            weak += [("ident", s, e) for s, e in idents if secrets.near(s, e, blanks)]
-            weak += [("endpoint", s, e) for s, e in endpoints if secrets.near(s, e, blanks)]
+            weak += [("ident", s, e) for s, e in idents if told.overlap(s, e) or secrets.near(s, e, blanks)]
+            weak += [("endpoint", s, e) for s, e in endpoints if told.overlap(s, e) or secrets.near(s, e, blanks)]
             weak += [("value", s, e) for s, e in values if holders.near(s, e, blanks) or places.near(s, e, blanks)]
     order = {k: i for i, k in enumerate(KINDS)}
     return [(k, s, e, 1.0 if k in BASE else 0.5) for k, s, e in sorted(base + weak, key=lambda x: (x[1], order[x[0]], x[2]))]
