@@ -435,3 +435,10 @@ def test_secrets_inside_their_endpoint():
     assert sorted(k for k, _ in kinds(url)) == ["assign", "endpoint", "ident"]
     assert kinds("see https://db.example.org/v1?page=abcdefgh now") == []
     assert kinds("client_id=Zk3xQ9vT7bLm2NpR8sWd") == []  # a value is not its own company
+
+
+def test_secrets_of_any_length():
+    value = "a" * 300 + "Zk3xQ9vT7bLm2NpR8sWd" * 8
+    assert secret_scan.random_looking(value) and secret_scan.random_looking(value[300:] + "a" * 5000)
+    text = "user=" + "n" * 90 + " password=hunter22"
+    assert secret_scan.find(text)[0] == ("ident", 0, 95, 0.5)

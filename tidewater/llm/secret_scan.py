@@ -36,7 +36,7 @@ HEX = re.compile(r"[0-9a-f]+")
 # --- end fixed values -----------------------------------------------------
 HEX_LONG = re.compile(r"[0-9a-f]{24,}")  # a run is taken whole, so short runs need no match of their own
 ASSIGN_HINTS = ("passw", "secret", "token", "api_key", "apikey")
-IDENT = re.compile(r"""\b(?:user(?:_?name|_?id)?|login|account(?:_?id)?|client_?id|access_?(?:key_?)?id|key_?id)["']?\x20*[:=]\x20*["']?([A-Za-z0-9._@+-]{3,64})""", re.I | re.A)
+IDENT = re.compile(r"""\b(?:user(?:_?name|_?id)?|login|account(?:_?id)?|client_?id|access_?(?:key_?)?id|key_?id)["']?\x20*[:=]\x20*["']?([A-Za-z0-9._@+-]{3,})""", re.I | re.A)
 IDENT_HINTS = ("user", "login", "account", "client", "access", "key_id", "keyid")
 ENDPOINT = re.compile(r"""\b[a-z][a-z0-9+.-]{1,15}://[^\s"'<>]+|\b(?:host(?:name)?|endpoint|server)["']?\x20*[:=]\x20*["']?[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+(?::[0-9]{2,5})?""", re.I | re.A)
 ENDPOINT_HINTS = ("://", "host", "endpoint", "server")
@@ -45,6 +45,7 @@ KINDS = ["assign", "access", "hex", "ident", "endpoint", "value"]
 BASE = KINDS[:3]
 REACH = 200
 BITS = 3.5
+PIECE = 256  # of a longer value the whole or one piece has to look random
 BLANK_LINE = re.compile(r"\n[\x20\t\r]*\n")
 
 
@@ -55,7 +56,7 @@ def entropy(value: str) -> float:
 
 def random_looking(value: str) -> bool:
     return (any(map(str.isdigit, value)) and any(map(str.isupper, value)) and any(map(str.islower, value))
-            and entropy(value[:256]) >= BITS)
+            and (entropy(value) >= BITS or any(entropy(value[k:k + PIECE]) >= BITS for k in range(0, len(value), PIECE))))
 
 
 def base_spans(text: str, lower: str) -> list[tuple[str, int, int]]:
