@@ -442,3 +442,16 @@ def test_secrets_of_any_length():
     assert secret_scan.random_looking(value) and secret_scan.random_looking(value[300:] + "a" * 5000)
     text = "user=" + "n" * 90 + " password=hunter22"
     assert secret_scan.find(text)[0] == ("ident", 0, 95, 0.5)
+
+
+def test_pii_ibans_before_capitals():
+    def found(t):
+        return [t[s:e] for k, s, e, _ in pii.find(t) if k == "iban"]
+
+    spaced, plain, austrian = "ES91 2100 0418 4502 0005 1332", "ES9121000418450200051332", "AT61 1904 3002 3457 3201"
+    for n in (spaced, plain, austrian, "DE89 3704 0044 0532 0130 00"):
+        for after in ("", " BIC", " IBAN", " X", " 12 34", " IBAN NUMBERS"):
+            assert found("IBAN " + n + after) == [n]
+    assert found(f"{spaced} {austrian} {plain}") == [spaced, austrian, plain]
+    assert found(f"AB12 {spaced}") == [spaced]
+    assert found("ES91 2100 0418 4502 0005 1333 BIC") == [] == found(plain + "BIC")

@@ -31,6 +31,11 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 # --- end fixed values -----------------------------------------------------
 IBAN = re.compile(r"\b[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?\b")
+#: Lengths by country; of other codes every length is tried, the longest first.
+IBAN_LENGTHS = {c: int(x[:2]) for x in (
+    "15 NO", "16 BE", "18 DK FI FK FO GL NL SD", "19 MK SI", "20 AT BA EE KZ LT LU MN XK", "21 CH HR LI LV", "22 BG BH CR DE GB GE IE ME RS VA",
+    "23 AE GI IL IQ OM SO TL", "24 AD CZ ES MD PK RO SA SE SK TN VG", "25 LY PT ST", "26 IS TR", "27 BI DJ FR GR IT MC MR SM", "28 AL AZ BY CY DO GT HN HU LB NI PL SV",
+    "29 BR EG PS QA UA", "30 JO KW MU YE", "31 MT SC", "32 LC", "33 RU") for c in x[3:].split()}
 SSN = re.compile(r"(?<![0-9-])([0-9]{3})-([0-9]{2})-([0-9]{4})(?![0-9-])")
 KINDS = ["email", "ip", "card", "phone", "iban", "ssn", "card13"]
 BASE = KINDS[:4]
@@ -69,6 +74,21 @@ def emails(text: str):
             last = m.end()
 
 
+def ibans(text: str):
+    """Spans of numbers that pass their check.  The pattern may run on into the
+    words that follow: a match is cut at a border of its groups."""
+    at = 0
+    while m := IBAN.search(text, at):
+        start, at = m.start(), m.start() + 4
+        ends = [k for k in range(m.end(), start + 14, -1) if k == m.end() or text[k] == " "]
+        told = IBAN_LENGTHS.get(m[0][:2])
+        for end in ends:
+            if told in (None, end - start - text.count(" ", start, end)) and mod97(text[start:end]):
+                yield start, end
+                at = end
+                break
+
+
 def propose(text: str):
     """(kind, start, end, check passed or None where there is none)."""
     if "@" in text:
@@ -88,8 +108,8 @@ def propose(text: str):
         for m in PHONE.finditer(text):
             if 10 <= sum(map(str.isdigit, m[0])) <= 15:
                 yield "phone", *m.span(), None
-    for m in IBAN.finditer(text):
-        yield "iban", *m.span(), mod97(m[0])
+    for start, end in ibans(text):
+        yield "iban", start, end, True
     if "-" in text:
         for m in SSN.finditer(text):
             yield "ssn", *m.span(), m[1] not in ("000", "666") and m[1] < "900" and m[2] != "00" and m[3] != "0000"
