@@ -180,3 +180,12 @@ def test_page_text_without_end_tags():
     assert [t for _, t in page_text.Page(f"<head><title>x</title>{told}").blocks] == [told.strip()]
     hidden = f"<body>{body}<noscript><p>3 {told}</p></noscript><button><div>4 {told}</div></button></body>"
     assert model.text(hidden) == want
+
+
+def test_near_duplicates_of_rows_that_share_an_id(spark):
+    copy = " ".join(f"w{k}" for k in range(40))
+    own = " ".join(f"v{k}" for k in range(40))
+    rows = [(1, copy), (7, copy), (7, own), (8, "x " + own), (9, "equal row"), (9, "equal row"), (None, copy)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = corpus_pipeline.near_duplicate_removal(spark, docs, "").collect()
+    assert sorted(((r.doc_id or 0), r.text) for r in got) == sorted([(0, copy), (1, copy), (7, own), (9, "equal row")])
