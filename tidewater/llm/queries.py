@@ -1,4 +1,4 @@
-"""The registered queries op1 to op10, with SQL where SQL can express them."""
+"""The registered queries op1 to op13, with SQL where SQL can express them."""
 
 from __future__ import annotations
 
@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, jaccard_join, line_dedup, packing, page_text, pii, quality, secret_scan, topk
+from . import alignment, bpe, chat, jaccard_join, line_dedup, mixing, packing, page_text, periodic, pii, quality, secret_scan, topk
 from .common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+BYTE_LEVEL, PIECES = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,8 +62,21 @@ def op10_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_text.digest(page_text.extract(table(spark, sf_dir, "pages")))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digest(periodic.find_runs(table(spark, sf_dir, "documents"), plant=True))
+
+
+def op12_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.digest(mixing.mix(table(spark, sf_dir, "documents")))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.digest(alignment.align(table(spark, sf_dir, "documents"), BYTE_LEVEL, PIECES))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_secret_scan, op2_packing, op3_jaccard_join, op4_quality_rules, op5_bpe, op6_chat_format, op7_topk, op8_line_dedup, op9_pii, op10_page_text)}
+    op1_secret_scan, op2_packing, op3_jaccard_join, op4_quality_rules, op5_bpe, op6_chat_format, op7_topk, op8_line_dedup, op9_pii, op10_page_text,
+    op11_periodic_runs, op12_source_mix, op13_token_alignment)}
 
 ORACLE: dict[str, str] = {
     "op3_jaccard_join": r"""
@@ -106,4 +120,29 @@ scored AS (
   FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
 ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
+    "op12_source_mix": r"""
+WITH docs AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+    CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || chr(10) || coalesce(text, '')), 1, 13) AS BIGINT) AS u
+  FROM documents),
+sources AS (SELECT source, CAST(sum(size) AS DOUBLE) AS words, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place FROM docs GROUP BY source),
+weighed AS (SELECT *, CAST([5, 2, 1][1 + place % 3] AS DOUBLE) AS w, words * 2 AS full FROM sources),
+levels AS (
+  SELECT *, full / w AS fills, (sum(words) OVER () * 1.5 - coalesce(sum(full) OVER earlier, 0)) / (sum(w) OVER () - coalesce(sum(w) OVER earlier, 0)) AS level
+  FROM weighed WINDOW earlier AS (ORDER BY full / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+plan AS (
+  SELECT source, words, CASE WHEN level < fills THEN w * (SELECT max(level) FROM levels WHERE level < fills) ELSE full END AS target FROM levels),
+expected AS (
+  SELECT d.*, words, target, CASE WHEN words > 0 THEN least(target / words, 2) ELSE 0 END AS e
+  FROM docs d JOIN plan p ON d.source IS NOT DISTINCT FROM p.source),
+ranked AS (
+  SELECT *, floor(e) AS whole, CASE WHEN floor(e) + 1 <= 2 THEN size ELSE 0 END AS free,
+    ((u + 0.5) / 4503599627370496 / (1 - (u + 0.5) / 4503599627370496)) / (greatest(e - floor(e), pow(2, -50)) / (1 - greatest(e - floor(e), pow(2, -50)))) AS odds
+  FROM expected),
+placed AS (
+  SELECT *, round(target - sum(whole * size) OVER (PARTITION BY source)) AS need,
+    coalesce(sum(free) OVER (PARTITION BY source ORDER BY odds, u, doc_id NULLS FIRST, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM ranked)
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(words AS BIGINT) AS source_size, target,
+  CAST(whole * size + greatest(least(need - before, free), 0) AS BIGINT) AS taken FROM placed""",
 }
