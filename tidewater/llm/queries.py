@@ -126,12 +126,12 @@ WITH docs AS (
     CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || chr(10) || coalesce(text, '')), 1, 13) AS BIGINT) AS u
   FROM documents),
 sources AS (SELECT source, CAST(sum(size) AS DOUBLE) AS words, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place FROM docs GROUP BY source),
-weighed AS (SELECT *, CAST([5, 2, 1][1 + place % 3] AS DOUBLE) AS w, words * 2 AS full FROM sources),
+weighed AS (SELECT *, CAST([5, 2, 1][1 + place % 3] AS DOUBLE) AS w, words * 2 AS most FROM sources),
 levels AS (
-  SELECT *, full / w AS fills, (sum(words) OVER () * 1.5 - coalesce(sum(full) OVER earlier, 0)) / (sum(w) OVER () - coalesce(sum(w) OVER earlier, 0)) AS level
-  FROM weighed WINDOW earlier AS (ORDER BY full / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+  SELECT *, most / w AS fills, (sum(words) OVER () * 1.5 - coalesce(sum(most) OVER earlier, 0)) / (sum(w) OVER () - coalesce(sum(w) OVER earlier, 0)) AS level
+  FROM weighed WINDOW earlier AS (ORDER BY most / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 plan AS (
-  SELECT source, words, CASE WHEN level < fills THEN w * (SELECT max(level) FROM levels WHERE level < fills) ELSE full END AS target FROM levels),
+  SELECT source, words, CASE WHEN level < fills THEN w * (SELECT max(level) FROM levels WHERE level < fills) ELSE most END AS target FROM levels),
 expected AS (
   SELECT d.*, words, target, CASE WHEN words > 0 THEN least(target / words, 2) ELSE 0 END AS e
   FROM docs d JOIN plan p ON d.source IS NOT DISTINCT FROM p.source),
