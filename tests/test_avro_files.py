@@ -96,9 +96,11 @@ def test_dated_layout_and_path_segments(spark, tmp_path):
     root = str(tmp_path / "raw")
     for _ in range(2):      # a retried batch replaces its own folder
         files.write_hour_folders(text_messages(spark, ["h\r\nx"]), root, layout=files.DATED, batch_name="b1")
-    paths = files.hour_paths(root, dt.datetime(2026, 6, 22, 11, 30), dt.datetime(2026, 6, 22, 13, 0))
+    hours = files.hours_between(dt.datetime(2026, 6, 22, 11, 30), dt.datetime(2026, 6, 22, 13, 0))
+    paths = files.hour_paths(root, hours, files.DATED)
     assert paths[-1].endswith("2026-06-22/12") and len(paths) == 2
-    df = files.read_csv_folder(spark, ["h"], paths=[paths[-1] + "/*"], layout=files.DATED)
+    assert files.existing(spark, paths) == paths[-1:]
+    df = files.read_csv_folder(spark, ["h"], paths=paths[-1:], layout=files.DATED)
     assert df.count() == 1
     r = df.first()
     assert (r["h"], r["landing_date"], r["landing_hour"]) == ("x", "2026-06-22", "12")
@@ -117,6 +119,62 @@ def test_manifest_whole_file_read(spark, tmp_path):
     assert staged[2]["container"] is None and "missing.avro" in staged[2]["error"]
 
 
+def test_manifest_paths_of_every_spelling(spark, tmp_path):
+    """Schemes, doubled slashes, relative paths, one file twice, and files that
+    the manifest does not name."""
+    (tmp_path / "in" / "deep").mkdir(parents=True)
+    for name, body in (("a.bin", b"aa"), ("b.bin", b"bb"), ("e.bin", b""), ("deep/c d%20.bin", b"\x00\xff"), ("unlisted.bin", b"zz")):
+        (tmp_path / "in" / name).write_bytes(body)
+    root = tmp_path / "in"
+    lines = [f"1|{root}/a.bin", f"2|file://{root}/b.bin", f"3|file:{root}//deep/c d%20.bin", f"4|{root}/a.bin", f"5|{root}/none.bin", "6|", f"7|{root}/e.bin"]
+    manifest = tmp_path / "manifest.txt"
+    manifest.write_text("\n".join(lines) + "\n")
+    for how in ({}, {"root": str(root)}):
+        got = {r["stage_id"]: (None if r["container"] is None else bytes(r["container"]), r["error"]) for r in files.load_manifest_files(spark, str(manifest), **how).collect()}
+        assert {k: v[0] for k, v in got.items()} == {1: b"aa", 2: b"bb", 3: b"\x00\xff", 4: b"aa", 5: None, 6: None, 7: None}, how
+        assert {k for k, v in got.items() if v[1]} == {5, 6, 7}
+    manifest.write_text("1|a.bin\n2|deep/c d%20.bin\n")
+    got = {r["stage_id"]: bytes(r["container"]) for r in files.load_manifest_files(spark, str(manifest), root=str(root)).collect()}
+    assert got == {1: b"aa", 2: b"\x00\xff"}
+    manifest.write_text("1|/nowhere/at/all.bin\n")
+    assert [r["container"] for r in files.load_manifest_files(spark, str(manifest)).collect()] == [None]
+
+
+def test_scoped_load_lists_only_its_folders(spark, tmp_path):
+    import datetime as dt
+    from conftest import text_messages
+    from tidewater.operators.warehouse import PartitionedTable
+    from tidewater.schemas import WEATHER_CSV_FIELDS, WEATHER_OBS, struct_of
+    from tidewater.streaming import pipelines as P
+
+    header = ",".join(WEATHER_CSV_FIELDS)
+    line = "EGLL,2026-06-22 {h:02d}:10:00,12.5,10,270,9999,0.00,1013.2,VFR"
+    bad = ["EGLL,2026-06-22 11:11:00,hot,10,270,9999,0.00,1013.2,VFR", "EGLL,2026-06-22 11:12:00", header, f" {header.replace(',', ' , ')} ", ",,,,,,,,"]
+    for layout in (files.HIVE, files.DATED):
+        root = str(tmp_path / layout)
+        for k, h in enumerate((10, 11, 12)):
+            lines = [header, line.format(h=h), *(bad if h == 11 else [])]
+            msgs = text_messages(spark, ["\r\n".join(lines) + "\r\n"]).withColumn("timestamp", F.lit(dt.datetime(2026, 6, 22, h, 30)))
+            files.write_hour_folders(msgs, root, layout=layout, batch_name=f"b{k}")
+        hours = files.hours_between(dt.datetime(2026, 6, 22, 11), dt.datetime(2026, 6, 22, 14))
+        paths = files.existing(spark, files.hour_paths(root, hours, layout))
+        assert len(paths) == 2                         # 13 o'clock is not there
+        scan = files.read_csv_folder(spark, WEATHER_CSV_FIELDS, root=root, paths=paths, layout=layout, corrupt=True)
+        listed = scan.inputFiles()
+        assert listed and all(("landing_hour=10" not in f) and ("/22/10/" not in f) and ("-22/10/" not in f) for f in listed)
+        schema = struct_of(WEATHER_OBS).add("landing_date", "string").add("landing_hour", "string")
+        table = PartitionedTable(spark, str(tmp_path / f"obs-{layout}"), schema, P.HOUR_KEYS)
+        quarantine = P.hour_rejects(spark, str(tmp_path / f"bad-{layout}"))
+        for _ in range(2):
+            P.load_hours(spark, root, WEATHER_CSV_FIELDS, WEATHER_OBS, table, hours, layout, quarantine)
+        assert sorted((r["landing_hour"], str(r["observation_ts"])[11:16]) for r in table.read().collect()) == [("11", "11:10"), ("12", "12:10")]
+        told = sorted((r["error_stage"], r["error_column"], r["line"]) for r in quarantine.read().collect())
+        assert [x[:2] for x in told] == [("CAST", "station_id"), ("CAST", "temperature_c"), ("PARSE", None)]
+        assert told[2][2].startswith("EGLL,2026-06-22 11:12:00") and told[0][2] == ",,,,,,,,"
+        none = files.read_csv_folder(spark, WEATHER_CSV_FIELDS, root=root, paths=[], layout=layout, corrupt=True)
+        assert none.count() == 0 and none.columns == scan.columns
+
+
 def test_container_files_read_by_block(spark, tmp_path):
     recs = [{"product_id": str(i), "name": "n", "price": float(i), "category": "c", "ts": i} for i in range(250)]
     staged = spark.createDataFrame(

@@ -10,7 +10,7 @@ def test_offsets_dense_with_a_hot_partition(spark):
     df = spark.range(0, 3000).select(
         F.when(F.col("id") % 3 == 0, 0).otherwise(1 + F.col("id") % 5).alias("partition"),
         F.col("id").alias("seq"))
-    out = assign_offsets(df, ["seq"], "partition", slices=6, topic_partitions=6)
+    out = assign_offsets(df, ["seq"], "partition", slices=6)
     got = out.groupBy("partition").agg(F.min("offset").alias("lo"), F.max("offset").alias("hi"),
                                        F.count(F.lit(1)).alias("n"), F.countDistinct("offset").alias("d"))
     for r in got.collect():

@@ -14,7 +14,6 @@ from tidewater.plans import reports
 from tidewater.schemas import AVRO_POSITION, WEATHER_CSV_FIELDS, WEATHER_OBS, struct_of
 from tidewater.sources import avro
 from tidewater.sources.topics import FileTopic, as_messages, key_partition, topic_depth
-from tidewater.streaming import control
 from tidewater.streaming import pipelines as P
 from tidewater.operators.warehouse import PartitionedTable
 
@@ -27,6 +26,10 @@ def _publish_lines(spark, topic, n, start=0, bad_every=None):
     topic.publish(as_messages(p, wire.join_line(fields), topic.name, offset="offset", key="icao24"))
 
 
+def _span(topic, start, end):
+    return {topic.name: {0: start}}, {topic.name: {0: end}}
+
+
 def test_pipeline2_bounded_then_restart(spark, tmp_path):
     topic = FileTopic(spark, str(tmp_path), "adsb")
     table = P.positions_table(spark, str(tmp_path / "wh"))
@@ -34,14 +37,23 @@ def test_pipeline2_bounded_then_restart(spark, tmp_path):
     cp = str(tmp_path / "cp")
     beats = []
     _publish_lines(spark, topic, 100)
-    q = P.run_warehouse(topic, table, rejects, cp, "p2", bounded=True, heartbeat=beats.append)
+    p2 = P.warehouse_batch(table, rejects, "p2")
+    monitor = p2.monitor(beats.append).attach(spark)
+    q = p2.start(topic.read_stream(), cp)
     q.awaitTermination()
+    assert monitor.wait(q) and (monitor.good, monitor.bad) == (100, 0)
     s = reports.table_summary(table.read()).first()
     assert (s["positions_received"], s["aircraft_seen"]) == (100, 10)
     assert beats and beats[-1].startswith("STATUS rows=100 latest=2026-06-22 12:01:39.")
     # restart from the checkpoint: only the new messages are read
     _publish_lines(spark, topic, 50, start=100, bad_every=10)
-    P.run_warehouse(topic, table, rejects, cp, "p2", bounded=True).awaitTermination()
+    spark.streams.removeListener(monitor)
+    again = p2.monitor(beats.append).attach(spark)
+    q = P.run_warehouse(topic.read_stream(), table, rejects, cp, "p2")
+    q.awaitTermination()
+    assert again.wait(q) and (again.good, again.bad) == (45, 5)
+    assert beats[-1].startswith("STATUS rows=145 latest=2026-06-22 12:02:29.")
+    again.detach(spark)
     assert table.read().count() == 145
     assert rejects.read().count() == 5
     assert {r["error_column"] for r in rejects.read().collect()} == {"latitude"}
@@ -55,7 +67,8 @@ def test_latest_start_survives_a_restart(spark, tmp_path):
     rejects = P.rejects_table(spark, str(tmp_path / "rej"))
 
     def run():
-        P.run_warehouse(topic, table, rejects, str(tmp_path / "cp"), "late", starting="latest").awaitTermination()
+        cp = str(tmp_path / "cp")
+        P.run_warehouse(topic.read_stream(starting="latest", checkpoint=cp), table, rejects, cp, "late").awaitTermination()
     _publish_lines(spark, topic, 10)
     run()                                           # nothing after the start yet
     _publish_lines(spark, topic, 5, start=10)       # published while stopped
@@ -65,34 +78,41 @@ def test_latest_start_survives_a_restart(spark, tmp_path):
 
 def test_pipeline8_dead_letters(spark, tmp_path):
     topic = FileTopic(spark, str(tmp_path), "adsb-dlq-demo")
-    dlq = FileTopic(spark, str(tmp_path), "adsb-dlq-demo.dlq")
+    dlq = FileTopic(spark, str(tmp_path), "adsb-dlq-demo.dlq", 3)
     p = positions_df(spark, 100).withColumn(
         "latitude", F.when(F.col("offset") % 5 == 0, F.lit(None).cast("double")).otherwise(F.col("latitude")))
     topic.publish(as_messages(p, wire.encode_envelope(), topic.name, offset="offset", key="icao24"))
     out = PartitionedTable(spark, str(tmp_path / "jdbc"),
                            struct_of(P.ingest.ENVELOPE_TARGET).add("partition", "integer").add("offset", "long")
                            .add("load_id", "string"), ["load_id"])
-    metrics = []
-    fn = P.envelope_batch(P.table_sink(out), topic.name, dlq=dlq, on_metrics=metrics.append)
-    P.run_envelope(topic, fn, str(tmp_path / "cp"), bounded=True).awaitTermination()
+    fn = P.envelope_batch(P.table_sink(out), topic.name, dlq=dlq.send)
+    monitor = fn.monitor().attach(spark)
+    q = P.run_envelope(topic.read_stream(), fn, str(tmp_path / "cp"))
+    q.awaitTermination()
+    assert monitor.wait(q) and (monitor.good, monitor.bad) == (80, 20)
+    monitor.detach(spark)
     good = out.read()
     assert good.count() == 80
     assert good.select("icao24").distinct().count() == 8      # 4ca87a and 4841d8 never survive
     dead = dlq.read()
     assert dead.count() == 20
     from tidewater.operators import deadletter
-    d = deadletter.describe(dead).orderBy("offset").collect()
+    d = deadletter.describe(dead).orderBy("orig_offset").collect()
     assert [r["orig_offset"] for r in d] == list(range(0, 100, 5))
-    assert [r["offset"] for r in d] == list(range(20))
-    assert d[0]["stage"] == "VALUE_CONVERTER"
+    # a key's dead letters are in one partition, numbered there in source order
+    assert dead.groupBy("key").agg(F.countDistinct("partition").alias("n")).where("n > 1").count() == 0
+    parts = {}
+    for r in d:
+        assert r["offset"] == parts.get(r["partition"], 0)
+        parts[r["partition"]] = r["offset"] + 1
+    assert len(parts) > 1 and d[0]["stage"] == "VALUE_CONVERTER"
     assert topic_depth(dead).first()["depth"] == 20
-    assert sum(m["bad"] for m in metrics) == 20
     # a later batch continues the dead-letter offsets from the recorded end
     more = positions_df(spark, 10, start=100).withColumn(
         "latitude", F.when(F.col("offset") % 5 == 0, F.lit(None).cast("double")).otherwise(F.col("latitude")))
     topic.publish(as_messages(more, wire.encode_envelope(), topic.name, offset="offset", key="icao24"))
-    P.run_envelope(topic, fn, str(tmp_path / "cp"), bounded=True).awaitTermination()
-    assert sorted(r["offset"] for r in dlq.read().collect()) == list(range(22))
+    P.run_envelope(topic.read_stream(), fn, str(tmp_path / "cp")).awaitTermination()
+    assert topic_depth(dlq.read()).first()["depth"] == dlq.read().count() == 22
     # fail-fast variant: no dead-letter topic, the batch fails
     strict = P.envelope_batch(P.table_sink(out), topic.name, dlq=None)
     try:
@@ -109,8 +129,7 @@ def test_pipeline4_bounded_in_several_batches(spark, tmp_path):
     lake = LedgerTable(spark, str(tmp_path / "lake"), ["pos_date"])
     import glob
     n_files = len(glob.glob(f"{topic.path}/partition=*/batch=*/*.parquet"))
-    P.run_lake(topic, lake, str(tmp_path / "cp"), "p4", bounded=True,
-               max_files_per_trigger=max(1, n_files // 2)).awaitTermination()
+    P.run_lake(topic.read_stream(max_files_per_trigger=max(1, n_files // 2)), lake, str(tmp_path / "cp"), "p4").awaitTermination()
     assert lake.read().count() == 30
     assert lake.snapshots().count() >= 2            # one commit per micro-batch
 
@@ -137,15 +156,15 @@ def test_pipeline5_reference_change_after_ttl(spark, tmp_path):
     lake = LedgerTable(spark, str(tmp_path / "lake"), ["pos_date"])
     fn = P.lake_batch(lake, "p5", cache=cache)
     _publish_lines(spark, topic, 10)
-    fn(topic.read(0, 10), 0)
+    fn(topic.read(*_span(topic, 0, 10)), 0)
     spark.createDataFrame([("3f7062", "EI-DWA", "B738", "Ryanair UK", "Ireland")], ref_schema) \
         .write.mode("overwrite").parquet(ref_path)
     _publish_lines(spark, topic, 10, start=10)
     now[0] = 10.0
-    fn(topic.read(10, 20), 1)           # inside the TTL: old value
+    fn(topic.read(*_span(topic, 10, 20)), 1)           # inside the TTL: old value
     _publish_lines(spark, topic, 10, start=20)
     now[0] = 40.0
-    fn(topic.read(20, 30), 2)           # TTL passed: new value
+    fn(topic.read(*_span(topic, 20, 30)), 2)           # TTL passed: new value
     rows = lake.read(with_snapshot=True).where("icao24 = '3f7062'").orderBy("ts").collect()
     assert [r["operator"] for r in rows] == ["Ryanair", "Ryanair", "Ryanair UK"]
     assert lake.read().where("icao24 = '4ca87a'").first()["operator"] == "UNKNOWN"
@@ -162,12 +181,10 @@ def test_pipeline6_avro_chain_to_warehouse(spark, tmp_path):
         .otherwise(avro.frame_column("value", F.lit(1))))
     src.publish(as_messages(bodies, "value", src.name, offset="offset"))
     rej = P.rejects_table(spark, str(tmp_path / "rej6"))
-    q1 = P.control.start(src.read_stream().writeStream.foreachBatch(
-        P.avro_to_lines_batch(lines, {1: json.dumps(AVRO_POSITION)}, AVRO_POSITION, rej)),
-        str(tmp_path / "cp1"), bounded=True)
+    q1 = P.run_lines(src.read_stream(), lines.publish, lines.name, {1: json.dumps(AVRO_POSITION)}, AVRO_POSITION, str(tmp_path / "cp1"), rejects=rej)
     q1.awaitTermination()
     table = P.positions_table(spark, str(tmp_path / "wh"))
-    q2 = P.run_warehouse(lines, table, P.rejects_table(spark, str(tmp_path / "rej")),
+    q2 = P.run_warehouse(lines.read_stream(), table, P.rejects_table(spark, str(tmp_path / "rej")),
                          str(tmp_path / "cp2"), "p6b", bounded=True)
     q2.awaitTermination()
     assert table.read().count() == 19
@@ -175,7 +192,7 @@ def test_pipeline6_avro_chain_to_warehouse(spark, tmp_path):
     # without a reject table the bad frame fails the batch and nothing is published
     strict = FileTopic(spark, str(tmp_path), "adsb-strict")
     try:
-        P.avro_to_lines_batch(strict, {1: json.dumps(AVRO_POSITION)}, AVRO_POSITION)(src.read(), 0)
+        P.avro_to_lines_batch(strict.publish, strict.name, {1: json.dumps(AVRO_POSITION)}, AVRO_POSITION)(src.read(), 0)
         raise AssertionError("expected failure")
     except Exception as e:
         assert "bad frame at offset 7" in str(e)
@@ -206,13 +223,15 @@ def test_idle_stop_and_keyed_publish(spark, tmp_path):
     topic = FileTopic(spark, str(tmp_path), "adsb")
     _publish_lines(spark, topic, 10)
     sink = P.positions_table(spark, str(tmp_path / "wh"))
-    q = P.run_warehouse(topic, sink, P.rejects_table(spark, str(tmp_path / "rej")),
-                        str(tmp_path / "cp"), "idle", bounded=False, every="1 second")
-    assert control.stop_when_idle(q, idle_seconds=3, poll_seconds=0.5, max_seconds=120)
-    assert not q.isActive and sink.read().count() == 10
+    idle = P.warehouse_batch(sink, P.rejects_table(spark, str(tmp_path / "rej")), "idle")
+    monitor = idle.monitor().attach(spark)
+    q = idle.start(topic.read_stream(), str(tmp_path / "cp"), bounded=False, every="1 second")
+    assert monitor.stop_when_idle(q, idle_seconds=4, poll_seconds=0.5, max_seconds=120)
+    assert not q.isActive and sink.read().count() == 10 and monitor.good == 10
+    monitor.detach(spark)
     # keyed publish: one key → one partition, offsets dense per partition
     p = positions_df(spark, 40).withColumn("partition", key_partition("icao24", 3))
-    keyed = assign_offsets(p, ["offset"], "partition", topic_partitions=3, offset_col="poff")
+    keyed = assign_offsets(p, ["offset"], "partition", offset_col="poff")
     per_key = keyed.groupBy("icao24").agg(F.countDistinct("partition").alias("n")).collect()
     assert all(r["n"] == 1 for r in per_key)
 
@@ -229,14 +248,12 @@ def test_repeated_batches_add_nothing(spark, tmp_path):
     out = PartitionedTable(spark, str(tmp_path / "jdbc"),
                            struct_of(P.ingest.ENVELOPE_TARGET).add("partition", "integer").add("offset", "long")
                            .add("load_id", "string"), ["load_id"])
-    metrics = []
-    fn = P.envelope_batch(P.table_sink(out), topic.name, dlq=dlq, on_metrics=metrics.append)
-    fn(topic.read(0, 10), 0)
+    fn = P.envelope_batch(P.table_sink(out), topic.name, dlq=dlq.send)
+    fn(topic.read(*_span(topic, 0, 10)), 0)
     for _ in range(2):
-        fn(topic.read(10, 20), 1)
+        fn(topic.read(*_span(topic, 10, 20)), 1)
         assert sorted(r["offset"] for r in dlq.read().collect()) == [0, 1, 2, 3]
         assert out.read().count() == 16
-    assert [(m["good"], m["bad"]) for m in metrics] == [(8, 2)] * 3
 
     # pipeline 6: the re-encoded lines
     src, lines = FileTopic(spark, str(tmp_path), "avro"), FileTopic(spark, str(tmp_path), "lines")
@@ -245,7 +262,7 @@ def test_repeated_batches_add_nothing(spark, tmp_path):
         "vertical_rate", "on_ground", "squawk", F.col("ts_ms").alias("ts"))
     framed = avro.encode(rows, AVRO_POSITION, keep=["offset"]).withColumn("value", avro.frame_column("value", F.lit(1)))
     src.publish(as_messages(framed, "value", src.name, offset="offset"))
-    again = P.avro_to_lines_batch(lines, {1: json.dumps(AVRO_POSITION)}, AVRO_POSITION)
+    again = P.avro_to_lines_batch(lines.publish, lines.name, {1: json.dumps(AVRO_POSITION)}, AVRO_POSITION)
     for _ in range(2):
         again(src.read(), 0)
     assert sorted(r["offset"] for r in lines.read().collect()) == list(range(6))

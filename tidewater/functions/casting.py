@@ -133,19 +133,19 @@ def good_rows(typed: DataFrame, policy: str = "reject") -> DataFrame:
     if policy == "fail":
         guard = F.when(
             F.size(ERRORS) > 0,
-            F.raise_error(F.concat(F.lit("bad record: "), F.get(F.col(ERRORS), 0)["column"],
-                                   F.lit(" "), F.get(F.col(ERRORS), 0)["message"])),
+            F.raise_error(F.concat_ws(" ", F.lit("bad record:"), F.get(F.col(ERRORS), 0)["column"],
+                                      F.get(F.col(ERRORS), 0)["message"])),
         ).otherwise(F.lit(True))
         return typed.where(guard & (F.col(FENCE) >= 0)).drop(ERRORS, FENCE)
     return typed.where(_ok(True)).drop(ERRORS, FENCE)
 
 
-def reject_rows(typed: DataFrame, keep: list[str], stage: str = "CAST") -> DataFrame:
+def reject_rows(typed: DataFrame, keep: list[str], stage: str | Column = "CAST") -> DataFrame:
     """One row per bad record: ``keep`` + stage, first failing column, reason."""
     first = F.get(F.col(ERRORS), 0)
     return typed.where(_ok(False)).select(
         *keep,
-        F.lit(stage).alias("error_stage"),
+        (F.lit(stage) if isinstance(stage, str) else stage).alias("error_stage"),
         first["column"].alias("error_column"),
         first["message"].alias("error_message"),
     )

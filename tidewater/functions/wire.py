@@ -125,6 +125,13 @@ def decode_json(value: str | Column) -> Column:
     return F.from_json(_c(value).cast("string"), FLAT_JSON_DDL)
 
 
+def decode_json_text(value: str | Column, names: list[str]) -> Column:
+    """Flat JSON record as a struct of text fields and ``_corrupt``: the text of
+    a message that is no JSON object (a NULL message gives a NULL struct)."""
+    ddl = ", ".join([*(f"`{n}` string" for n in names), "_corrupt string"])
+    return F.from_json(_c(value).cast("string"), ddl, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+
+
 # --- schema-and-payload envelope ----------------------------------------
 
 _CONNECT_CAST = {"string": "string", "double": "double", "int32": "int"}

@@ -39,10 +39,9 @@ def dead_letters(
     ``parsed`` comes from ``ingest.parse_envelope(messages, keep=[...])`` and
     must keep ``key``, ``partition`` and ``offset`` of the source message.
     """
-    problem = envelope_problem()
-    bad = parsed.where(envelope_usable(False)).withColumn("_problem", problem)
+    bad = parsed.where(envelope_usable(False))
     message = F.when(F.size(F.coalesce(F.col("_missing"), F.array())) > 0,
-                     F.lit(DLQ_EXCEPTION_MESSAGE)).otherwise(F.col("_problem"))
+                     F.lit(DLQ_EXCEPTION_MESSAGE)).otherwise(envelope_problem())
     values = {
         "topic": F.lit(source_topic),
         "partition": F.col("partition"),
@@ -71,7 +70,7 @@ def header(name: str) -> Column:
 def describe(dlq: DataFrame) -> DataFrame:
     """Dead-letter topic rows with their context headers as columns."""
     return dlq.select(
-        "offset",
+        "partition", "offset",
         header("topic").alias("orig_topic"),
         header("partition").cast("int").alias("orig_partition"),
         header("offset").cast("long").alias("orig_offset"),

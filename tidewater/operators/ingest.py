@@ -58,24 +58,50 @@ def parse_rejects(parsed: DataFrame, keep: list[str] = ["offset"]) -> DataFrame:
     )
 
 
+STAGE = "_stage"
+
+
+def classify_delimited(parsed: DataFrame, targets: list[Target], keep: list[str] = ["offset"],
+                       checks: list | None = None) -> DataFrame:
+    """Every parsed line, typed, with ``_errors`` and the stage they belong to:
+    PARSE for a wrong number of fields, else CAST.  Lines without an error have
+    an empty list; one table holds them all, so a batch is cast once."""
+    n = len(POSITION_WIRE_FIELDS)
+    typed = casting.apply_target(parsed, targets, keep=[*keep, NFIELDS], checks=checks)
+    short = F.col(NFIELDS) != n
+    told = F.struct(F.lit(None).cast("string").alias("column"),
+                    F.concat(F.lit(f"expected {n} fields, got "), F.col(NFIELDS).cast("string")).alias("message"))
+    return typed.select(*keep, *[t.name for t in targets],
+                        F.when(short, F.array(told)).otherwise(F.col(casting.ERRORS)).alias(casting.ERRORS),
+                        F.when(short, F.lit("PARSE")).otherwise(F.lit("CAST")).alias(STAGE), casting.FENCE)
+
+
+def good_of(classified: DataFrame, policy: str = "reject") -> DataFrame:
+    return casting.good_rows(classified, policy).drop(STAGE)
+
+
+def rejects_of(classified: DataFrame, keep: list[str] = ["offset"]) -> DataFrame:
+    """One row per bad record: ``keep``, stage, first failing column, reason."""
+    return casting.reject_rows(classified, keep, F.col(STAGE))
+
+
 def to_lake(parsed: DataFrame, keep: list[str] = [], policy: str = "drop") -> DataFrame:
     """Lake typing (doubles, all nullable).
 
     ``drop``: malformed lines are skipped and a field that does not parse is
     NULL (ignore-parse-errors); ``fail``: either aborts the job; ``reject``:
-    typed rows with ``_errors`` for the caller to split.
+    only lines that parse in full (the others: :func:`lake_split`).
     """
-    if policy == "fail":
-        ok = parsed.where(F.when(~arity_ok(), F.raise_error(F.lit("malformed line")))
-                          .otherwise(F.lit(True)))
-    else:
-        ok = parsed.where(arity_ok())
-    typed = casting.apply_target(ok, LAKE_POSITIONS, keep=keep)
-    if policy == "fail":
-        return casting.good_rows(typed, "fail")
-    if policy == "reject":
-        return typed
-    return typed.drop(casting.ERRORS, casting.FENCE)
+    if policy == "drop":
+        typed = casting.apply_target(parsed.where(arity_ok()), LAKE_POSITIONS, keep=keep)
+        return typed.drop(casting.ERRORS, casting.FENCE)
+    return good_of(classify_delimited(parsed, LAKE_POSITIONS, keep), policy)
+
+
+def lake_split(parsed: DataFrame, keep: list[str] = ["offset"]) -> tuple[DataFrame, DataFrame]:
+    """(good typed rows, rejects of both stages) of the lake's target."""
+    typed = classify_delimited(parsed, LAKE_POSITIONS, keep)
+    return good_of(typed), rejects_of(typed, keep)
 
 
 _CHECKS: list = []
@@ -92,18 +118,32 @@ def warehouse_checks() -> list[tuple[str, F.Column, str]]:
     return _CHECKS
 
 
-def to_warehouse(parsed: DataFrame, keep: list[str] = ["offset"]) -> DataFrame:
-    """Typed warehouse columns + ``_errors`` for lines with 12 fields."""
-    return casting.apply_target(parsed.where(arity_ok()), WAREHOUSE_POSITIONS, keep=keep,
-                                checks=warehouse_checks())
+def classify_warehouse(parsed: DataFrame, keep: list[str] = ["offset"]) -> DataFrame:
+    return classify_delimited(parsed, WAREHOUSE_POSITIONS, keep, warehouse_checks())
 
 
 def warehouse_split(parsed: DataFrame, keep: list[str] = ["offset"]) -> tuple[DataFrame, DataFrame]:
     """(good typed rows, rejects of both stages) — the load's error table."""
-    typed = to_warehouse(parsed, keep)
-    good = casting.good_rows(typed, "reject")
-    rejects = parse_rejects(parsed, keep).unionByName(casting.reject_rows(typed, keep, "CAST"))
-    return good, rejects
+    typed = classify_warehouse(parsed, keep)
+    return good_of(typed), rejects_of(typed, keep)
+
+
+# --- flat JSON --------------------------------------------------------------
+
+def classify_json(messages: DataFrame, targets: list[Target] = LAKE_POSITIONS, keep: list[str] = ["offset"]) -> DataFrame:
+    """Flat JSON records, typed, with errors and stage as delimited lines have
+    them: a message that is no JSON object is a PARSE error, a field that does
+    not cast a CAST error.  The three policies follow from it (``good_of``)."""
+    rec = F.col("_rec")
+    fields = [rec[t.name].alias(t.name) for t in targets]
+    bad = rec.isNull() | rec["_corrupt"].isNotNull()
+    read = messages.select(*keep, wire.decode_json_text("value", [t.name for t in targets]).alias("_rec")).select(
+        *keep, *fields, F.coalesce(bad, F.lit(True)).alias("_bad"))
+    typed = casting.apply_target(read, targets, keep=[*keep, "_bad"])
+    told = F.struct(F.lit(None).cast("string").alias("column"), F.lit("value is not a JSON object").alias("message"))
+    return typed.select(*keep, *[t.name for t in targets],
+                        F.when(F.col("_bad"), F.array(told)).otherwise(F.col(casting.ERRORS)).alias(casting.ERRORS),
+                        F.when(F.col("_bad"), F.lit("PARSE")).otherwise(F.lit("CAST")).alias(STAGE), casting.FENCE)
 
 
 # --- envelope (pipelines 7, 8) -------------------------------------------
@@ -114,52 +154,40 @@ ENVELOPE_TARGET = [
 
 
 def parse_envelope(messages: DataFrame, keep: list[str] = ["offset"]) -> DataFrame:
-    """``keep`` + decoded envelope + the list of missing required fields."""
-    env = wire.decode_envelope("value")
+    """``keep`` + value and headers, the typed payload, the missing required
+    fields and ``_problem``: why the envelope is unusable, or NULL.  Every field
+    is looked up and cast once; wrong types are the casts' own errors."""
     cols = [c for c in ("value", "headers") if c not in keep]
     keep_all = [*keep, *cols]
-    return messages.select(*keep_all, env.alias("_env")).select(
-        *keep_all, "_env",
-        wire.envelope_missing_required(F.col("_env")).alias("_missing"),
-        _wrong_types(F.col("_env")).alias("_wrong"),
-        F.spark_partition_id().alias(PARSE_FENCE),
-    )
-
-
-def _wrong_types(env: F.Column) -> F.Column:
-    """Names of payload fields whose value does not cast to their type."""
-    bad = []
-    for t in ENVELOPE_TARGET:
-        if t.dtype != "string":
-            v = F.try_element_at(env["payload"], F.lit(t.name)).cast("string")
-            bad.append(F.when((v != F.lit("")) & v.try_cast(t.dtype).isNull(), F.lit(t.name)))
-    return F.filter(F.array(*bad), lambda x: x.isNotNull())
+    read = messages.select(*keep_all, wire.decode_envelope("value").alias("_env"))
+    payload = {t.name: F.try_element_at(F.col("_env")["payload"], F.lit(t.name)) for t in ENVELOPE_TARGET}
+    typed = casting.apply_target(read, ENVELOPE_TARGET, source=payload, keep=[*keep_all, "_env"])
+    env, wrong = F.col("_env"), F.transform(casting.ERRORS, lambda e: e["column"])
+    typed = typed.withColumn("_missing", wire.envelope_missing_required(env))
+    problem = (F.when(env.isNull() | env["_corrupt"].isNotNull(), F.lit("value is not a JSON object"))
+               .when(env["schema"].isNull() | env["payload"].isNull(),
+                     F.lit("envelope needs schema and payload"))
+               .when(F.size("_missing") > 0,
+                     F.concat(F.lit("null value for required field "), F.array_join("_missing", ",")))
+               .when(F.size(casting.ERRORS) > 0,
+                     F.concat(F.lit("wrong type for field "), F.array_join(wrong, ","))))
+    return typed.select(*keep_all, *[t.name for t in ENVELOPE_TARGET], "_missing", problem.alias("_problem"), casting.FENCE)
 
 
 def envelope_usable(usable: bool = True) -> F.Column:
     """Filter for (un)usable envelopes; references the fence so the JSON
     parse is not inlined into the condition."""
     p = envelope_problem()
-    return (p.isNull() if usable else p.isNotNull()) & (F.col(PARSE_FENCE) >= 0)
+    return (p.isNull() if usable else p.isNotNull()) & (F.col(casting.FENCE) >= 0)
 
 
 def envelope_problem() -> F.Column:
     """Why a decoded envelope is unusable, or NULL when it is fine."""
-    env = F.col("_env")
-    return (F.when(env.isNull() | env["_corrupt"].isNotNull(), F.lit("value is not a JSON object"))
-            .when(env["schema"].isNull() | env["payload"].isNull(),
-                  F.lit("envelope needs schema and payload"))
-            .when(F.size("_missing") > 0,
-                  F.concat(F.lit("null value for required field "), F.array_join("_missing", ",")))
-            .when(F.size("_wrong") > 0,
-                  F.concat(F.lit("wrong type for field "), F.array_join("_wrong", ","))))
+    return F.col("_problem")
 
 
 def envelope_rows(parsed: DataFrame, keep: list[str] = ["offset"],
                   whitelist: list[str] | None = None) -> DataFrame:
     """Typed payload columns of usable envelopes, restricted to ``whitelist``."""
     names = whitelist or [f for f, _, _ in ENVELOPE_FIELDS]
-    targets = [t for t in ENVELOPE_TARGET if t.name in names]
-    src = {t.name: F.try_element_at(F.col("_env")["payload"], F.lit(t.name)) for t in targets}
-    typed = casting.apply_target(parsed.where(envelope_usable(True)), targets, source=src, keep=keep)
-    return casting.good_rows(typed, "reject")
+    return parsed.where(envelope_usable(True)).select(*keep, *[t.name for t in ENVELOPE_TARGET if t.name in names])

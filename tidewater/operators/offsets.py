@@ -5,15 +5,16 @@ Numbering with ``row_number() OVER (PARTITION BY partition ...)`` would pull a
 whole topic partition (possibly a third of the data for a hot key) into one
 task.  Instead:
 
-1. range-partition by (partition, order) so a big topic partition is cut
+1. write the rows down, so that what produces them runs once;
+2. range-partition by (partition, order) so a big topic partition is cut
    into several slices, sort inside each slice;
-2. give each row a slice id and a monotonically increasing id;
-3. count rows per (partition, slice) — a table of slices × partitions rows —
-   and turn the counts into running totals;
-4. offset = base + rows in earlier slices + position inside the slice.
+3. give each row a slice id and a monotonically increasing id, and write that
+   too: counts and rows agree even if tasks are re-run;
+4. count rows per (partition, slice) and turn the counts into running totals;
+5. offset = base + rows in earlier slices + position inside the slice.
 
-The slices are frozen with a reliable checkpoint before they are counted,
-so the counts and the rows agree even if tasks are re-run.
+The totals are a stored table, so the planner broadcasts them by their size in
+bytes and joins them by shuffle above ``spark.sql.autoBroadcastJoinThreshold``.
 """
 
 from __future__ import annotations
@@ -21,10 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.session import scratch_root
-
-# slices × topic partitions above this are joined by shuffle, not broadcast
-MAX_BROADCAST_SLICES = 1_000_000
+from tidewater.session import frozen, scratch_path
 
 
 def assign_offsets(
@@ -34,25 +32,20 @@ def assign_offsets(
     base: DataFrame | None = None,
     slices: int | None = None,
     offset_col: str = "offset",
-    topic_partitions: int = 1,
+    folder: str | None = None,
 ) -> DataFrame:
     """Add ``offset_col``: 0-based (plus ``base.next_offset``) per partition.
 
-    ``topic_partitions`` is the topic's configured partition count; with the
-    slice count it bounds the size of the broadcast running-total table.
-    """
+    ``folder`` holds what is written on the way; the caller may delete it once
+    the result is written."""
     spark = df.sparkSession
+    folder = folder or scratch_path(spark, "offsets", unique=True)
     n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # The sliced, id-stamped rows are used twice (counts per slice, then the
-    # rows themselves): a reliable checkpoint makes both read the same slices.
-    # Recomputing would re-sample the range bounds and re-fetch shuffle blocks
-    # in another order, so ids and counts could disagree.
-    scratch_root(spark)
-    ranged = (df.repartitionByRange(n, partition_col, *order_cols)
-              .sortWithinPartitions(partition_col, *order_cols)
-              .withColumn("_slice", F.spark_partition_id())
-              .withColumn("_rid", F.monotonically_increasing_id())
-              .checkpoint(eager=True))
+    rows = frozen(df, f"{folder}/rows")
+    ranged = frozen(rows.repartitionByRange(n, partition_col, *order_cols)
+                    .sortWithinPartitions(partition_col, *order_cols)
+                    .withColumn("_slice", F.spark_partition_id())
+                    .withColumn("_rid", F.monotonically_increasing_id()), f"{folder}/ranged")
     earlier = Window.partitionBy(partition_col).orderBy("_slice").rowsBetween(
         Window.unboundedPreceding, -1)
     stats = (ranged.groupBy(partition_col, "_slice")
@@ -63,10 +56,7 @@ def assign_offsets(
         stats = stats.join(base.select(partition_col, "next_offset"), partition_col, "left")
     else:
         stats = stats.withColumn("next_offset", F.lit(0).cast("long"))
-    # stats has at most slices × distinct partitions rows
-    if n * max(1, topic_partitions) <= MAX_BROADCAST_SLICES:
-        stats = F.broadcast(stats)
-    out = ranged.join(stats, [partition_col, "_slice"], "inner")
+    out = ranged.join(frozen(stats, f"{folder}/totals"), [partition_col, "_slice"], "inner")
     offset = (F.coalesce(F.col("next_offset"), F.lit(0)) + F.col("_before")
               + (F.col("_rid") - F.col("_first")))
     return out.withColumn(offset_col, offset.cast("long")).drop(

@@ -118,7 +118,7 @@ SELECT event_id AS "offset", icao24, callsign, latitude, longitude, altitude, ve
 FROM positions""",
     "envelope_decode": with_(POSITIONS) + "SELECT event_id AS \"offset\", "
         + ENVELOPE_COLUMNS.format(lat="latitude") + "\nFROM positions WHERE event_id % 5 <> 0",
-    "warehouse_load": with_(POSITIONS, WAREHOUSE) + "SELECT * FROM wh",
+    "warehouse_load": with_(POSITIONS, WAREHOUSE) + "SELECT *, TRUE AS stamped, 'load-0' AS load_id FROM wh",
     "lookup_join": with_(POSITIONS, LAKE, REF, ENRICHED.format(ref="ref")) + "SELECT * FROM enriched",
     "lookup_join_dups": with_(POSITIONS, LAKE, REF, REF_DUPS, ENRICHED.format(ref="ref2"))
         + "SELECT * FROM enriched",
@@ -163,14 +163,18 @@ SELECT * FROM lake WHERE icao24 = '000007' ORDER BY ts DESC""",
     "bearing": with_(POSITIONS, LAKE) + f"""
 SELECT "offset", icao24, round({BEARING}, 1) AS bearing FROM lake""",
     "dlq_split": """
-SELECT row_number() OVER (ORDER BY event_id) - 1 AS "offset",
+SELECT CAST('0x' || substr(md5(lpad(CAST(user_id AS VARCHAR), 6, '0')), 1, 4) AS INTEGER) % 4 AS "partition",
+       row_number() OVER (PARTITION BY CAST('0x' || substr(md5(lpad(CAST(user_id AS VARCHAR), 6, '0')), 1, 4) AS INTEGER) % 4
+                          ORDER BY event_id) - 1 AS "offset",
        'adsb-positions-envelope' AS orig_topic, 0 AS orig_partition, event_id AS orig_offset,
        'VALUE_CONVERTER' AS stage,
        'org.apache.kafka.connect.errors.DataException' AS exception_class,
        'Converter error: null value for a required (non-optional) field' AS exception_message
 FROM events WHERE event_id % 5 = 0""",
     "topic_depth": """
-SELECT count(*) AS depth, CAST(1 AS BIGINT) AS partitions FROM events WHERE event_id % 5 = 0""",
+SELECT count(*) AS depth,
+       count(DISTINCT CAST('0x' || substr(md5(lpad(CAST(user_id AS VARCHAR), 6, '0')), 1, 4) AS INTEGER) % 4) AS partitions
+FROM events WHERE event_id % 5 = 0""",
     "dlq_replay": with_(POSITIONS) + """
 SELECT (SELECT max(event_id) + 1 FROM events) + row_number() OVER (ORDER BY event_id) - 1 AS "offset",
        event_id AS orig_offset, """ + ENVELOPE_COLUMNS.format(lat="round(-longitude / 2, 6)") + """
@@ -182,13 +186,14 @@ WITH e AS (
   SELECT CASE event_id % 11 WHEN 0 THEN 'null message' WHEN 1 THEN 'blank latitude'
                             WHEN 2 THEN 'short record' WHEN 3 THEN 'wrong type' ELSE 'none' END AS fault
   FROM events),
-r AS (SELECT unnest(['delimited', 'envelope']) AS route)
+r AS (SELECT unnest(['delimited', 'lake', 'json', 'envelope', 'weather']) AS route),
+t AS (SELECT *, fault = 'none' OR fault = 'blank latitude' AND route IN ('lake', 'json') AS fine FROM e, r)
 SELECT route, fault, count(*) AS records,
-       count(CASE WHEN fault = 'none' THEN 1 END) AS good,
-       count(CASE WHEN fault <> 'none' AND route = 'delimited' THEN 1 END) AS rejected,
-       count(CASE WHEN fault <> 'none' AND route = 'envelope' THEN 1 END) AS dead,
+       count(CASE WHEN fine THEN 1 END) AS good,
+       count(CASE WHEN NOT fine AND route <> 'envelope' THEN 1 END) AS rejected,
+       count(CASE WHEN NOT fine AND route = 'envelope' THEN 1 END) AS dead,
        TRUE AS balanced
-FROM e, r GROUP BY route, fault"""
+FROM t GROUP BY route, fault"""
 
 ORDERS_LAKE = """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
@@ -238,6 +243,18 @@ SELECT strftime(landed, '%Y-%m-%d') AS landing_date, strftime(landed, '%H') AS l
 FROM m GROUP BY 1, 2""",
     "weather_load": with_(WEATHER) + f"SELECT {WEATHER_COLS} FROM w",
     "hour_reload": with_(WEATHER) + f"SELECT {WEATHER_COLS}, landing_date, landing_hour FROM wl",
+    "hour_scoped_load": with_(WEATHER) + f"""
+SELECT {WEATHER_COLS}, landing_date, landing_hour FROM wl
+WHERE date_trunc('hour', landed) >= TIMESTAMP '2024-01-15 06:00:00' AND date_trunc('hour', landed) < TIMESTAMP '2024-01-15 18:00:00'""",
+    "window_rows": with_(WEATHER) + f"""
+SELECT {WEATHER_COLS} FROM w
+WHERE observation_ts >= TIMESTAMP '2024-01-15 06:00:00' AND observation_ts < TIMESTAMP '2024-01-15 18:00:00'""",
+    "manifest_files": """
+SELECT CAST(strftime(o_orderdate, '%Y%m') AS INTEGER) AS stage_id,
+       CAST(sum(length(CAST(o_orderkey AS VARCHAR)) + length(o_orderstatus) + 13) AS BIGINT) AS bytes,
+       count(*) AS lines, CAST(0 AS BIGINT) AS missing
+FROM orders GROUP BY 1
+UNION ALL SELECT 900000 + i, NULL, NULL, 1 FROM range(3) AS g(i)""",
     "hour_window_filter": with_(WEATHER) + """
 SELECT landing_date, landing_hour,
        observation_ts >= date_trunc('hour', landed)
@@ -246,7 +263,7 @@ SELECT landing_date, landing_hour,
 FROM wl GROUP BY 1, 2, 3""",
     "station_summary": with_(WEATHER) + """
 SELECT station_id, count(*) AS total_obs,
-       CAST(round(avg(temperature_c), 3) AS DOUBLE) AS avg_temp_c,
+       CAST(sum(temperature_c) AS DOUBLE) / count(temperature_c) AS avg_temp_c,
        max(wind_speed_kts) AS max_wind_kts
 FROM w GROUP BY station_id ORDER BY station_id""",
     "ref_seed": with_(REF) + "SELECT * FROM ref",

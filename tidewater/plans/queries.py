@@ -9,24 +9,33 @@ result read back.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.functions import casting, wire
 from tidewater.operators import deadletter, ingest
-from tidewater.operators.lookup import ReferenceCache, lookup_join
+from tidewater.operators.lake import LedgerTable
+from tidewater.operators.lookup import KeyedCache, ReferenceCache, lookup_join
 from tidewater.operators.offsets import assign_offsets
+from tidewater.operators.warehouse import POSITIONS, PartitionedTable, WarehouseTable
 from tidewater.plans import reports, views
-from tidewater.schemas import LAKE_POSITIONS
-from tidewater.operators.lake import LedgerTable
-from tidewater.operators.warehouse import PartitionedTable
-from tidewater.schemas import WEATHER_CSV_FIELDS, WEATHER_OBS, struct_of
+from tidewater.schemas import (
+    AVRO_POSITION,
+    AVRO_PRODUCT_V1,
+    AVRO_PRODUCT_V2,
+    WAREHOUSE_POSITIONS,
+    WEATHER_CSV_FIELDS,
+    WEATHER_OBS,
+    struct_of,
+)
 from tidewater.session import scratch_path, scratch_root
-from tidewater.schemas import AVRO_POSITION, AVRO_PRODUCT_V1, AVRO_PRODUCT_V2
 from tidewater.sources import avro, files
 from tidewater.sources.topics import FileTopic, as_messages, topic_depth
+from tidewater.streaming import pipelines
 
 POSITIONS_TOPIC = "adsb-positions"
 ENVELOPE_TOPIC = "adsb-positions-envelope"
@@ -75,8 +84,7 @@ def warehouse_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def enriched_rows(spark: SparkSession, sf_dir: str, ref: DataFrame | None = None) -> DataFrame:
     cache = ReferenceCache(lambda: ref if ref is not None else views.aircraft_ref(spark, sf_dir))
-    ref_df, rows = cache.get()
-    return lookup_join(lake_rows(spark, sf_dir), ref_df, ref_rows=rows)
+    return lookup_join(lake_rows(spark, sf_dir), cache.get())
 
 
 # --- wire -------------------------------------------------------------------
@@ -104,9 +112,7 @@ def q_encode_line(spark, sf_dir):
 def q_json_roundtrip(spark, sf_dir):
     p = views.positions(spark, sf_dir)
     msgs = as_messages(p, wire.encode_json(), "adsb-json", offset="event_id")
-    dec = msgs.select("offset", wire.decode_json("value").alias("r")).select("offset", "r.*")
-    typed = casting.apply_target(dec, LAKE_POSITIONS, keep=["offset"])
-    return casting.good_rows(typed, "fail")
+    return ingest.good_of(ingest.classify_json(msgs), "fail")
 
 
 def q_envelope_decode(spark, sf_dir):
@@ -116,8 +122,25 @@ def q_envelope_decode(spark, sf_dir):
 
 # --- load -------------------------------------------------------------------
 
+def positions_table(spark: SparkSession, sf_dir: str) -> WarehouseTable:
+    """The catalog table of pipeline 2, created by its DDL and loaded once:
+    ``ingest_ts`` is filled by its DEFAULT."""
+    def table(path):
+        return WarehouseTable(spark, f"positions_{path[-12:]}", POSITIONS, ["pos_date", "load_id"], path)
+
+    def build(path):
+        keys = ["partition", "offset"]
+        good, _ = ingest.warehouse_split(ingest.parse_delimited(delimited_topic(spark, sf_dir), keep=keys), keep=keys)
+        table(path).create().write(good.withColumn("load_id", F.lit("load-0")))
+    return table(_built(spark, "warehouse-positions", sf_dir, build))
+
+
+WAREHOUSE_COLUMNS = ["offset", *(t.name for t in WAREHOUSE_POSITIONS)]
+
+
 def q_warehouse_load(spark, sf_dir):
-    return warehouse_rows(spark, sf_dir)
+    rows = positions_table(spark, sf_dir).read()
+    return rows.select(*WAREHOUSE_COLUMNS, F.col("ingest_ts").isNotNull().alias("stamped"), "load_id")
 
 
 def q_cast_rejects(spark, sf_dir):
@@ -128,7 +151,10 @@ def q_cast_rejects(spark, sf_dir):
 # --- join -------------------------------------------------------------------
 
 def q_lookup_join(spark, sf_dir):
-    return enriched_rows(spark, sf_dir)
+    """Through the cache by key: the store is asked for the keys of the rows."""
+    rows = lake_rows(spark, sf_dir)
+    cache = KeyedCache(lambda keys: views.aircraft_ref(spark, sf_dir).join(keys, "icao24", "left_semi"))
+    return lookup_join(rows, cache.lookup(rows))
 
 
 def duplicated_ref(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -185,7 +211,7 @@ def q_sample_n(spark, sf_dir):
 
 
 def q_recent_rows(spark, sf_dir):
-    return reports.recent_rows(warehouse_rows(spark, sf_dir))
+    return reports.recent_rows(positions_table(spark, sf_dir).read()).select(*WAREHOUSE_COLUMNS)
 
 
 def q_recent_by_key(spark, sf_dir):
@@ -204,18 +230,19 @@ def q_bearing(spark, sf_dir):
 
 # --- dead letters -----------------------------------------------------------
 
+DLQ_PARTITIONS = 4
+
+
 def dlq_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The dead-letter topic: unusable envelopes with context headers and
-    their own dense offsets, published once to a file-backed topic."""
+    """The dead-letter topic: unusable envelopes with context headers, each in
+    its key's partition and numbered there, published once to a file-backed
+    topic."""
     def build(path):
         parsed = ingest.parse_envelope(
             envelope_topic(spark, sf_dir), keep=["key", "partition", "offset"])
-        dl = deadletter.dead_letters(parsed, ENVELOPE_TOPIC, CONNECTOR).withColumn("partition", F.lit(0))
-        dl = assign_offsets(dl, ["source_partition", "source_offset"], "partition")
-        FileTopic(spark, path, DLQ_TOPIC).publish(as_messages(
-            dl, "value", DLQ_TOPIC, offset="offset", key="key", partition="partition",
-            headers=F.col("headers")))
-    return FileTopic(spark, _built(spark, "dlq-topic", sf_dir, build), DLQ_TOPIC).read()
+        FileTopic(spark, path, DLQ_TOPIC, DLQ_PARTITIONS).send(
+            deadletter.dead_letters(parsed, ENVELOPE_TOPIC, CONNECTOR), "load-0")
+    return FileTopic(spark, _built(spark, "dlq-topic", sf_dir, build), DLQ_TOPIC, DLQ_PARTITIONS).read()
 
 
 def q_dlq_split(spark, sf_dir):
@@ -234,13 +261,12 @@ def q_dlq_replay(spark, sf_dir):
         F.lit(0).alias("partition"), F.col("depth").alias("next_offset"))
     fixed = dlq.select(
         F.lit(0).alias("partition"),
-        F.col("offset").alias("dlq_offset"),
         deadletter.header("offset").cast("long").alias("orig_offset"),
         deadletter.repair_envelope("value", {
             "latitude": lambda pl: F.round(-deadletter.payload_value(pl, "longitude") / 2, 6)
         }).alias("value"),
     )
-    fixed = assign_offsets(fixed, ["dlq_offset"], "partition", base=base)
+    fixed = assign_offsets(fixed, ["orig_offset"], "partition", base=base)
     msgs = as_messages(fixed, "value", ENVELOPE_TOPIC, offset="offset", keep=["orig_offset"])
     parsed = ingest.parse_envelope(msgs, keep=["offset", "orig_offset"])
     return ingest.envelope_rows(parsed, keep=["offset", "orig_offset"])
@@ -252,48 +278,80 @@ FAULTS = ("null message", "blank latitude", "short record", "wrong type")
 FAULT_EVERY = 11
 
 
-def _fault(offset_col: str) -> F.Column:
-    """The fault injected at an offset: 0, 1, 2, 3 of every eleven have one."""
+def _fault(number: F.Column) -> F.Column:
+    """The fault of a record: numbers 0 to 3 of every eleven have one."""
     kind = F.lit("none")
     for i, name in enumerate(FAULTS):
-        kind = F.when(F.col(offset_col) % FAULT_EVERY == i, F.lit(name)).otherwise(kind)
+        kind = F.when(number == i, F.lit(name)).otherwise(kind)
     return kind
 
 
-def q_record_balance(spark, sf_dir):
-    """Per route and fault: records in, and how many became good rows, rejects
-    (delimited lines) or dead letters (envelopes)."""
-    p = views.positions(spark, sf_dir)
-    fault = _fault("event_id")
+def _fault_at(offset_col: str) -> F.Column:
+    return _fault(F.col(offset_col) % FAULT_EVERY)
 
-    fields = wire.position_fields_text()
+
+def faulty_lines(p: DataFrame) -> DataFrame:
+    fault, fields = _fault_at("event_id"), wire.position_fields_text()
     fields[2] = F.when(fault == "blank latitude", F.lit("")).otherwise(fields[2])
     fields[8] = F.when(fault == "wrong type", F.lit("garbage")).otherwise(fields[8])
     line = (F.when(fault == "short record", wire.join_line(fields[:-1]))
             .when(fault != "null message", wire.join_line(fields)))
-    lines = as_messages(p, line, POSITIONS_TOPIC, offset="event_id", key="icao24", timestamp="ts")
-    loaded, rejects = ingest.warehouse_split(ingest.parse_delimited(lines, keep=["offset"]))
+    return as_messages(p, line, POSITIONS_TOPIC, offset="event_id", key="icao24", timestamp="ts")
 
-    blank = p.withColumn("latitude", F.when(fault != "blank latitude", F.col("latitude")))
-    text = wire.encode_envelope()
+
+def faulty_json(p: DataFrame, text: F.Column, topic: str, blank: str) -> DataFrame:
+    """JSON messages: none, cut short, or with latitude as ``blank`` or text."""
+    fault, latitude = _fault_at("event_id"), '"latitude":[^,}]+'
     value = (F.when(fault == "short record", F.substring(text, 1, 20))
-             .when(fault == "wrong type", F.regexp_replace(text, '"latitude":[^,}]+', '"latitude":"abc"'))
+             .when(fault == "wrong type", F.regexp_replace(text, latitude, '"latitude":"abc"'))
+             .when(fault == "blank latitude", F.regexp_replace(text, latitude, f'"latitude":{blank}'))
              .when(fault != "null message", text))
-    envelopes = as_messages(blank, value, ENVELOPE_TOPIC, offset="event_id", key="icao24", timestamp="ts")
-    parsed = ingest.parse_envelope(envelopes, keep=["key", "partition", "offset"])
-    usable = ingest.envelope_rows(parsed, keep=["offset"])
-    dead = deadletter.dead_letters(parsed, ENVELOPE_TOPIC, CONNECTOR)
-
-    sides = ["records", "good", "rejected", "dead"]
-    told = None
-    for route, side, rows, offset in (
-            ("delimited", "records", lines, "offset"), ("envelope", "records", envelopes, "offset"),
-            ("delimited", "good", loaded, "offset"), ("delimited", "rejected", rejects, "offset"),
-            ("envelope", "good", usable, "offset"), ("envelope", "dead", dead, "source_offset")):
-        part = rows.select(F.lit(route).alias("route"), _fault(offset).alias("fault"),
-                           *[F.lit(int(s == side)).alias(s) for s in sides])
-        told = part if told is None else told.unionByName(part)
-    return (told.groupBy("route", "fault").agg(*[F.sum(s).alias(s) for s in sides])
+    return as_messages(p, value, topic, offset="event_id", key="icao24", timestamp="ts")
+
+
+def faulty_hours(spark: SparkSession, sf_dir: str) -> tuple[PartitionedTable, PartitionedTable]:
+    """Weather documents with faulty lines (visibility tells which), written to
+    hour folders and loaded: the table and its quarantine."""
+    def build(path):
+        files.write_hour_folders(weather_messages(spark, sf_dir, faults=True), f"{path}/raw", records_per_file=1000)
+        table, quarantine = tables(path)
+        pipelines.load_hours(spark, f"{path}/raw", WEATHER_CSV_FIELDS, WEATHER_OBS, table, quarantine=quarantine)
+
+    def tables(path):
+        return (PartitionedTable(spark, f"{path}/obs", WEATHER_TABLE_SCHEMA, pipelines.HOUR_KEYS),
+                pipelines.hour_rejects(spark, f"{path}/quarantine"))
+    return tables(_built(spark, "weather-faults", sf_dir, build))
+
+
+def q_record_balance(spark, sf_dir):
+    """Per route and fault: records in, and how many became good rows, rejects
+    (lines, JSON records, weather lines) or dead letters (envelopes)."""
+    p = views.positions(spark, sf_dir)
+    lines = faulty_lines(p)
+    parsed = ingest.parse_delimited(lines, keep=["offset"])
+    loaded, rejects = ingest.warehouse_split(parsed)
+    lake, quarantined = ingest.lake_split(parsed)
+    flat = ingest.classify_json(faulty_json(p, wire.encode_json(), "adsb-json", '""'))
+    envelopes = ingest.parse_envelope(faulty_json(p, wire.encode_envelope(), ENVELOPE_TOPIC, "null"), keep=["key", "partition", "offset"])
+    dead = deadletter.dead_letters(envelopes, ENVELOPE_TOPIC, CONNECTOR).withColumnRenamed("source_offset", "offset")
+    hours, hour_rejects = faulty_hours(spark, sf_dir)
+    code = F.split("line", ",")[5]
+
+    sides, told = ["records", "good", "rejected", "dead"], []
+
+    def side(route, name, rows, fault=_fault_at("offset")):
+        told.append(rows.select(F.lit(route).alias("route"), fault.alias("fault"), *[F.lit(int(s == name)).alias(s) for s in sides]))
+
+    for route, good, bad, name in (("delimited", loaded, rejects, "rejected"), ("lake", lake, quarantined, "rejected"),
+                                   ("json", ingest.good_of(flat), ingest.rejects_of(flat), "rejected"),
+                                   ("envelope", ingest.envelope_rows(envelopes), dead, "dead")):
+        side(route, "records", p, _fault_at("event_id"))
+        side(route, "good", good)
+        side(route, name, bad)
+    side("weather", "records", views.weather_rows(spark, sf_dir), _fault_at("event_id"))
+    side("weather", "good", hours.read(), _fault(F.col("visibility_m")))
+    side("weather", "rejected", hour_rejects.read(), F.when(code == "", F.lit(FAULTS[0])).otherwise(_fault(code.cast("int"))))
+    return (reduce(DataFrame.unionByName, told).groupBy("route", "fault").agg(*[F.sum(s).alias(s) for s in sides])
             .withColumn("balanced", F.col("records") == F.col("good") + F.col("rejected") + F.col("dead")))
 
 
@@ -344,24 +402,13 @@ def q_snapshot_history(spark, sf_dir):
 
 # --- warehouse table (pipeline 2) --------------------------------------------
 
-def positions_table(spark: SparkSession, sf_dir: str) -> PartitionedTable:
-    rows = warehouse_rows(spark, sf_dir)
-    schema = rows.schema.add("load_id", "string")
-
-    def build(path):
-        PartitionedTable(spark, path, schema, ["pos_date", "load_id"]).write(
-            rows.withColumn("load_id", F.lit("load-0")))
-    return PartitionedTable(spark, _built(spark, "warehouse-positions", sf_dir, build), schema,
-                            ["pos_date", "load_id"])
-
-
 PARTITION_DAY = "2024-01-15"
 
 
 def q_partition_filter(spark, sf_dir):
     """Equality on the day partition column: only that folder is read."""
     t = positions_table(spark, sf_dir).read()
-    return t.where(F.col("pos_date") == F.lit(PARTITION_DAY).cast("date")).drop("load_id")
+    return t.where(F.col("pos_date") == F.lit(PARTITION_DAY).cast("date")).select(*WAREHOUSE_COLUMNS)
 
 
 # --- hour folders and the weather table (pipeline 3) ------------------------
@@ -369,17 +416,26 @@ def q_partition_filter(spark, sf_dir):
 WEATHER_HEADER = ",".join(WEATHER_CSV_FIELDS)
 
 
-def weather_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def weather_messages(spark: SparkSession, sf_dir: str, faults: bool = False) -> DataFrame:
     """One CSV document per (event hour, id chunk): header, rows in id order
     (CRLF line ends, some values padded), a stray header line at the end in
-    even hours; the message lands 10 minutes after its last observation."""
+    even hours; the message lands 10 minutes after its last observation.
+    ``faults``: lines without any value, without station, cut short or with
+    text for a number, and the number of the fault as visibility."""
     w = views.weather_rows(spark, sf_dir)
     pad = F.col("event_id") % 11 == 0
     temp = F.col("temperature_c").cast("string")
-    line = F.concat_ws(
-        ",", "station_id", F.date_format("observation_ts", "yyyy-MM-dd HH:mm:ss"),
-        F.when(pad, F.concat(F.lit(" "), temp, F.lit(" "))).otherwise(temp),
-        *[F.col(c).cast("string") for c in WEATHER_CSV_FIELDS[3:]])
+    fields = [F.col("station_id"), F.date_format("observation_ts", "yyyy-MM-dd HH:mm:ss"),
+              F.when(pad, F.concat(F.lit(" "), temp, F.lit(" "))).otherwise(temp),
+              *[F.col(c).cast("string") for c in WEATHER_CSV_FIELDS[3:]]]
+    line = F.concat_ws(",", *fields)
+    if faults:
+        fault = _fault_at("event_id")
+        fields[0] = F.when(fault == "blank latitude", F.lit("")).otherwise(fields[0])
+        fields[2] = F.when(fault == "wrong type", F.lit("abc")).otherwise(fields[2])
+        fields[5] = (F.col("event_id") % FAULT_EVERY).cast("string")
+        line = (F.when(fault == "null message", F.lit("," * (len(fields) - 1)))
+                .when(fault == "short record", F.concat_ws(",", *fields[:6])).otherwise(F.concat_ws(",", *fields)))
     msgs = (w.groupBy("event_hour", "chunk")
             .agg(F.sort_array(F.collect_list(F.struct("event_id", line.alias("line")))).alias("rows"),
                  F.max("observation_ts").alias("last_obs")))
@@ -431,11 +487,56 @@ def q_weather_load(spark, sf_dir):
 
 def q_hour_reload(spark, sf_dir):
     """Load the same landing hours again: they are replaced, not doubled."""
-    table = weather_table(spark, sf_dir)
-    table.write(weather_typed(spark, sf_dir), clustered=True)
+    table = PartitionedTable(spark, scratch_path(spark, "weather-reload", unique=True), WEATHER_TABLE_SCHEMA, pipelines.HOUR_KEYS)
+    for _ in range(2):
+        pipelines.load_hours(spark, weather_files(spark, sf_dir), WEATHER_CSV_FIELDS, WEATHER_OBS, table)
+    return table.read()
+
+
+SCOPE = (dt.datetime(2024, 1, 15, 6), dt.datetime(2024, 1, 15, 18))
+
+
+def q_hour_scoped_load(spark, sf_dir):
+    """Load the landing hours of one half day: no other folder is listed."""
+    table = PartitionedTable(spark, scratch_path(spark, "weather-scoped", unique=True), WEATHER_TABLE_SCHEMA, pipelines.HOUR_KEYS)
+    pipelines.load_hours(spark, weather_files(spark, sf_dir), WEATHER_CSV_FIELDS, WEATHER_OBS, table, hours=files.hours_between(*SCOPE))
     return table.read()
 
 
+def q_window_rows(spark, sf_dir):
+    """Rows of a half-open time window, filtered in the scan."""
+    return reports.window_rows(weather_table(spark, sf_dir).read(), *SCOPE).drop(*pipelines.HOUR_KEYS)
+
+
+# --- manifest of files (pipeline 1) -------------------------------------------
+
+def order_files(spark: SparkSession, sf_dir: str) -> str:
+    """Text files of order lines in a folder per month, and ``manifest`` with a
+    line ``month|path`` for every file and for three that are not there."""
+    def build(path):
+        o = views.order_snapshots(spark, sf_dir)
+        line = F.concat_ws("|", F.col("o_orderkey").cast("string"), "o_orderstatus", F.date_format("o_orderdate", "yyyy-MM-dd"))
+        (o.select(line.alias("value"), F.date_format("o_orderdate", "yyyyMM").alias("month"))
+         .hint("rebalance", "month").write.partitionBy("month").text(f"{path}/files"))
+        there = files.list_objects(spark, f"{path}/files", "*.txt").select(
+            F.concat_ws("|", F.regexp_extract("path", "/month=([0-9]+)/", 1), "path").alias("value"))
+        gone = spark.range(3).select(F.concat(F.lit("90000"), F.col("id").cast("string"), F.lit(f"|{path}/files/gone-"), F.col("id").cast("string"), F.lit(".txt")).alias("value"))
+        there.unionByName(gone).coalesce(1).write.text(f"{path}/manifest")
+    return _built(spark, "order-files", sf_dir, build)
+
+
+def q_manifest_files(spark, sf_dir):
+    """Whole files by manifest: their bytes and lines per month, and the lines
+    of the manifest that name no file."""
+    root = order_files(spark, sf_dir)
+    staged = files.load_manifest_files(spark, f"{root}/manifest", root=f"{root}/files", glob="*.txt")
+    text = F.col("container").cast("string")
+    return staged.groupBy("stage_id").agg(
+        F.sum(F.length("container")).cast("long").alias("bytes"),
+        F.sum(F.length(text) - F.length(F.regexp_replace(text, "\n", ""))).cast("long").alias("lines"),
+        F.count(F.when(F.col("error").isNotNull(), 1)).alias("missing"))
+
+
 def q_hour_window_filter(spark, sf_dir):
     return reports.hour_window_counts(weather_table(spark, sf_dir).read())
 
@@ -588,7 +689,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_scan": q_csv_scan,
     "weather_load": q_weather_load,
     "hour_reload": q_hour_reload,
+    "hour_scoped_load": q_hour_scoped_load,
     "hour_window_filter": q_hour_window_filter,
+    "window_rows": q_window_rows,
+    "manifest_files": q_manifest_files,
     "station_summary": q_station_summary,
     "ref_seed": q_ref_seed,
     "ref_update": q_ref_update,

@@ -9,6 +9,8 @@ per-task top-k merged on the driver (``TakeOrderedAndProject``).
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,10 +53,10 @@ def enriched_summary(t: DataFrame) -> DataFrame:
 
 
 def station_summary(t: DataFrame) -> DataFrame:
-    """Weather per station; the decimal mean is rounded to 3 digits."""
+    """Weather per station; the mean is the exact sum over the count."""
     return (t.groupBy("station_id")
             .agg(F.count(F.lit(1)).alias("total_obs"),
-                 F.round(F.avg("temperature_c"), 3).cast("double").alias("avg_temp_c"),
+                 (F.sum("temperature_c").cast("double") / F.count("temperature_c")).alias("avg_temp_c"),
                  F.max("wind_speed_kts").alias("max_wind_kts"))
             .orderBy("station_id"))
 
@@ -101,10 +103,11 @@ def sample_n(t: DataFrame, n: int, seed: int, order: list[str]) -> DataFrame:
 
 
 def recent_rows(t: DataFrame, day_col: str = "pos_date", ts: str = "ts") -> DataFrame:
-    """Rows of the latest day, newest first (the reference uses CURRENT_DATE)."""
-    latest = t.agg(F.max(day_col).alias("_day"))
-    return (t.join(F.broadcast(latest), F.col(day_col) == F.col("_day"), "left_semi")
-            .orderBy(F.desc(ts)))
+    """Rows of the latest day, newest first (the reference uses CURRENT_DATE).
+    On a table partitioned by day the maximum reads no data column and the
+    scalar subquery becomes a partition filter."""
+    latest = t.agg(F.max(day_col)).first()[0]  # one value
+    return t.where(F.col(day_col) == F.lit(latest)).orderBy(F.desc(ts))
 
 
 def by_key(t: DataFrame, key: str, value: str, ts: str = "ts") -> DataFrame:
@@ -120,6 +123,12 @@ def bearing_deg(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colum
     return F.pmod(F.degrees(F.atan2(x, y)) + F.lit(360.0), F.lit(360.0))
 
 
+def window_rows(t: DataFrame, start: dt.datetime, end: dt.datetime, ts: str = "observation_ts") -> DataFrame:
+    """Rows with ``start <= ts < end``; literals, so the scan filters them."""
+    start, end = (F.lit(x).cast("timestamp_ntz") for x in (start, end))
+    return t.where((F.col(ts) >= start) & (F.col(ts) < end))
+
+
 def hour_window_counts(t: DataFrame) -> DataFrame:
     """Per landing hour: rows inside the half-open [hour, hour + 1h) window."""
     start = F.make_timestamp_ntz(

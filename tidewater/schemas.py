@@ -13,6 +13,10 @@ from dataclasses import dataclass
 from pyspark.sql import types as T
 
 
+class Sql(str):
+    """SQL text as a column default, filled in by the catalog table."""
+
+
 @dataclass(frozen=True)
 class Target:
     name: str
@@ -61,7 +65,6 @@ DLQ_HEADERS = [
 DLQ_STAGE = "VALUE_CONVERTER"
 DLQ_EXCEPTION_CLASS = "org.apache.kafka.connect.errors.DataException"
 DLQ_EXCEPTION_MESSAGE = "Converter error: null value for a required (non-optional) field"
-# --- end fixed values ---------------------------------------------------
 
 # Lake table (pipelines 4, 5): doubles, pos_date kept as text.
 LAKE_POSITIONS = [
@@ -122,6 +125,7 @@ AIRCRAFT_REF = T.StructType([
     T.StructField("country", T.StringType()),
 ])
 REF_ATTRIBUTES = ["registration", "aircraft_type", "operator", "country"]
+# --- end fixed values ---------------------------------------------------
 
 # Spark's own Kafka record layout; file-backed topics use the same columns.
 TOPIC_SCHEMA = T.StructType([

@@ -140,3 +140,10 @@ def scratch_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     if unique:
         tail = f"{tail}-{uuid.uuid4().hex[:12]}"
     return f"{scratch_root(spark)}/tidewater/{tail}"
+
+
+def frozen(df, path: str):
+    """Write ``df`` to ``path`` and read it back: a copy that an executor loss
+    cannot change, whose stored size the planner knows."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

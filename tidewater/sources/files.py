@@ -65,40 +65,61 @@ def write_hour_folders(messages: DataFrame, root: str, landing_ts: str = "timest
          .select("value").write.mode(mode).options(**writer_opts).text(target))
 
 
-def hour_paths(root: str, start: dt.datetime, end: dt.datetime) -> list[str]:
-    """Folders ``root/YYYY-MM-DD/HH`` for hours in [start, end)."""
+def hours_between(start: dt.datetime, end: dt.datetime) -> list[tuple[str, str]]:
+    """(date, hour) of the hours in [start, end)."""
     out = []
     t = start.replace(minute=0, second=0, microsecond=0)
     while t < end:
-        out.append(f"{root.rstrip('/')}/{t:%Y-%m-%d}/{t:%H}")
+        out.append((f"{t:%Y-%m-%d}", f"{t:%H}"))
         t += dt.timedelta(hours=1)
     return out
 
 
+def hour_paths(root: str, hours: list[tuple[str, str]], layout: str = HIVE) -> list[str]:
+    """The folders of landing hours in either layout."""
+    name = "landing_date={}/landing_hour={}" if layout == HIVE else "{}/{}"
+    return [f"{root.rstrip('/')}/{name.format(*h)}" for h in hours]
+
+
+def existing(spark: SparkSession, paths: list[str]) -> list[str]:
+    """Those of ``paths`` that are there, asked of their own file system; no
+    folder is listed."""
+    from tidewater.operators.lake import path_exists
+    return [p for p in paths if path_exists(spark, p)]
+
+
+CORRUPT = "_corrupt"
+
+
 def read_csv_folder(spark: SparkSession, fields: list[str], root: str | None = None,
-                    paths: list[str] | None = None, layout: str = HIVE) -> DataFrame:
+                    paths: list[str] | None = None, layout: str = HIVE, corrupt: bool = False) -> DataFrame:
     """All-text CSV rows with a header line per file, plus path columns.
 
-    ``path`` is the file; ``landing_date``/``landing_hour`` come from the
-    partition folders (hive) or from the path text (dated).  Lines may end in
-    ``\\r\\n``; trailing carriage returns are not part of the last value.
+    With ``paths`` (``hour_paths``) only these folders are listed and read, in
+    both layouts; otherwise everything below ``root``.  ``path`` is the file;
+    ``landing_date``/``landing_hour`` come from the partition folders (hive) or
+    from the path text (dated).  Lines may end in ``\\r\\n``; trailing carriage
+    returns are not part of the last value.  ``corrupt`` adds the text of lines
+    with another number of fields.
     """
-    text_schema = T.StructType([T.StructField(f, T.StringType()) for f in fields])
+    told = [*fields, *([CORRUPT] if corrupt else [])]
+    text_schema = T.StructType([T.StructField(f, T.StringType()) for f in told])
+    landing = ["landing_date", "landing_hour"]
+    if paths is not None and not paths:
+        return spark.createDataFrame([], T.StructType([T.StructField(f, T.StringType()) for f in [*told, *landing, "path"]]))
     reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
-    if layout == HIVE:
-        schema = T.StructType(text_schema.fields + [
-            T.StructField("landing_date", T.StringType()), T.StructField("landing_hour", T.StringType())])
-        df = reader.schema(schema).csv(root)
-        return df.select(*fields, "landing_date", "landing_hour",
-                         F.col("_metadata.file_path").alias("path"))
-    df = reader.schema(text_schema).csv(paths if paths is not None else f"{root}/*/*")
+    if corrupt:
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
     path = F.col("_metadata.file_path")
-    return df.select(
-        *fields,
-        F.regexp_extract(path, r"/(\d{4}-\d{2}-\d{2})/(\d{2})/", 1).alias("landing_date"),
-        F.regexp_extract(path, r"/(\d{4}-\d{2}-\d{2})/(\d{2})/", 2).alias("landing_hour"),
-        path.alias("path"),
-    )
+    if layout == HIVE:
+        schema = T.StructType(text_schema.fields + [T.StructField(c, T.StringType()) for c in landing])
+        if root is not None:
+            reader = reader.option("basePath", root)
+        df = reader.schema(schema).csv(paths if paths is not None else root)
+        return df.select(*told, *landing, path.alias("path"))
+    df = reader.schema(text_schema).option("recursiveFileLookup", True).csv(paths if paths is not None else root)
+    hour = r"/(\d{4}-\d{2}-\d{2})/(\d{2})/"
+    return df.select(*told, *(F.regexp_extract(path, hour, k + 1).alias(c) for k, c in enumerate(landing)), path.alias("path"))
 
 
 def path_segments(path: str | Column, root: str, n: int = 5) -> list[Column]:
@@ -120,38 +141,49 @@ def read_manifest(spark: SparkSession, manifest: str, sep: str = "|") -> DataFra
     return (spark.read.schema("stage_id int, path string").option("sep", sep).csv(manifest))
 
 
-def load_manifest_files(spark: SparkSession, manifest: str, sep: str = "|") -> DataFrame:
-    """(stage_id, container bytes) for every file named in a manifest — the
-    staging table with one binary value per file.
-
-    Manifest rows are spread over tasks and each task reads its files through
-    ``pyarrow.fs`` (local, HDFS or object store), so no file list passes
-    through the driver.  A file that cannot be read gives a NULL container
-    and the reason in ``error``.  Each file is one value (< 2 GB); for large
-    container files use ``sources.avro.read_container_files``, which splits
-    them by block."""
-    import pyarrow as pa
-    from tidewater.session import ship_package
-    ship_package(spark)
-    out_schema = T.StructType([T.StructField("stage_id", T.IntegerType()),
-                               T.StructField("container", T.BinaryType()),
-                               T.StructField("error", T.StringType())])
-
-    def run(batches):
-        from tidewater.sources.avro import _open_input
-        for b in batches:
-            ids, blobs, errs = [], [], []
-            for sid, path in zip(b.column("stage_id").to_pylist(), b.column("path").to_pylist()):
-                try:
-                    with _open_input(path) as f:
-                        blobs.append(f.read())
-                    errs.append(None)
-                except Exception as e:  # noqa: BLE001
-                    blobs.append(None)
-                    errs.append(f"cannot read {path}: {e}")
-                ids.append(sid)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int32()), pa.array(blobs, pa.binary()), pa.array(errs, pa.string())],
-                names=["stage_id", "container", "error"])
-
-    return read_manifest(spark, manifest, sep).mapInArrow(run, out_schema)
+def normal_path(path: str | Column, spark: SparkSession, root: str | None = None) -> Column:
+    """One spelling of a path: the scheme of Hadoop's default file system where
+    it has none, ``file:/`` for ``file:///``, no doubled slashes; a relative path
+    is below ``root``."""
+    p = F.col(path) if isinstance(path, str) else path
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    default = spark.sparkContext._jvm.org.apache.hadoop.fs.FileSystem.getDefaultUri(conf).toString().rstrip("/")
+    default = "file:" if default.startswith("file:") else default
+    if root is not None:
+        p = F.when(p.rlike(r"^(/|[A-Za-z][A-Za-z0-9+.-]*:)"), p).otherwise(F.concat(F.lit(root.rstrip("/") + "/"), p))
+    p = F.when(p.startswith("/"), F.concat(F.lit(default), p)).otherwise(p)
+    p = F.regexp_replace(p, "^file:/+", "file:/")
+    return F.regexp_replace(p, "(?<!:)(?<!:/)/{2,}", "/")
+
+
+def load_manifest_files(spark: SparkSession, manifest: str, sep: str = "|", root: str | None = None, glob: str = "*") -> DataFrame:
+    """(stage_id, path, container, error) for every line of a manifest — the
+    staging table with one binary value per file (S9).
+
+    Spark reads the bytes (``binaryFile``, on any Hadoop file system) and the
+    manifest joins on the normalised path.  Files are looked for below ``root``;
+    without it in the folders that the manifest names (one row per folder is
+    collected, as Spark's file listing does).  ``glob`` leaves other files
+    unread.  A file that is not there, or is empty (Spark's listing leaves these
+    out), gives a NULL container and the reason in ``error``.  Each file is one value (< 2 GB); for large container files use
+    ``sources.avro.read_container_files``, which splits them by block."""
+    listed = read_manifest(spark, manifest, sep).withColumn("_at", normal_path("path", spark, root))
+    if root is None:
+        folders = [r[0] for r in listed.select(F.regexp_replace("_at", "/[^/]*$", "")).distinct().collect() if r[0]]
+        folders = existing(spark, folders)
+    else:
+        folders = [root]
+    if folders:
+        reader = spark.read.format("binaryFile").option("pathGlobFilter", glob)
+        if root is not None:
+            reader = reader.option("recursiveFileLookup", True)
+        found = reader.load(folders).select(normal_path("path", spark).alias("_at"), F.col("content").alias("container"))
+        there = found.join(listed, "_at").withColumn("error", F.lit(None).cast("string"))
+        gone = listed.join(found.select("_at"), "_at", "left_anti")
+    else:
+        there = listed.limit(0).select("*", F.lit(None).cast("binary").alias("container"), F.lit(None).cast("string").alias("error"))
+        gone = listed
+    gone = gone.select("*", F.lit(None).cast("binary").alias("container"),
+                       F.concat(F.lit("cannot read "), F.coalesce("path", F.lit("(no path)")), F.lit(": no such file, or an empty one")).alias("error"))
+    told = ["stage_id", "path", "container", "error"]
+    return there.select(*told).unionByName(gone.select(*told))
