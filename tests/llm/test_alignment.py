@@ -124,7 +124,7 @@ def test_alignment_forgets_and_cuts(rows, monkeypatch):
     al = alignment.Aligner(open(A, "rb").read(), open(B, "rb").read())
     texts = [t for _, t in rows if t]
     slots, begins = al.slots(texts)
-    found = alignment.sums(al.fact()[slots], begins)
+    found = alignment.sums(al.fact[slots], begins)
     for f, x, y, want in zip(found.tolist(), begins[:-1], begins[1:], brute(texts)):
         if f[4]:
             assert want[0] == 0
@@ -133,6 +133,17 @@ def test_alignment_forgets_and_cuts(rows, monkeypatch):
             assert ";".join(al.told[s] for s in slots[x:y]) == want[4]
 
 
+def test_quick_ranks_equal_the_merges():
+    """Every vocabulary entry, and runs of entries, as both libraries see them."""
+    al = alignment.Aligner(open(A, "rb").read(), open(B, "rb").read())
+    texts = [b.decode("utf-8", "ignore") for b in al.a_bytes]
+    texts = [t for t in texts if t and max(t) < alignment.OLD]
+    rng = np.random.default_rng(7)
+    for n, size in ((60_000, 2), (30_000, 4)):
+        texts += ["".join(texts[k] for k in row) for row in rng.integers(0, 40_000, (n, size))]
+    assert [al.quick(t) for t in texts] == [e.ids for e in al.a.encode_batch_fast(texts, add_special_tokens=False)]
+
+
 def test_empty_table_gives_nothing(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert alignment.digest(alignment.align(empty, A, B)).collect() == []

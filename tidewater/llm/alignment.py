@@ -32,6 +32,7 @@ empty table gives an empty result.  Other columns are not looked at.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 from itertools import chain
@@ -50,9 +51,14 @@ BROADCAST_PAIRS = 4_000_000
 SHARD_PAIRS = 1 << 18  # pairs in a shard, about
 VECTOR_ROWS = 1 << 20  # task sums that go into one dense vector, about
 FAN_IN = 16
-MOST_PIECES, MOST_LINKS = 400_000, 3_000_000  # a task forgets its stretches beyond these
+MOST_PIECES, MOST_LINKS = 600_000, 4_000_000  # a task forgets its stretches beyond these
 SLICE = 1 << 20  # characters cut at a time
+BLOCK = 1000  # stretches encoded as one text
 B_ID = np.uint64(0xFFFFFFFF)
+OLD = "\u0250"  # Latin letters before this one are in every edition of Unicode
+# --- fixed values: where A's byte level splits a text ----------------------
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# --- end fixed values -----------------------------------------------------
 FIELDS = ("n_a", "n_b", "n_groups", "n_links", "bad")
 
 
@@ -65,35 +71,58 @@ def decoded_entries(vocab: dict[str, int]) -> list[bytes]:
     return out
 
 
+class Pieces(dict):
+    """Stretches met → their numbers; new ones are numbered as they come and
+    wait in ``new``."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        number = self[piece] = len(self)
+        self.new.append(piece)
+        return number
+
+
 class Aligner:
-    """Both tokenizers, and what is known of the stretches met so far."""
+    """Both tokenizers, and what is known of the stretches met so far: per
+    stretch the FIELDS and its group string, and the pair keys of all links in
+    one row, each with the number of its stretch."""
 
     loaded: dict[str, Aligner] = {}
 
-    def __init__(self, a_file: bytes, b_file: bytes):
+    def __init__(self, a_file: bytes, b_file: bytes, spell: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
+        import tiktoken
         from tokenizers import Tokenizer
 
+        self.spell = spell
         self.a = Tokenizer.from_buffer(a_file)
         self.a.encode_special_tokens = True
         self.a.no_truncation()
         self.a.no_padding()
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b_file)
+        vocab = self.a.get_vocab(with_added_tokens=True)
+        self.a_bytes = decoded_entries(vocab)
+        # the same merges as ranks, for stretches of old letters only: the two
+        # libraries may know different editions of the newer ones
+        added = {t["content"] for t in json.loads(a_file)["added_tokens"]}
+        self.quick = tiktoken.Encoding("a", pat_str=SPLIT, special_tokens={}, mergeable_ranks={self.a_bytes[i]: i for s, i in vocab.items() if s not in added}).encode_ordinary
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         byte = [self.b.is_byte(i) for i in range(len(pieces))]
-        self.a_bytes = decoded_entries(self.a.get_vocab(with_added_tokens=True))
         self.b_bytes = [bytes([int(p[3:5], 16)]) if b else p.replace("▁", " ").encode() for p, b in zip(pieces, byte)]
         self.space = pieces.index("▁")
         plain = [p for p, b in zip(pieces, byte) if not b and len(p) > 1]
         if any(re.search("[^▁]▁", p) for p in plain):
             raise ValueError("a piece goes on after a space: texts cannot be cut there")
         inside = sorted({c for p in plain for c in p if c != " " and re.match(f"[{SPACE}]", c)})
-        glue = "".join(map(re.escape, inside)) or "(?!)"
+        glue = "".join(map(re.escape, inside))
         glued = f"(?:[{glue}][{SPACE}]*)?" if inside else ""
         self.find = re.compile(f"[{SPACE}]*(?:[^{SPACE}]+{glued})+|[{SPACE}]+").findall
         bare = f"(?![{glue}])" if inside else ""
         self.border = re.compile(f"(?<=[^{SPACE}]){bare}[{SPACE}]")
+        self.open_end = re.compile(f"[{SPACE}]\\Z").search
         self.a_len, self.b_len = (np.array([len(x) for x in t], dtype=np.int64) for t in (self.a_bytes, self.b_bytes))
         # strings of ids with what can follow them; A's, then B's
         names = [f"{i}{sep}" for ids, seps in ((self.a_bytes, ",|"), (self.b_bytes, ",;")) for sep in seps for i in range(len(ids))]
@@ -101,91 +130,120 @@ class Aligner:
         self.forget()
 
     @classmethod
-    def load(cls, a_file: bytes, b_file: bytes) -> Aligner:
-        key = hashlib.sha256(a_file).hexdigest() + hashlib.sha256(b_file).hexdigest()
+    def load(cls, a_file: bytes, b_file: bytes, spell: bool = True) -> Aligner:
+        key = hashlib.sha256(a_file).hexdigest() + hashlib.sha256(b_file).hexdigest() + str(spell)
         if key not in cls.loaded:
-            cls.loaded[key] = cls(a_file, b_file)
+            cls.loaded[key] = cls(a_file, b_file, spell)
+        cls.loaded[key].forget()
         return cls.loaded[key]
 
     def forget(self):
-        self.known: dict[str, int] = {}
-        self.told: list[str] = []     # group strings
-        self.links: list[np.ndarray] = []  # pair keys
-        self.facts: list[np.ndarray] = []  # FIELDS, a block for each call of _learn
-        self.n_links = 0
+        self.known = Pieces()
+        self.told: list[str] = []
+        self.fact = np.empty((0, len(FIELDS)), dtype=np.int64)
+        self.keys, self.owner = np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64)
 
     def full(self) -> bool:
-        return len(self.known) > MOST_PIECES or self.n_links > MOST_LINKS
+        return len(self.known) > MOST_PIECES or len(self.keys) > MOST_LINKS
 
-    def _encode_b(self, piece: str) -> list[int]:
+    def _encode_a(self, text: str) -> list[int]:
+        return self.quick(text) if text.isascii() or max(text) < OLD else self.a.encode(text, add_special_tokens=False).ids
+
+    def _encode_b(self, text: str) -> list[int]:
         """Ids within a text: the model puts a space before what it encodes,
         which stands for the stretch's own first space."""
-        if piece[0] == " ":
-            return self.b.encode(piece[1:]) if len(piece) > 1 else [self.space]
-        ids = self.b.encode(piece)
+        if text[0] == " ":
+            return self.b.encode(text[1:]) if len(text) > 1 else [self.space]
+        ids = self.b.encode(text)
         if ids[0] != self.space:
-            raise ValueError(f"no space of its own before {piece[:20]!r}")
+            raise ValueError(f"no space of its own before {text[:20]!r}")
         return ids[1:]
 
-    def _learn(self, new: list[str]):
-        """Align new stretches, all in one go."""
-        a_ids = [e.ids for e in self.a.encode_batch(new, add_special_tokens=False)]
-        b_ids = [self._encode_b(p) for p in new]
-        bad = np.array([b"".join(map(self.a_bytes.__getitem__, x)) != (raw := p.encode()) or b"".join(map(self.b_bytes.__getitem__, y)) != raw
-                        for p, x, y in zip(new, a_ids, b_ids)], dtype=bool)
-        if bad.any():
-            for k in np.flatnonzero(bad).tolist():
-                a_ids[k] = b_ids[k] = []
-        n_a, n_b = (np.array([len(x) for x in ids], dtype=np.int64) for ids in (a_ids, b_ids))
-        a, b = (np.fromiter(chain.from_iterable(ids), dtype=np.int64, count=int(n.sum())) for ids, n in ((a_ids, n_a), (b_ids, n_b)))
+    def _encode(self, new: list[str]) -> tuple[list[list[int]], list[list[int]], list[list[int]], list[int]]:
+        """Ids of A and of B of blocks of stretches, the stretches in each
+        block, and those whose bytes do not come back (they are in no block).
+
+        A block is encoded as one text; it is cut at the stretches' borders, so
+        it has the ids that its stretches have.  A stretch that ends in a blank
+        (the end of a text) is a block of its own."""
+        old, rest, alone = [], [], []
+        for k, p in enumerate(new):
+            (alone if self.open_end(p) else old if p.isascii() or max(p) < OLD else rest).append(k)
+        blocks = [part[i:i + BLOCK] for part in (old, rest) for i in range(0, len(part), BLOCK)] + [[k] for k in alone]
+        a_ids, b_ids, members, bad = [], [], [], []
+        while blocks:
+            block = blocks.pop()
+            text = "".join([new[k] for k in block])
+            a, b, raw = self._encode_a(text), self._encode_b(text), text.encode()
+            if b"".join(map(self.a_bytes.__getitem__, a)) == raw == b"".join(map(self.b_bytes.__getitem__, b)):
+                a_ids.append(a)
+                b_ids.append(b)
+                members.append(block)
+            elif len(block) > 1:  # find those that differ
+                half = len(block) // 2
+                blocks += [block[:half], block[half:]]
+            else:
+                bad += block
+        return a_ids, b_ids, members, bad
+
+    def _learn(self):
+        """Align the new stretches, all in one go."""
+        new, first = self.known.new, len(self.fact)
+        if not new:
+            return
+        self.known.new = []
+        a_ids, b_ids, members, bad = self._encode(new)
+        a, b = (np.fromiter(chain.from_iterable(ids), dtype=np.int64, count=sum(map(len, ids))) for ids in (a_ids, b_ids))
+        order = np.fromiter(chain.from_iterable(members), dtype=np.int64, count=len(new) - len(bad))
+        size = np.cumsum([len(new[k].encode()) for k in order.tolist()], dtype=np.int64)  # where each ends, in bytes
         a_end, b_end = np.cumsum(self.a_len[a]), np.cumsum(self.b_len[b])
-        ends, common = np.union1d(a_end, b_end), np.intersect1d(a_end, b_end, assume_unique=True)
+        both = np.sort(np.concatenate([a_end, b_end]), kind="stable")
+        twice = np.zeros(len(both), dtype=bool)
+        twice[1:] = both[1:] == both[:-1]
+        ends, common = both[~twice], both[twice]
+        if len(size) and not (len(common) and np.array_equal(common[np.searchsorted(common, size)], size)):
+            raise ValueError("a token reaches over the border of a stretch")
         keys = (a[np.searchsorted(a_end, ends)].astype(np.uint64) << np.uint64(32)) | b[np.searchsorted(b_end, ends)].astype(np.uint64)
-        # where each stretch ends, in bytes, and so in links, groups and tokens
-        size = np.concatenate([[0], a_end])[np.cumsum(n_a)]
-        link_at = np.searchsorted(ends, size, "right")
-        group_at = np.searchsorted(common, size, "right")
-        a_group, b_group = np.searchsorted(common, a_end), np.searchsorted(common, b_end)
-        a_place = np.arange(len(a)) + np.searchsorted(b_group, a_group, "left")
-        b_place = np.arange(len(b)) + np.searchsorted(a_group, b_group, "right")
+        at = [np.searchsorted(x, size, "right") for x in (a_end, b_end, common, ends)]
+        fact = np.zeros((len(new), len(FIELDS)), dtype=np.int64)
+        fact[order, :4] = np.stack([np.diff(x, prepend=0) for x in at], axis=1)
+        fact[bad, 4] = 1
+        self.fact = np.concatenate([self.fact, fact])
+        self.keys = np.concatenate([self.keys, keys])
+        self.owner = np.concatenate([self.owner, first + np.repeat(order, fact[order, 3])])
+        if self.spell:
+            self._spell(a, b, np.searchsorted(common, a_end), np.searchsorted(common, b_end), order, (at[0] + at[1]).tolist(), len(new))
+
+    def _spell(self, a, b, a_group, b_group, order, token_at, n_new):
+        """Group strings: A's ids, then B's, group by group."""
         n, m = len(self.a_bytes), len(self.b_bytes)
         which = np.empty(len(a) + len(b), dtype=np.int64)
+        a_place = np.arange(len(a)) + np.searchsorted(b_group, a_group, "left")
+        b_place = np.arange(len(b)) + np.searchsorted(a_group, b_group, "right")
         which[a_place] = a + n * (np.append(a_group[1:], -1) != a_group)
         which[b_place] = 2 * n + b + m * (np.append(b_group[1:], -1) != b_group)
-        words = self.names[which].tolist()
-        token_at = np.cumsum(n_a + n_b)
-        first = token = 0
-        for piece, link, end in zip(new, link_at.tolist(), token_at.tolist()):
-            self.known[piece] = len(self.told)
-            self.told.append("".join(words[token:end])[:-1])
-            self.links.append(keys[first:link])
-            first, token = link, end
-        self.n_links += len(keys)
-        self.facts.append(np.stack([n_a, n_b, np.diff(group_at, prepend=0), np.diff(link_at, prepend=0), bad], axis=1).astype(np.int64))
+        words, told, begin = self.names[which].tolist(), [""] * n_new, 0
+        for k, end in zip(order.tolist(), token_at):
+            told[k] = "".join(words[begin:end])[:-1]
+            begin = end
+        self.told += told
 
     def slots(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Places in ``told``, ``links`` and ``fact`` of the stretches of all
-        texts, and where each text's begin (one more entry than texts)."""
-        out, begins = [], [0]
+        """Numbers of the stretches of all texts, and where each text's begin
+        (one more entry than texts)."""
+        out, begins, number = [], [0], self.known.__getitem__
         for text in texts:
             n, at, whole = 0, 0, " " + text
             while text and at < len(whole):
                 cut = self.border.search(whole, at + SLICE)
                 end = cut.start() if cut else len(whole)
                 pieces = self.find(whole, at, end)
-                new = list(set(pieces).difference(self.known))
-                if new:
-                    self._learn(new)
-                out.append(np.fromiter(map(self.known.__getitem__, pieces), dtype=np.int32, count=len(pieces)))
+                out.append(np.fromiter(map(number, pieces), dtype=np.int32, count=len(pieces)))
                 n, at = n + len(pieces), end
             begins.append(begins[-1] + n)
+        self._learn()
         return np.concatenate(out) if out else np.empty(0, np.int32), np.array(begins)
 
-    def fact(self) -> np.ndarray:
-        if len(self.facts) > 1:
-            self.facts = [np.concatenate(self.facts)]
-        return self.facts[0] if self.facts else np.empty((0, len(FIELDS)), dtype=np.int64)
-
 
 def sums(values: np.ndarray, begins: np.ndarray) -> np.ndarray:
     """Sums of the rows of ``values`` between the begins."""
@@ -202,29 +260,21 @@ def pair_sums(rows: DataFrame, a_file: Broadcast, b_file: Broadcast) -> DataFram
     """(key, n): links of a pair of ids within a task, or a part of one."""
 
     def run(batches):
-        al = Aligner.load(a_file.value, b_file.value)
-        al.forget()
+        al = Aligner.load(a_file.value, b_file.value, spell=False)
         met = np.zeros(0, dtype=np.int64)
 
         def told():
-            used = np.flatnonzero(met)
-            if len(used):
-                links = [al.links[k] for k in used.tolist()]
-                keys, which = np.unique(np.concatenate(links), return_inverse=True)
-                n = np.zeros(len(keys), dtype=np.int64)
-                np.add.at(n, which, np.repeat(met[used], [len(x) for x in links]))
-                yield from _batch(keys, n)
+            n = met[al.owner]
+            yield from _batch(*added(al.keys[n > 0], n[n > 0]))
 
         for b in batches:
             texts = [t or "" for t in b.column(1).to_pylist()]
             for i, j in chunks(texts):
                 slots, begins = al.slots(texts[i:j])
-                if len(slots):
-                    bad = sums(al.fact()[slots][:, 4:], begins)[:, 0] > 0
-                    good = slots[np.repeat(~bad, np.diff(begins))]
-                    n = np.bincount(good, minlength=len(al.told))
-                    n[:len(met)] += met
-                    met = n
+                bad = sums(al.fact[slots][:, 4:], begins)[:, 0] > 0
+                n = np.bincount(slots[np.repeat(~bad, np.diff(begins))], minlength=len(al.known))
+                n[:len(met)] += met
+                met = n
                 if al.full():
                     yield from told()
                     al.forget()
@@ -234,6 +284,16 @@ def pair_sums(rows: DataFrame, a_file: Broadcast, b_file: Broadcast) -> DataFram
     return rows.mapInArrow(run, "key long, n long")
 
 
+def added(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, sorted, with the sums of their counts."""
+    if not len(keys):
+        return keys, counts
+    order = np.argsort(keys)
+    keys, counts = keys[order], counts[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[first], np.add.reduceat(counts, first)
+
+
 def shard_of(shards: int):
     return F.pmod(F.col("key").bitwiseAND(F.lit(int(B_ID))), F.lit(shards)).cast("int").alias("shard")
 
@@ -335,14 +395,13 @@ def _documents(rows: DataFrame, a_file: Broadcast, b_file: Broadcast, shared: Br
 
     def run(batches):
         al = Aligner.load(a_file.value, b_file.value)
-        al.forget()
         counts = None if shared is None else PairCounts(*shared.value)
         scores = np.zeros((0, 3), dtype=np.int64)  # count, best and absent, summed over a stretch's links
         for b in batches:
             ids, texts = b.column(0), [t or "" for t in b.column(1).to_pylist()]
             for i, j in chunks(texts):
                 slots, begins = al.slots(texts[i:j])
-                found = sums(al.fact()[slots], begins)
+                found = sums(al.fact[slots], begins)
                 good = found[:, 4] == 0
                 found *= good[:, None]
                 groups = [";".join(map(al.told.__getitem__, slots[x:y].tolist())) if ok and y > x else "" for x, y, ok in zip(begins[:-1], begins[1:], good)]
@@ -352,21 +411,14 @@ def _documents(rows: DataFrame, a_file: Broadcast, b_file: Broadcast, shared: Br
                 if with_groups:
                     cols, names = [*cols, pa.array(groups, pa.large_string())], [*names, "groups"]
                 if counts is not None:
-                    new = al.links[len(scores):]
-                    if new:
-                        size = [0, *np.cumsum([len(x) for x in new]).tolist()]
-                        scores = np.concatenate([scores, sums(_scores(counts, new), np.array(size))])
+                    scores = _scores(counts, al, scores)
                     total = sums(scores[slots], begins) * good[:, None]
                     if total[:, 2].any():
                         raise RuntimeError("a pair of a counted text has no count")
                     cols, names = [*cols, pa.array(total[:, 1]), pa.array(total[:, 0])], [*names, "n_best", "count_sum"]
                 else:
-                    keys, n = [], []
-                    for x, y, ok in zip(begins[:-1], begins[1:], good):
-                        k, c = np.unique(np.concatenate([np.empty(0, np.uint64), *(al.links[s] for s in slots[x:y].tolist())]), return_counts=True) if ok else ([], [])
-                        keys.append(np.asarray(k, dtype=np.uint64).astype(np.int64))
-                        n.append(np.asarray(c, dtype=np.int64))
-                    cols, names = [*cols, pa.array(keys, pa.list_(pa.int64())), pa.array(n, pa.list_(pa.int64()))], [*names, "keys", "links"]
+                    pairs = _pairs(al, slots, begins, good)
+                    cols, names = [*cols, *(pa.array(x, pa.list_(pa.int64())) for x in pairs)], [*names, "keys", "links"]
                 yield pa.RecordBatch.from_arrays(cols, names=names)
                 if al.full():
                     al.forget()
@@ -377,12 +429,39 @@ def _documents(rows: DataFrame, a_file: Broadcast, b_file: Broadcast, shared: Br
     return rows.mapInArrow(run, schema)
 
 
-def _scores(counts: PairCounts, new: list[np.ndarray]) -> np.ndarray:
-    """(count, best, absent) of every link of new stretches.  A stretch that
-    stands only in texts without tokens can hold a pair that was not counted;
-    no other text uses it."""
-    keys, which = np.unique(np.concatenate(new), return_inverse=True)
-    return counts.look_up(keys)[which]
+def _scores(counts: PairCounts, al: Aligner, scores: np.ndarray) -> np.ndarray:
+    """(count, best, absent) of every stretch, over its links; ``scores`` holds
+    those of the stretches met before.  A stretch that stands only in texts
+    without tokens can hold a pair that was not counted; no other text uses
+    it."""
+    begin = int(scores.shape[0] and al.fact[:len(scores), 3].sum())
+    keys, owner = al.keys[begin:], al.owner[begin:]
+    if len(scores) == len(al.fact):
+        return scores
+    more = np.zeros((len(al.fact) - len(scores), 3), dtype=np.int64)
+    if len(keys):
+        distinct, which = np.unique(keys, return_inverse=True)
+        values = counts.look_up(distinct)[which]
+        first = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+        more[owner[first] - len(scores)] = np.add.reduceat(values, first, axis=0)
+    return np.concatenate([scores, more])
+
+
+def _pairs(al: Aligner, slots: np.ndarray, begins: np.ndarray, good: np.ndarray) -> tuple[list, list]:
+    """Distinct pair keys of every text and how many links hold each."""
+    size = al.fact[:, 3]
+    links_of = np.zeros(len(size), dtype=np.int64)  # where a stretch's links begin
+    first = np.flatnonzero(np.concatenate([[True], al.owner[1:] != al.owner[:-1]])) if len(al.owner) else []
+    links_of[al.owner[first]] = first
+    keys, n = [], []
+    for x, y, ok in zip(begins[:-1], begins[1:], good):
+        own = slots[x:y] if ok else slots[:0]
+        count = size[own]
+        at = np.repeat(links_of[own] - (np.cumsum(count) - count), count) + np.arange(count.sum())
+        k, c = added(al.keys[at], np.ones(len(at), dtype=np.int64))
+        keys.append(k.astype(np.int64))
+        n.append(c)
+    return keys, n
 
 
 def align(docs: DataFrame, a_tokenizer: str, b_model: str, id_col: str = "doc_id", text_col: str = "text",
