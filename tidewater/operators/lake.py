@@ -1,8 +1,8 @@
 """Snapshot-committed lake table on plain Parquet (K3, S16–S18, ST4).
 
-When a table-format package (Iceberg, Delta) is on the classpath, use it
-through the catalog instead; this ledger gives the same guarantees the
-pipelines rely on with nothing but Parquet:
+When a table-format package (Iceberg, Delta) is on the classpath, use its
+catalog tables instead; this ledger gives the same guarantees the pipelines
+rely on with nothing but Parquet:
 
 * data for a snapshot is written under ``data/snapshot_id=<id>/<partitions>``
   with dynamic partition overwrite, so re-running a snapshot replaces only its
@@ -12,9 +12,10 @@ pipelines rely on with nothing but Parquet:
 * a replayed snapshot id that is already committed is skipped;
 * time travel reads the snapshots committed at or before a timestamp.
 
-Readers turn the committed ids into a filter on the ``snapshot_id`` partition
-column, so Spark lists and scans only committed folders (``PartitionFilters``
-in the plan).  The ledger has one row per commit, never per data row.
+Readers join the committed snapshots to the ``snapshot_id`` partition column,
+so Spark prunes to committed folders when it runs (dynamic pruning in the plan);
+no list of snapshots passes through the driver.  The ledger has one row per
+commit, never per data row.
 """
 
 from __future__ import annotations
@@ -180,16 +181,13 @@ class LedgerTable:
         hist = self.snapshots()
         if as_of is not None:
             hist = hist.where(F.col("committed_at") <= F.lit(as_of).cast("timestamp_ntz"))
-        rows = hist.select("snapshot_id", "sequence_number", "operation").collect()
-        seq = {r[0]: r[1] for r in rows}
+        number = F.col("sequence_number")
         if snapshot_id is not None:
-            limit = seq.get(snapshot_id, -1)
-            rows = [r for r in rows if r[1] <= limit]
-        start = max([r[1] for r in rows if r[2] == "overwrite"], default=0)
-        ids = [r[0] for r in rows if r[1] >= start]
-        out = scan.where(F.col("snapshot_id").isin(ids))
+            hist = hist.where(number <= (hist.where(F.col("snapshot_id") == snapshot_id).agg(F.max(number)).first()[0] or -1))
+        start = hist.where(F.col("operation") == "overwrite").agg(F.max(number)).first()[0] or 0
+        visible = hist.where(number >= start).select("snapshot_id")
         cols = [f.name for f in schema.fields] + (["snapshot_id"] if with_snapshot else [])
-        return out.select(*cols)
+        return scan.join(visible, "snapshot_id", "left_semi").select(*cols)
 
     def overwrite(self, df: DataFrame, snapshot_id: str) -> int:
         """Commit ``df`` as the whole new content (older snapshots stay for
@@ -200,35 +198,3 @@ class LedgerTable:
         """Snapshot history in commit order with a 1-based sequence number."""
         return self.commits()
 
-
-class CatalogTable:
-    """The same operations on a catalog table of a table-format package
-    (Iceberg: snapshots, ``as-of-timestamp`` reads) when one is configured as
-    ``spark.sql.catalog.<name>``; ``LedgerTable`` is the fallback."""
-
-    def __init__(self, spark: SparkSession, name: str):
-        self.spark = spark
-        self.name = name            # three-part name: catalog.namespace.table
-
-    def append(self, df: DataFrame, snapshot_id: str | None = None, operation: str = "append") -> None:
-        writer = df.writeTo(self.name)
-        if snapshot_id is not None:
-            writer = writer.option("snapshot-property.batch-id", snapshot_id)
-        writer.append()
-
-    def read(self, as_of: dt.datetime | None = None) -> DataFrame:
-        if as_of is None:
-            return self.spark.table(self.name)
-        millis = int(as_of.replace(tzinfo=dt.timezone.utc).timestamp() * 1000)
-        return self.spark.read.option("as-of-timestamp", str(millis)).table(self.name)
-
-    def snapshots(self) -> DataFrame:
-        return self.spark.table(f"{self.name}.snapshots")
-
-
-def catalog_available(spark: SparkSession, catalog: str) -> bool:
-    """True when ``spark.sql.catalog.<catalog>`` is configured."""
-    try:
-        return bool(spark.conf.get(f"spark.sql.catalog.{catalog}", None))
-    except Exception:
-        return False
