@@ -7,11 +7,14 @@ online sum-of-squares bin packing.  ``levels[h]`` counts the open windows
 filled to ``h``; a placement changes two entries, so each choice is a vector
 difference over that array.  Ties go to the fuller level.
 
-Tasks pack their own rows, without a shuffle.  A task keeps at most
-``max_open`` windows open: beyond that, and at its end, the pieces of the open
-windows are poured one after another into full windows (documents may be cut
-anywhere), which leaves one partial window.  A task's last partial window is
-cut into windows whose lengths are powers of two, which need no padding.
+Tasks pack their own rows, without a shuffle, and every window is filled by
+that rule until the task's rows end.  What is open then is poured one after
+another into full windows (documents may be cut anywhere), which leaves one
+partial window; it is cut into windows whose lengths are powers of two, which
+need no padding.  The level array bounds the levels, not the windows on them:
+the open windows' ids stay in memory (some hundreds of windows for tens of
+thousands of documents, 8 kB each).  ``max_open`` can bound them where a
+task's memory must be; beyond it the open windows are poured early.
 
 Null and empty texts hold the end id alone; repeated rows are packed each on
 its own; an empty table gives an empty result; other columns are not looked
@@ -53,8 +56,9 @@ class Packer:
     """The level array and its open windows.  A piece is (row, start, ids);
     ``put`` and ``finish`` return closed windows as lists of pieces."""
 
-    def __init__(self, window: int, max_open: int):
+    def __init__(self, window: int, max_open: int | None = None):
         self.window, self.max_open = window, max_open
+        self.by_rule = self.poured = 0  # windows closed
         self.levels = np.zeros(window + 1, dtype=np.int64)
         self.open: dict[int, list] = {}
         self.n_open = 0
@@ -86,10 +90,11 @@ class Packer:
         pieces.append(piece)
         if at + size == self.window:
             self.n_open -= 1
+            self.by_rule += 1
             return [pieces]
         self.open.setdefault(at + size, []).append(pieces)
         self.levels[at + size] += 1
-        return self.pour() if self.n_open > self.max_open else []
+        return self.pour() if self.max_open is not None and self.n_open > self.max_open else []
 
     def pour(self) -> list[list]:
         """Refill all open windows one after another; one stays open at most."""
@@ -109,6 +114,7 @@ class Packer:
             fill = self.window - room
             self.open[fill] = [current]
             self.levels[fill] = self.n_open = 1
+        self.poured += len(done)
         return done
 
     def finish(self) -> list[list]:
@@ -135,7 +141,7 @@ FIELDS = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa
 
 
 def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", window: int = 2048,
-         end_id: int = 1, max_open: int = 256) -> DataFrame:
+         end_id: int = 1, max_open: int | None = None) -> DataFrame:
     """One row per piece: where it comes from (``doc_id``, ``start``,
     ``length``, ``doc_tokens``), its ids as little-endian unsigned 32-bit
     integers, and where it lies (``sequence_id``, ``offset``)."""
