@@ -1,13 +1,13 @@
 """Exact top-k by inner product: threshold algorithm over sorted lists.
 
 Vectors are cut into blocks.  In a block every dimension has its list, sorted
-by value; a query walks all lists at once, from the top where its weight is
-positive and from the bottom where it is negative, and scores what it meets in
-full.  The bound on all it has not met is the sum of the values at the walked
-depth times the weights; once the kth score found beats it, the query is done
-with the block (a tie walks on: the unmet row may have the smaller id).  Depths
-grow by ``STEPS`` of the list; whole batches of queries walk together, so that
-"met", the bound and the scores are matrix products.
+by value once for all queries; a query walks all lists at once, from the top
+where its weight is positive and from the bottom where it is negative, and
+scores in full what it meets for the first time.  The bound on all it has not
+met is the sum of the values at the walked depth times the weights; once the
+kth score found beats it, the query is done with the block (a tie walks on: the
+unmet row may have the smaller id).  Depths double, so a query scores each row
+at most once and stops within twice the depth it needs.
 
 Queries meet candidates in blocks, dealt over a grid of query groups (about
 ``QUERY_ROWS`` each) by slabs of blocks; every (block, group) is one row of
@@ -31,7 +31,6 @@ from pyspark.sql.window import Window
 from .common import column, prepare
 
 BLOCK_ROWS, QUERY_ROWS, SLABS = 4096, 512, 16
-STEPS = (1 / 64, 1 / 8, 1)
 
 
 def quantized(c: Column) -> Column:
@@ -69,43 +68,42 @@ def _matrix(ids: bytes, vecs: bytes, dim: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def threshold_topk(ids: np.ndarray, vecs: np.ndarray, qids: np.ndarray, queries: np.ndarray, k: int):
-    """(query, id, score, depth) of each query's k best rows of one block."""
+    """(query, id, score, scored) of each query's k best rows of one block;
+    ``scored`` is how many of its rows the query has scored."""
     n, dim = vecs.shape
     big = dim * float(np.abs(vecs).max(initial=0)) * float(np.abs(queries).max(initial=0))
     kind = np.float64 if big < 2**53 else object
-    vecs_k, queries_k = vecs.astype(kind), queries.astype(kind)
-    order = np.argsort(vecs, axis=0, kind="stable")  # the lists: row numbers by value, a column a dimension
-    rank = np.empty_like(order)
-    np.put_along_axis(rank, order, np.arange(n)[:, None], axis=0)
-    up, down = (queries > 0).astype(np.float32), (queries < 0).astype(np.float32)
-    active, out = np.arange(len(queries)), []
-    for step in STEPS:
-        depth = min(n, max(k, int(np.ceil(n * step))))
-        if depth < n:
-            top, low = (rank >= n - depth).astype(np.float32), (rank < depth).astype(np.float32)
-            met = (up[active] @ top.T + down[active] @ low.T) > 0
-            at_top = np.take_along_axis(vecs_k, order[n - depth][None, :], axis=0)[0]
-            at_low = np.take_along_axis(vecs_k, order[depth - 1][None, :], axis=0)[0]
-            q = queries_k[active]
-            bound = np.where(q > 0, q, 0) @ at_top + np.where(q < 0, q, 0) @ at_low
-        else:
-            met, bound = np.ones((len(active), n), dtype=bool), None
-        scores = queries_k[active] @ vecs_k.T
-        left = []
-        for row, query in enumerate(active):
-            mine = np.flatnonzero(met[row] & (ids != qids[query]))
-            s = scores[row, mine]
-            if len(mine) > k:
-                kth = np.partition(s, len(s) - k)[len(s) - k] if kind is np.float64 else sorted(s)[-k]
-                mine, s = mine[s >= kth], s[s >= kth]
-            if bound is not None and (len(mine) < k or not s.min() > bound[row]):
-                left.append(query)
-                continue
-            best = np.lexsort((ids[mine], -s))[:k] if kind is np.float64 else sorted(range(len(mine)), key=lambda i: (-s[i], ids[mine[i]]))[:k]
-            out += [(int(qids[query]), int(ids[mine[i]]), int(s[i]), depth) for i in best]
-        active = np.array(left, dtype=np.int64)
-        if not len(active):
-            break
+    # the lists, once for the block: row numbers by value, and each row's place
+    # from the top and from the bottom of every list
+    order = np.argsort(vecs, axis=0, kind="stable")
+    low = np.empty((dim, n), dtype=np.int32)
+    np.put_along_axis(low, order.T, np.arange(n, dtype=np.int32)[None, :], axis=1)
+    top = n - 1 - low
+    sorted_k, vecs_k, out = np.take_along_axis(vecs, order, axis=0).astype(kind), vecs.astype(kind), []
+    for own, query in zip(qids.tolist(), queries):
+        q, up, down = query.astype(kind), query > 0, query < 0
+        first = np.full(n, n, dtype=np.int32)  # the depth that meets a row
+        for lists in (top[up], low[down]):
+            if len(lists):
+                np.minimum(first, lists.min(axis=0), out=first)
+        done, depth, scored = 0, k, 0
+        best_ids, best = np.empty(0, dtype=np.int64), np.empty(0, dtype=kind)
+        while True:
+            depth = min(depth, n)
+            new = np.flatnonzero((first >= done) & (first < depth)) if depth < n else np.flatnonzero(first >= done)
+            scored += len(new)
+            new = new[ids[new] != own]
+            best_ids, best = np.concatenate([best_ids, ids[new]]), np.concatenate([best, vecs_k[new] @ q])
+            if len(best) > k:
+                keep = np.lexsort((best_ids, -best))[:k] if kind is np.float64 else np.array(sorted(range(len(best)), key=lambda x: (-best[x], best_ids[x]))[:k])
+                best_ids, best = best_ids[keep], best[keep]
+            if depth == n:
+                break
+            bound = sorted_k[n - depth][up] @ q[up] + sorted_k[depth - 1][down] @ q[down]
+            if len(best) == k and best.min() > bound:
+                break
+            done, depth = depth, 2 * depth
+        out += [(own, int(i), int(x), scored) for i, x in sorted(zip(best_ids.tolist(), best.tolist()), key=lambda r: (-r[1], r[0]))]
     return out
 
 
@@ -118,7 +116,7 @@ def _search(k: int):
                 found = threshold_topk(*_matrix(r["ids"], r["vecs"], r["dim"]), *_matrix(r["q_ids"], r["q_vecs"], r["dim"]), k)
                 cols = list(zip(*found, strict=True)) or [[], [], [], []]
                 cols[2] = [min(high, max(low, s)) for s in cols[2]]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["query_id", "vec_id", "score", "depth"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["query_id", "vec_id", "score", "scored"])
     return run
 
 
@@ -138,7 +136,7 @@ def topk(vectors: DataFrame, queries: Column, k: int = 5, id_col: str = "vec_id"
     blocks = blocks.withColumn("s", deal("block", SLABS)).withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(n_groups - 1))))
     work = (blocks.join(groups, (F.col("dim") == F.col("q_dim")) & (blocks["g"] == groups["g"]) & (blocks["s"] == groups["s"]))
             .select("dim", "ids", "vecs", "q_ids", "q_vecs"))
-    found = work.mapInArrow(_search(k), "query_id long, vec_id long, score long, depth long")
+    found = work.mapInArrow(_search(k), "query_id long, vec_id long, score long, scored long")
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return (found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
