@@ -3,7 +3,7 @@
 Four base kinds (email, ip, card, phone) are always reported.  Further kinds
 start from a prior, gain from a passed check (mod-97 of an IBAN, Luhn of a
 short card number, the ranges of a social security number) and from context
-words within ``REACH`` code points before them, and are reported from a score
+words, whole ones, within ``REACH`` code points before them, and are reported from a score
 of ``ENOUGH``; what fails its check is dropped.  Base spans carry scores too.
 
 Null and empty texts have no spans.  Rows are independent: repeated rows give
@@ -25,8 +25,9 @@ from . import spans as S
 # sign outwards, so that long runs without one cost nothing)
 EMAIL_DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 EMAIL_NAME = re.compile(r"[A-Za-z0-9._%+-]")
-# ip [0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+): possessive digits, as none gives back
-IP = re.compile(r"[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
+# ip [0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+): possessive digits, as none gives back,
+# and no start inside a run of digits, as it fails where the run's start does
+IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 # --- end fixed values -----------------------------------------------------
@@ -41,11 +42,13 @@ KINDS = ["email", "ip", "card", "phone", "iban", "ssn", "card13"]
 BASE = KINDS[:4]
 PRIOR = {"email": 0.9, "ip": 0.6, "card": 0.5, "phone": 0.6, "iban": 0.3, "ssn": 0.3, "card13": 0.1}
 CHECKED, NEARBY, ENOUGH, REACH = 0.4, 0.3, 0.5, 60
+CARD_WORDS = {"card", "cards", "creditcard", "visa", "mastercard", "credit", "payment", "payments"}
 CONTEXT = {
-    "email": ("mail", "contact", "write"), "ip": ("ip", "address", "host"), "card": ("card", "visa", "credit", "payment"),
-    "phone": ("phone", "call", "tel", "mobile"), "iban": ("iban", "account", "bank", "konto", "compte"),
-    "ssn": ("ssn", "social", "security"), "card13": ("card", "visa", "credit", "payment"),
+    "email": {"mail", "mails", "email", "emails", "contact", "write"}, "ip": {"ip", "ips", "ipv", "address", "addresses", "host", "hosts"}, "card": CARD_WORDS,
+    "phone": {"phone", "phones", "telephone", "call", "tel", "telefon", "mobile"}, "iban": {"iban", "account", "accounts", "bank", "konto", "compte"},
+    "ssn": {"ssn", "social", "security"}, "card13": CARD_WORDS,
 }
+LETTERS = re.compile(r"[^\W\d_]+")
 
 
 def luhn(digits: str) -> bool:
@@ -121,8 +124,8 @@ def find(text: str) -> list[tuple[str, int, int, float]]:
     for kind, start, end, passed in propose(text):
         if passed is False:
             continue
-        before = text[max(0, start - REACH):start].lower()
-        score = PRIOR[kind] + CHECKED * (passed is True and kind != "ssn") + NEARBY * any(w in before for w in CONTEXT[kind])
+        before = set(LETTERS.findall(text[max(0, start - REACH):start].lower()))
+        score = PRIOR[kind] + CHECKED * (passed is True and kind != "ssn") + NEARBY * (not before.isdisjoint(CONTEXT[kind]))
         if kind in BASE or score >= ENOUGH:
             out.append((kind, start, end, round(min(1.0, score), 2)))
     order = {k: i for i, k in enumerate(KINDS)}
