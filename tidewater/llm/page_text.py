@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 import numpy as np
@@ -101,6 +102,10 @@ class Page(HTMLParser):
         self.nodes = [Node("#page", -1, set(), None)]
         self.blocks: list[tuple[int, str]] = []
         self.stack: list[tuple[str, int, int]] = []  # open elements; node of block elements, number of hidden ones, else -1
+        # of the open elements: how many of each tag, the block ones' nodes, the known lost ones
+        self.open: Counter[str] = Counter()
+        self.within = [0]
+        self.open_known = 0
         self.hidden = self.links = 0
         self.text: list[str] = []
         self.feed(html)
@@ -109,7 +114,7 @@ class Page(HTMLParser):
         self.lost |= {k for _, _, k in self.stack if k >= 0}
 
     def block(self) -> int:
-        return next((n for _, n, _ in reversed(self.stack) if n >= 0), 0)
+        return self.within[-1]
 
     def flush(self):
         if self.text:
@@ -127,7 +132,10 @@ class Page(HTMLParser):
             self.lost.add(number)
         if node >= 0:
             self.flush()
+            self.within.pop()
         self.stack.pop()
+        self.open[tag] -= 1
+        self.open_known -= number in self.known
         self.hidden -= tag in HIDDEN
         self.links -= tag == "a"
 
@@ -137,13 +145,15 @@ class Page(HTMLParser):
             return
         if self.stack and self.stack[-1][0] == "head" and self.stack[-1][2] in self.known and tag not in HEAD:
             self.pop()
-        if tag in ENDS_LOST:
+        if tag in ENDS_LOST and self.open_known:
             at = next((k for k, x in enumerate(self.stack) if x[2] in self.known), len(self.stack))
             while len(self.stack) > at:
                 self.pop()
 
     def close_open(self, tags, stop, ended=False):
         """Close the innermost open element of ``tags``, unless ``stop`` comes first."""
+        if not any(self.open[t] for t in tags):
+            return
         for k in range(len(self.stack) - 1, -1, -1):
             tag = self.stack[k][0]
             if tag in tags:
@@ -174,7 +184,11 @@ class Page(HTMLParser):
             parent = self.block()
             self.nodes.append(Node(tag, parent, cues, int(label) if label in ("0", "1") else self.nodes[parent].label))
             node = len(self.nodes) - 1
-        self.stack.append((tag, node, self.n_hidden if tag in HIDDEN else -1))
+            self.within.append(node)
+        number = self.n_hidden if tag in HIDDEN else -1
+        self.stack.append((tag, node, number))
+        self.open[tag] += 1
+        self.open_known += number in self.known
         self.n_hidden += tag in HIDDEN
         self.hidden += tag in HIDDEN
         self.links += tag == "a"
@@ -185,7 +199,7 @@ class Page(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
-        if any(t == tag for t, _, _ in self.stack):
+        if self.open[tag]:
             self.close_open({tag}, set(), ended=True)
 
     def handle_data(self, data):
