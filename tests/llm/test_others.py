@@ -95,7 +95,14 @@ def test_threshold_stops_early():
     vecs = rng.integers(-5, 6, (4000, 4))
     vecs[:20] = 1000  # far above the rest in every list
     found = topk.threshold_topk(np.arange(4000), vecs, np.array([-1]), np.array([[3, 2, 1, 4]]), 5)
-    assert [f[1] for f in found] == [0, 1, 2, 3, 4] and found[0][3] < 4000
+    assert [f[1] for f in found] == [0, 1, 2, 3, 4] and found[0][3] < 200  # rows scored, of 4000
+    # one row after the other leaves the lead: the walk goes on as long as it must
+    steps = np.stack([np.arange(4000), -np.arange(4000)], axis=1)
+    for q in ([5, 1], [1, 5], [-1, 1], [0, 0]):
+        got = topk.threshold_topk(np.arange(4000), steps, np.array([7]), np.array([q]), 3)
+        want = sorted((-int(np.dot(q, v)), i) for i, v in enumerate(steps) if i != 7)[:3]
+        assert [(f[1], f[2]) for f in got] == [(i, -x) for x, i in want]
+        assert 3 <= got[0][3] <= 4000
     huge = topk.threshold_topk(np.arange(3), np.array([[2**62], [2**61], [-5]]), np.array([9]), np.array([[4]]), 2)
     assert [(f[1], f[2]) for f in huge] == [(0, 2**64), (1, 2**63)]
 
@@ -189,3 +196,12 @@ def test_near_duplicates_of_rows_that_share_an_id(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = corpus_pipeline.near_duplicate_removal(spark, docs, "").collect()
     assert sorted(((r.doc_id or 0), r.text) for r in got) == sorted([(0, copy), (1, copy), (7, own), (9, "equal row")])
+
+
+def test_pages_with_broken_markup_are_read_in_time():
+    import time
+    n = 100_000
+    for html in ("<a>x" * n, "<i>" * n + "x</b>" * n, "<div>" * n + "x", "<p>x<i>" * n, "<div>" + "<b>" * n + "<p>x</p>" * n, "<li>x" * n, "<select>" * 2000 + "<p>x" * n, "</p>" * n):
+        began = time.time()
+        page = page_text.Page(html)
+        assert time.time() - began < 60 and len(page.nodes) >= 1
