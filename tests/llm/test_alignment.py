@@ -6,7 +6,6 @@ import hashlib
 import numpy as np
 import public_tokenizers
 import pytest
-from pyspark.sql import functions as F
 
 from tidewater.llm import alignment
 from tidewater.llm.perfect_hash import PerfectHash
