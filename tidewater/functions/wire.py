@@ -114,17 +114,6 @@ def encode_json(ts_col: str | Column = "ts") -> Column:
     )
 
 
-FLAT_JSON_DDL = (
-    "icao24 string, callsign string, latitude double, longitude double, altitude int, "
-    "velocity double, heading double, vertical_rate int, on_ground int, squawk string, "
-    "ts string, pos_date string"
-)
-
-
-def decode_json(value: str | Column) -> Column:
-    return F.from_json(_c(value).cast("string"), FLAT_JSON_DDL)
-
-
 def decode_json_text(value: str | Column, names: list[str]) -> Column:
     """Flat JSON record as a struct of text fields and ``_corrupt``: the text of
     a message that is no JSON object (a NULL message gives a NULL struct)."""

@@ -61,8 +61,3 @@ def assign_offsets(
               + (F.col("_rid") - F.col("_first")))
     return out.withColumn(offset_col, offset.cast("long")).drop(
         "_slice", "_rid", "_first", "_before", "next_offset")
-
-
-def next_offsets(messages: DataFrame) -> DataFrame:
-    """Per partition, the offset the next appended message gets."""
-    return messages.groupBy("partition").agg((F.max("offset") + 1).alias("next_offset"))
