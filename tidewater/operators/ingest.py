@@ -90,12 +90,13 @@ def to_lake(parsed: DataFrame, keep: list[str] = [], policy: str = "drop") -> Da
 
     ``drop``: malformed lines are skipped and a field that does not parse is
     NULL (ignore-parse-errors); ``fail``: either aborts the job; ``reject``:
-    only lines that parse in full (the others: :func:`lake_split`).
+    all lines with ``_errors`` for the caller to split (:func:`lake_split`).
     """
     if policy == "drop":
         typed = casting.apply_target(parsed.where(arity_ok()), LAKE_POSITIONS, keep=keep)
         return typed.drop(casting.ERRORS, casting.FENCE)
-    return good_of(classify_delimited(parsed, LAKE_POSITIONS, keep), policy)
+    typed = classify_delimited(parsed, LAKE_POSITIONS, keep)
+    return typed if policy == "reject" else good_of(typed, policy)
 
 
 def lake_split(parsed: DataFrame, keep: list[str] = ["offset"]) -> tuple[DataFrame, DataFrame]:
