@@ -476,6 +476,47 @@ def test_line_dedup_finds_similar_lines(spark):
     assert sum(got.values()) == sum(got[1000 + k] for k in near)
 
 
+def test_line_dedup_of_many_lines_with_one_passage(spark, monkeypatch):
+    """Lines that meet under a passage's keys and are mostly unlike: twins are
+    found, and no table of all pairs is written."""
+    rng = np.random.default_rng(31)
+    letters = np.array(list("etaoinsrh"))
+    made = lambda n: ["".join(rng.choice(letters, int(rng.integers(4, 8)))) for _ in range(n)]
+    passage, rows = made(30), []
+    for k in range(360):
+        own = made(9)
+        rows.append((k, " ".join([*own[:4], *passage, *own[4:]])))
+        if k % 60 == 7:
+            rows.append((1000 + k, " ".join([*own[:4], *passage, *own[4:8], own[8][:-1] + "zq"])))
+    written, stored = [], line_dedup.stored
+
+    def counted(df, name):
+        out = stored(df, name)
+        written.append(out.count() if name == "lines-pairs" else 0)
+        return out
+
+    monkeypatch.setattr(line_dedup, "stored", counted)
+    got = {r.doc_id: r.n_removed for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    most = lambda a, b: int(0.1 * max(len(a), len(b)) + 1e-9)
+    assert not any(within(rows[0][1], t, most(rows[0][1], t)) for _, t in rows[1:100])
+    assert {k for k, n in got.items() if n} == {1000 + k for k in range(360) if k % 60 == 7}
+    assert sum(written) < 360 * 360 / 4, written
+
+
+def test_line_dedup_tells_distances(spark):
+    rng = np.random.default_rng(32)
+    word = lambda: "".join(rng.choice(list("abé机 "), int(rng.integers(0, 30))))
+    rows = [("", "", 0), ("", "ab", 1), ("a b", "a b", 0), ("a b c", "a b", 2), ("a b c", "a b", 1), ("x" * 70_000 + "y", "x" * 70_000, 1)]
+    for _ in range(400):
+        a, b = word(), word()
+        at = int(rng.integers(0, len(a) + 1))
+        rows += [(a, b, int(rng.integers(0, 20))), (a, a[:at] + b[:3] + a[at + 2:], int(rng.integers(0, 5)))]
+    df = spark.createDataFrame(rows, "a string, b string, most int")
+    found = df.selectExpr("a", "b", "most", f"{line_dedup.within('a', 'b', 'most')} as near").collect()
+    assert all(r.near == (edit(r.a, r.b) <= r.most) for r in found if len(r.a) < 100)
+    assert [r.near for r in found if len(r.a) > 100] == [True]
+
+
 def test_line_dedup_short_and_unspaced_lines(spark):
     han = "机器学习模型需要大量高质量的训练数据才能取得良好的效果"
     rows = [(1, "Contents\n" + han + "\n..."), (2, "contents!\n" + han.replace("大", "小") + "\n..."), (3, "Chapter 10\n" + han), (4, "Chapter 11")]
